@@ -45,27 +45,28 @@ def validate_elements(elements: DataFrame, nodes: DataFrame) -> tuple[DataFrame,
     as pg_id, num_nodes, node_ids; bad rows as index, element_id, error, raw. An id without
     a node row is an error, also when it lies inside the id range.
     """
-    ids = elements.withColumn(
-        "node_ids",
-        F.when(F.size("raw") > 0, F.slice("raw", 2, F.greatest(F.element_at("raw", 1).cast("int"), F.lit(0))))
-        .otherwise(F.array().cast("array<bigint>")),
-    )
+    declared = F.coalesce(F.try_element_at("raw", F.lit(1)), F.lit(0)).cast("int")
+    ids = elements.withColumn("node_ids", F.slice("raw", F.lit(2), F.greatest(declared, F.lit(0))))
     max_id = nodes.agg(F.max("node_id").alias("max_id"))
     # Distinct ids first: a vertex shared by very many elements is looked up once.
-    uses = ids.select("index", F.explode("node_ids").alias("id"))
-    known = nodes.select(F.col("node_id").alias("id"))
+    uses = ids.select("index", F.posexplode("node_ids").alias("pos", "id"))
+    known = nodes.where("node_id > 0").select(F.col("node_id").alias("id"))
     unknown = uses.select("id").distinct().join(known, "id", "left_anti")
-    missing = uses.join(unknown, "id").groupBy("index").agg(F.min("id").alias("missing_id"))
-    checked = ids.join(missing, "index", "left").withColumn("max_id", max_id.scalar())
-    out_of_range = F.filter("node_ids", lambda n: (n <= 0) | (n > F.col("max_id")))
-    checked = checked.withColumn("out_of_range", out_of_range)
+    unknown = unknown.withColumn("max_id", max_id.scalar())
+    outside = (F.col("id") <= 0) | (F.col("id") > F.col("max_id"))
+    missing = uses.join(unknown, "id").groupBy("index").agg(
+        F.min_by("id", F.when(outside, F.col("pos"))).alias("outside_id"),
+        F.min_by("id", "pos").alias("missing_id"),
+        F.max("max_id").alias("max_id"),
+    )
+    checked = ids.join(missing, "index", "left")
     error = (
         F.when(F.size("raw") == 0, F.lit("no vertex list"))
         .when(F.size("node_ids") < 3,
               F.concat(F.lit("needs 3 vertices or more, has "), F.size("node_ids").cast("string")))
-        .when(F.size("out_of_range") > 0,
+        .when(F.col("outside_id").isNotNull(),
               F.concat(F.lit("vertex id outside 1.."), F.col("max_id").cast("string"), F.lit(": "),
-                       F.element_at("out_of_range", 1).cast("string")))
+                       F.col("outside_id").cast("string")))
         .when(F.col("missing_id").isNotNull(),
               F.concat(F.lit("vertex id without a node: "), F.col("missing_id").cast("string")))
     )

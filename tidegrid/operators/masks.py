@@ -86,56 +86,74 @@ def rasterize_mask(layers: DataFrame, meta: GridMeta) -> DataFrame:
     return _clip_runs(runs, FEATURE, meta)
 
 
-def near_edge_runs(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
-    """Runs of cells whose centre is within ``radius`` of an edge: row, col_lo, col_hi.
+def _near_edge_spans(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
+    """Per edge and grid row, the columns within ``radius`` of the edge: row, col_lo, col_hi.
 
     All points within a radius of a segment form a convex capsule, so an edge contributes
-    one run per grid row, in closed form; no cell is ever paired with an edge.
+    one span per grid row, in closed form; no cell is ever paired with an edge. A span
+    without a cell centre comes out with col_hi = col_lo - 1, which a sweep cancels. It is
+    not filtered here: the optimizer would inline the whole formula into the filter.
     """
-    near = _candidate_rows(explode_edges(layers, []), meta, pad=radius)
-    q1, q2 = F.col("yc") - F.col("y1"), F.col("yc") - F.col("y2")
     r = F.lit(float(radius))
+    near = _candidate_rows(explode_edges(layers, []), meta, pad=radius)
+    near = near.where(
+        (F.abs(F.col("yc") - F.col("y1")) <= r) | (F.abs(F.col("yc") - F.col("y2")) <= r)
+        | F.col("yc").between(F.least("y1", "y2"), F.greatest("y1", "y2"))
+    )
     near = near.select(
-        "row", "x1", "x2", q1.alias("q1"),
-        F.when(F.abs(q1) <= r, F.sqrt(F.greatest(r * r - q1 * q1, F.lit(0.0)))).alias("h1"),
-        F.when(F.abs(q2) <= r, F.sqrt(F.greatest(r * r - q2 * q2, F.lit(0.0)))).alias("h2"),
-        F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")).alias("len"),
+        "row", "x1", "x2",
+        (F.col("yc") - F.col("y1")).alias("q1"), (F.col("yc") - F.col("y2")).alias("q2"),
         (F.col("x2") - F.col("x1")).alias("ex"), (F.col("y2") - F.col("y1")).alias("ey"),
     )
+    half = lambda q: F.when(F.abs(q) <= r, F.sqrt(F.greatest(r * r - F.col(q) * F.col(q), F.lit(0.0))))
+    near = near.select(
+        "row", "x1", "x2", "q1", "ex", "ey",
+        half("q1").alias("h1"), half("q2").alias("h2"), F.hypot("ex", "ey").alias("len"),
+    )
     unit = lambda c: F.coalesce(F.col(c) / F.nullif(F.col("len"), F.lit(0.0)), F.lit(0.0))
-    near = near.select("*", unit("ex").alias("dx"), unit("ey").alias("dy"))
+    near = near.select("row", "x1", "x2", "q1", "h1", "h2", "len", unit("ex").alias("dx"), unit("ey").alias("dy"))
     # Positions s along the segment whose normal through the row stays within the radius.
     bound = lambda sign: (F.col("q1") + sign * r * F.abs("dx")) / F.nullif(F.col("dy"), F.lit(0.0))
     near = near.select("*", bound(F.lit(-1.0)).alias("sa"), bound(F.lit(1.0)).alias("sb"))
+    level = F.when(F.abs("q1") <= r, F.col("len"))
     near = near.select(
-        "*",
-        F.when(F.col("dy") == 0, F.when(F.abs("q1") <= r, F.lit(0.0)))
-        .otherwise(F.greatest(F.least("sa", "sb"), F.lit(0.0))).alias("s_lo"),
-        F.when(F.col("dy") == 0, F.when(F.abs("q1") <= r, F.col("len")))
-        .otherwise(F.least(F.greatest("sa", "sb"), F.col("len"))).alias("s_hi"),
+        "row", "x1", "x2", "q1", "h1", "h2", "len", "dx", "dy",
+        F.when(F.col("dy") == 0, level * 0).otherwise(F.greatest(F.least("sa", "sb"), F.lit(0.0))).alias("s_lo"),
+        F.when(F.col("dy") == 0, level).otherwise(F.least(F.greatest("sa", "sb"), F.col("len"))).alias("s_hi"),
     )
     # The foot of the normal at s meets the row at x; a vertical segment spans x1 -+ radius.
     at = lambda s: F.col("x1") + (F.col(s) - F.col("dy") * F.col("q1")) / F.nullif(F.col("dx"), F.lit(0.0))
-    on_body = F.col("s_lo") <= F.col("s_hi")
+    near = near.select(
+        "row", "x1", "x2", "h1", "h2", "dx",
+        ((F.col("s_lo") <= F.col("s_hi")) & (F.col("len") > 0)).alias("on_body"),
+        at("s_lo").alias("xa"), at("s_hi").alias("xb"),
+    )
+    body = lambda upright, slanted: F.when(
+        F.col("on_body"), F.when(F.col("dx") == 0, upright).otherwise(slanted)
+    )
     near = near.select(
         "row", "x1", "x2", "h1", "h2",
-        F.when(on_body & (F.col("len") > 0),
-               F.when(F.col("dx") == 0, F.col("x1") - r).otherwise(F.least(at("s_lo"), at("s_hi")))).alias("b_lo"),
-        F.when(on_body & (F.col("len") > 0),
-               F.when(F.col("dx") == 0, F.col("x1") + r).otherwise(F.greatest(at("s_lo"), at("s_hi")))).alias("b_hi"),
+        body(F.col("x1") - r, F.least("xa", "xb")).alias("b_lo"),
+        body(F.col("x1") + r, F.greatest("xa", "xb")).alias("b_hi"),
     )
     spans = near.select(
         "row",
         F.least("b_lo", F.col("x1") - F.col("h1"), F.col("x2") - F.col("h2")).alias("x_lo"),
         F.greatest("b_hi", F.col("x1") + F.col("h1"), F.col("x2") + F.col("h2")).alias("x_hi"),
-    ).where("x_lo IS NOT NULL")
+    )
     w = lambda x: (F.col(x) - F.lit(meta.c)) / F.lit(meta.a) - F.lit(0.5)
-    runs = spans.select(
+    left, right = ("x_lo", "x_hi") if meta.a > 0 else ("x_hi", "x_lo")
+    cols = spans.select(
         "row",
-        F.ceil(F.least(w("x_lo"), w("x_hi"))).alias("col_lo"),
-        F.floor(F.greatest(w("x_lo"), w("x_hi"))).alias("col_hi"),
+        F.greatest(F.least(F.ceil(w(left)), F.lit(meta.width)), F.lit(0)).alias("col_lo"),
+        F.least(F.floor(w(right)), F.lit(meta.width - 1)).alias("col_hi"),
     )
-    return _clip_runs(runs, [], meta)
+    return cols.withColumn("col_hi", F.greatest(F.col("col_hi"), F.col("col_lo") - 1))
+
+
+def near_edge_runs(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
+    """Runs of cells whose centre is within ``radius`` of an edge, disjoint per row."""
+    return merge_runs(_near_edge_spans(layers, meta, radius))
 
 
 def _sweep(run_sets: dict[str, DataFrame], keep: Column) -> DataFrame:
@@ -174,7 +192,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 def exterior_mask_runs(layer: DataFrame, meta: GridMeta, ring_deg: float = 10.0) -> DataFrame:
     """Runs outside every polygon of a layer yet within ``ring_deg`` of an edge."""
     return _sweep(
-        {"near": near_edge_runs(layer, meta, ring_deg), "inside": rasterize_mask(layer, meta)},
+        {"near": _near_edge_spans(layer, meta, ring_deg), "inside": rasterize_mask(layer, meta)},
         F.col("near") & ~F.col("inside"),
     )
 
@@ -189,7 +207,7 @@ def general_mask_runs(
     sets: dict[str, DataFrame] = {}
     keep = F.lit(False)
     for i, layer in enumerate(exterior_layers):
-        sets[f"near_{i}"] = near_edge_runs(layer, meta, ring_deg)
+        sets[f"near_{i}"] = _near_edge_spans(layer, meta, ring_deg)
         sets[f"inside_{i}"] = rasterize_mask(layer, meta)
         keep = keep | (F.col(f"near_{i}") & ~F.col(f"inside_{i}"))
     if interior_layers:
