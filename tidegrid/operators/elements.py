@@ -49,7 +49,9 @@ def validate_elements(elements: DataFrame, nodes: DataFrame) -> tuple[DataFrame,
     ids = elements.withColumn("node_ids", F.slice("raw", F.lit(2), F.greatest(declared, F.lit(0))))
     max_id = nodes.agg(F.max("node_id").alias("max_id"))
     # Distinct ids first: a vertex shared by very many elements is looked up once.
-    uses = ids.select("index", F.posexplode("node_ids").alias("pos", "id"))
+    # The outer form keeps the optimizer from inlining the slice into a size filter; the NULL
+    # ids of empty lists match nothing below.
+    uses = ids.select("index", F.posexplode_outer("node_ids").alias("pos", "id"))
     known = nodes.where("node_id > 0").select(F.col("node_id").alias("id"))
     unknown = uses.select("id").distinct().join(known, "id", "left_anti")
     unknown = unknown.withColumn("max_id", max_id.scalar())

@@ -14,14 +14,14 @@ def _tokens(df: DataFrame) -> DataFrame:
 
 def _whole(token: Column) -> Column:
     """An id token; written as a float by some tools."""
-    return token.cast("double").cast("long")
+    return token.try_cast("double").try_cast("long")
 
 
 def _node_columns(t: str = "t") -> list[Column]:
     tok = lambda i: F.element_at(t, i)
     return [
-        _whole(tok(1)).alias("node_id"), tok(2).cast("double").alias("long"),
-        tok(3).cast("double").alias("lat"), tok(4).cast("double").alias("wse"),
+        _whole(tok(1)).alias("node_id"), tok(2).try_cast("double").alias("long"),
+        tok(3).try_cast("double").alias("lat"), tok(4).try_cast("double").alias("wse"),
     ]
 
 
@@ -29,13 +29,15 @@ def read_mesh_text(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """Loose mesh text, told apart by token count: nodes, elements, extra.
 
     The first line is a header whatever it holds. Four tokens make a node, five a triangle,
-    more an extra line; other lines are ignored. A malformed number fails the read.
+    more an extra line; other lines are ignored. A malformed number becomes NULL (a failing
+    cast could run ahead of the line test and trip over the header), which a NULL report
+    brings to light.
     """
     rows = _tokens(numbered_lines(spark, path).where("line_no > 0")).withColumn("n", F.size("t"))
     nodes = rows.where("n = 4").select(*_node_columns())
     ids = ["pg_id", "num_nodes", "node_id_1", "node_id_2", "node_id_3"]
     elements = rows.where("n = 5").select(
-        *[F.element_at("t", i).cast("long").alias(name) for i, name in enumerate(ids, start=1)]
+        *[F.element_at("t", i).try_cast("long").alias(name) for i, name in enumerate(ids, start=1)]
     )
     return nodes, elements, rows.where("n > 5").select("line_no", F.col("t").alias("tokens"))
 
@@ -57,8 +59,8 @@ def read_mesh_strict(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     nodes = body.where("i < np").select(*_node_columns())
     elements = body.where("i >= np AND i < np + ne").select(
         (F.col("i") - F.col("np")).alias("index"),
-        F.element_at("t", 1).cast("long").alias("element_id"),
-        F.transform(F.slice("t", 2, F.size("t")), lambda v: v.cast("long")).alias("raw"),
+        F.element_at("t", 1).try_cast("long").alias("element_id"),
+        F.transform(F.slice("t", 2, F.size("t")), lambda v: v.try_cast("long")).alias("raw"),
     )
     return nodes, elements
 
