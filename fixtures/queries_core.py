@@ -363,7 +363,8 @@ def _(spark, sf):
 
 
 @query("hot_keys", with_views(["cheap_masked"], """
-SELECT pg_id FROM cheap_masked GROUP BY pg_id HAVING count(*) > 15"""))
+SELECT pg_id, CAST(ceil(count(*) / 15.0::double) AS INTEGER) AS salts FROM cheap_masked
+GROUP BY pg_id HAVING count(*) > 15"""))
 def _(spark, sf):
     return skew.hot_keys(cheap_masked(spark, sf), "pg_id", 15)
 

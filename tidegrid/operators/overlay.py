@@ -30,7 +30,9 @@ def _row_pieces(edges: DataFrame, key: str, meta: GridMeta) -> DataFrame:
     v = lambda y: (F.col(y) - F.lit(meta.f)) / F.lit(meta.e)
     cut = edges.select(
         key, u("x1").alias("u1"), v("y1").alias("v1"), u("x2").alias("u2"), v("y2").alias("v2")
-    ).where("v1 <> v2")  # an edge along a row spans no height
+    )
+    # An edge along a row spans no height, and one right of the grid reaches no cell.
+    cut = cut.where((F.col("v1") != F.col("v2")) & (F.least("u1", "u2") < meta.width))
     cut = cut.select(
         "*",
         F.least("v1", "v2").alias("v_lo"),
@@ -66,14 +68,12 @@ def _row_pieces(edges: DataFrame, key: str, meta: GridMeta) -> DataFrame:
 def _cell_pieces(pieces: DataFrame, key: str, width: int) -> DataFrame:
     """Row pieces cut at column borders: key, row, col, area, cover.
 
-    Everything left of the grid lands in column -1, whose cover still counts to its right;
-    pieces right of the grid cannot influence any cell.
+    Everything left of the grid lands in column -1, whose cover still counts to its right.
+    Everything right of it lands in column ``width``, to be dropped at the end: a filter
+    here would be pushed below the shuffle with the whole formula inlined.
     """
-    cut = pieces.select(
-        "*",
-        F.greatest(F.floor("u0"), F.lit(-1)).alias("col_lo"),
-        F.least(F.floor("u1"), F.lit(width - 1)).alias("col_hi"),
-    ).withColumn("col_hi", F.greatest("col_hi", "col_lo")).where(F.col("col_lo") < width)
+    column = lambda u: F.least(F.greatest(F.floor(u), F.lit(-1)), F.lit(width))
+    cut = pieces.select("*", column("u0").alias("col_lo"), column("u1").alias("col_hi"))
     cut = cut.withColumn("col", F.explode(F.sequence("col_lo", "col_hi")))
     cut = cut.select(
         key, "row", "col", "cover", "u0", "u1",
@@ -119,7 +119,8 @@ def coverage_fraction(
         F.abs(F.col("area") + F.col("carried")).alias("edge_coverage"),
         F.abs(F.col("carried") + F.col("cover")).alias("fill_coverage"),
     )
-    last = F.when(F.col("fill_coverage") > min_coverage, F.col("next_col") - 1).otherwise(F.col("col"))
+    fills = (F.col("fill_coverage") > min_coverage) & (F.col("next_col") > F.col("col"))
+    last = F.when(fills, F.col("next_col") - 1).otherwise(F.col("col"))
     cells = steps.select(
         key, "row", "edge_coverage", "fill_coverage", F.col("col").alias("edge_col"),
         F.explode(F.sequence(F.col("col"), last)).alias("col"),
@@ -129,7 +130,8 @@ def coverage_fraction(
         F.when(F.col("col") == F.col("edge_col"), F.col("edge_coverage"))
         .otherwise(F.col("fill_coverage")).alias("coverage_fraction"),
     )
-    return cells.where((F.col("coverage_fraction") > min_coverage) & (F.col("col") >= 0)).select(
+    on_grid = (F.col("col") >= 0) & (F.col("col") < meta.width)
+    return cells.where(on_grid & (F.col("coverage_fraction") > min_coverage)).select(
         key, cell_id("row", "col", meta.width).alias("cell"), "coverage_fraction"
     )
 

@@ -5,41 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A key with more rows than this is worth spreading over several tasks.
+#: Rows of one key a task should handle; keys with more are spread over several tasks.
 HOT_ROWS = 5_000_000
+SALT = "_salt"
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than ``min_rows`` rows.
+    """Keys holding more than ``min_rows`` rows, with the number of salts each one needs.
 
     The result has fewer than rows / min_rows entries (2e5 for 1e12 rows), which is the
-    size bound :func:`salted_join` relies on when it broadcasts the list.
+    size bound the broadcasts below rely on. Salts grow with the key, so a key holding a
+    third of everything still leaves no more than ``min_rows`` rows per salt.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > min_rows).select(key)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
+    return counts.select(key, F.ceil(F.col("_n") / F.lit(min_rows)).cast("int").alias("salts"))
+
+
+def add_salt(df: DataFrame, key: str, hot: DataFrame, spread_by: str) -> DataFrame:
+    """The large side with a salt: spread over the key's salts if hot, else 0."""
+    flagged = df.join(F.broadcast(hot.select(key, "salts")), key, "left")
+    salt = F.coalesce(F.pmod(F.hash(spread_by), F.col("salts")), F.lit(0))
+    return flagged.select(*df.columns, salt.alias(SALT))
+
+
+def salt_copies(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """The small side, one copy per salt of a hot key and one copy of everything else."""
+    flagged = df.join(F.broadcast(hot.select(key, "salts")), key, "left")
+    salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
+    return flagged.select(*df.columns, F.explode(salts).alias(SALT))
 
 
 def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    hot: DataFrame | None,
-    spread_by: str,
-    how: str = "left",
-    salts: int = 256,
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None, spread_by: str, how: str = "left"
 ) -> DataFrame:
-    """Equi join on ``key`` where the rows of hot keys are spread over ``salts`` tasks.
+    """Equi join of a large side with a small one, hot keys spread over many tasks.
 
-    Left rows of a hot key get a salt from ``spread_by``; the matching right rows are
-    repeated once per salt. Other keys use salt 0 on both sides, so nothing else grows.
+    Without ``hot`` it is a plain join, left to adaptive skew handling. A left side that
+    carries a stored salt is used as it is, so a table bucketed by (key, salt) is not
+    shuffled again.
     """
     if hot is None:
-        return left.join(right, key, how)
-    flags = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.hash(spread_by), F.lit(salts))).otherwise(F.lit(0))
-    salted = left.join(flags, key, "left").withColumn("_salt", salt).drop("_hot")
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = right.join(flags, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
-    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+        return left.drop(SALT).join(right, key, how)
+    salted = left if SALT in left.columns else add_salt(left, key, hot, spread_by)
+    return salted.join(salt_copies(right, key, hot), [key, SALT], how).drop(SALT)

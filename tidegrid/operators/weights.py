@@ -1,8 +1,8 @@
 """Barycentric weights from terrain slope, and values per triangle.
 
 The arithmetic is staged: each select names intermediate columns that the next one uses
-several times. The optimizer keeps such projections apart, so every stage compiles to a
-small method; one nested expression would outgrow the JVM's method limit.
+several times. The optimizer keeps such projections apart, so every stage becomes a small
+method that the JVM still compiles (it leaves methods over 8,000 bytes interpreted).
 """
 
 from __future__ import annotations
@@ -55,15 +55,16 @@ def triangle_barycentric(weights: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def vertex_slope(at: tuple[Column, ...], p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
-    """Mean absolute slope at a vertex toward two others; a zero run counts as slope 0."""
+def edge_slope(dx: Column, dy: Column, dz: Column) -> Column:
+    """Absolute slope along an edge; a zero run counts as slope 0, a NULL rise stays NULL."""
+    run = F.sqrt(dx * dx + dy * dy)
+    return F.when(run != 0, F.abs(dz / F.nullif(run, F.lit(0.0)))).otherwise(F.lit(0.0) * dz)
 
-    def slope(other: tuple[Column, ...]) -> Column:
-        dx, dy, dz = (o - v for o, v in zip(other, at))
-        run = F.sqrt(dx * dx + dy * dy)
-        return F.when(run != 0, F.abs(dz / F.nullif(run, F.lit(0.0)))).otherwise(F.lit(0.0) * dz)
 
-    return (slope(p) + slope(q)) / F.lit(2.0)
+def vertex_slope(at: tuple[Column, ...], p: tuple[Column, ...], q: tuple[Column, ...]) -> Column:
+    """Mean absolute slope at a vertex toward two others."""
+    toward = lambda other: edge_slope(*(o - v for o, v in zip(other, at)))
+    return (toward(p) + toward(q)) / F.lit(2.0)
 
 
 def _length(x: Column, y: Column, z: Column) -> Column:
@@ -88,30 +89,41 @@ def barycentric_weights(elements: DataFrame, nodes: DataFrame) -> DataFrame:
     pts = nodes.select("node_id", F.col("long").alias("x"), F.col("lat").alias("y"),
                        F.when(~F.isnan("elevation"), F.col("elevation")).alias("z"))
     t = _with_vertices(elements, pts, ["x", "y", "z"], "left")
-    corner = lambda k: tuple(F.col(f"node{k}_{v}") for v in "xyz")
-    a, b, c = corner(1), corner(2), corner(3)
-    t = t.select("*", vertex_slope(a, b, c).alias("s1"), vertex_slope(b, a, c).alias("s2"),
-                 vertex_slope(c, a, b).alias("s3"))
+    corners = [f"node{k}_{v}" for k in (1, 2, 3) for v in "xyz"]
+    vec = lambda p: tuple(F.col(f"{p}{v}") for v in "xyz")
+    edge = lambda i, j, name: [
+        (F.col(f"node{j}_{v}") - F.col(f"node{i}_{v}")).alias(f"{name}{v}") for v in "xyz"
+    ]
+    t = t.select(*keep, *corners, *edge(1, 2, "ab"), *edge(1, 3, "ac"), *edge(2, 3, "bc"))
+    # An edge has one absolute slope, whichever end it is seen from.
+    t = t.select(
+        *keep, *corners, *[edge_slope(*vec(e)).alias(f"g_{e}") for e in ("ab", "ac", "bc")],
+        *[f"{e}{v}" for e in ("ab", "ac") for v in "xyz"],
+    )
+    half_sum = lambda p, q: (F.col(f"g_{p}") + F.col(f"g_{q}")) / F.lit(2.0)
+    t = t.select(
+        *keep, *corners, half_sum("ab", "ac").alias("s1"), half_sum("ab", "bc").alias("s2"),
+        half_sum("ac", "bc").alias("s3"), _length(*_cross(vec("ab"), vec("ac"))).alias("normal"),
+    )
     t = t.withColumn("s", F.col("s1") + F.col("s2") + F.col("s3"))
     share = lambda k: F.when(F.col("s") == 0, F.lit(FLAT_WEIGHT)).otherwise(
         F.col(f"s{k}") / F.nullif(F.col("s"), F.lit(0.0))
     )
-    t = t.select("*", *[share(k).alias(f"w{k}") for k in (1, 2, 3)])
-    t = t.select("*", *[
+    t = t.select(*keep, *corners, "normal", *[share(k).alias(f"w{k}") for k in (1, 2, 3)])
+    t = t.select(*keep, *corners, "normal", *[
         (F.col("w1") * F.col(f"node1_{v}") + F.col("w2") * F.col(f"node2_{v}")
          + F.col("w3") * F.col(f"node3_{v}")).alias(f"c{v}") for v in "xyz"
     ])
-    t = t.select("*", *[
+    t = t.select(*keep, "normal", *[
         (F.col(f"c{v}") - F.col(f"node{k}_{v}")).alias(f"d{k}{v}") for k in (1, 2, 3) for v in "xyz"
-    ], *[
-        (F.col(f"node{k}_{v}") - F.col(f"node1_{v}")).alias(f"e{k}{v}") for k in (2, 3) for v in "xyz"
     ])
-    vec = lambda p: tuple(F.col(f"{p}{v}") for v in "xyz")
-    t = t.select("*", _length(*_cross(vec("e2"), vec("e3"))).alias("normal"),
-                 _length(*_cross(vec("d2"), vec("d3"))).alias("n1"),
-                 _length(*_cross(vec("d3"), vec("d1"))).alias("n2"),
-                 _length(*_cross(vec("d1"), vec("d2"))).alias("n3"))
-    t = t.select("*", *[
+    t = t.select(
+        *keep, "normal",
+        _length(*_cross(vec("d2"), vec("d3"))).alias("n1"),
+        _length(*_cross(vec("d3"), vec("d1"))).alias("n2"),
+        _length(*_cross(vec("d1"), vec("d2"))).alias("n3"),
+    )
+    t = t.select(*keep, *[
         (F.col(f"n{k}") / F.nullif(F.col("normal"), F.lit(0.0))).alias(f"area{k}") for k in (1, 2, 3)
     ])
     t = t.withColumn("area", F.col("area1") + F.col("area2") + F.col("area3"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.operators.skew import salted_join
+from tidegrid.operators.skew import SALT, salted_join
 
 
 def filter_masked(cov: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -22,8 +22,9 @@ def filter_masked(cov: DataFrame, threshold: float | None = None) -> DataFrame:
 
 
 def _joined(cov: DataFrame, tri: DataFrame, hot: DataFrame | None) -> DataFrame:
+    stored_salt = [c for c in cov.columns if c == SALT]
     return salted_join(
-        cov.select("pg_id", "cell", "coverage_fraction", "elevation"),
+        cov.select("pg_id", "cell", "coverage_fraction", "elevation", *stored_salt),
         tri.select("pg_id", "wse_weighted_average"),
         "pg_id", hot, spread_by="cell",
     )
@@ -149,6 +150,16 @@ def domain_cells(cov: DataFrame) -> DataFrame:
     return facts.where(F.col("elevation").isNotNull() & ~F.isnan("elevation"))
 
 
+def with_domain_cells(cov: DataFrame) -> DataFrame:
+    """Coverage rows with the static facts of their cell: coverage_sum, cell_elevation.
+
+    Sums are partly aggregated before the shuffle and joined back, so a cell under very
+    many triangles is never gathered in one place. Cells without an elevation drop out.
+    """
+    facts = domain_cells(cov).withColumnRenamed("elevation", "cell_elevation")
+    return cov.join(facts, "cell").select(*cov.columns, "coverage_sum", "cell_elevation")
+
+
 def triangle_wse_runs(weights: DataFrame, node_wse: DataFrame) -> DataFrame:
     """Water level per run and complete triangle: run_id, pg_id, wse_weighted_average.
 
@@ -178,15 +189,22 @@ def depth_runs(
 
     The denominator is static, so a run needs only its own non-NULL numerators; cells no
     triangle reaches in a run have no water level and would fail the depth filter anyway.
+    Coverage prepared by :func:`with_domain_cells` carries the static facts on its rows,
+    and then no cell-level join is left.
     """
+    if "coverage_sum" not in cov.columns:
+        cov = with_domain_cells(cov)
+    stored_salt = [c for c in cov.columns if c == SALT]
     joined = salted_join(
-        cov.select("pg_id", "cell", "coverage_fraction"), tri_runs, "pg_id", hot,
-        spread_by="cell", how="inner",
+        cov.select("pg_id", "cell", "coverage_fraction", "coverage_sum", "cell_elevation", *stored_salt),
+        tri_runs, "pg_id", hot, spread_by="cell", how="inner",
     )
-    numerators = joined.groupBy("run_id", "cell").agg(
-        F.sum(F.col("wse_weighted_average") * F.col("coverage_fraction")).alias("weighted_sum")
+    per_cell = joined.groupBy("run_id", "cell").agg(
+        F.sum(F.col("wse_weighted_average") * F.col("coverage_fraction")).alias("weighted_sum"),
+        F.max("coverage_sum").alias("coverage_sum"),
+        F.max("cell_elevation").alias("elevation"),
     )
-    per_cell = numerators.join(domain_cells(cov), "cell").select(
+    per_cell = per_cell.select(
         "run_id", "cell",
         (F.col("weighted_sum") / F.nullif(F.col("coverage_sum"), F.lit(0.0))).alias("wse_cell_weighted_average"),
         "elevation",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,9 @@ from tidegrid.operators import masks as mk
 from tidegrid.operators import nodes as nd
 from tidegrid.operators.overlay import attach_cell_attributes, coverage_fraction
 from tidegrid.operators.quality import null_report, warn_on_nulls
-from tidegrid.operators.skew import hot_keys
+from tidegrid.operators.skew import SALT, add_salt, hot_keys
 from tidegrid.operators.weights import barycentric_weights
-from tidegrid.operators.zonal import filter_masked
+from tidegrid.operators.zonal import filter_masked, with_domain_cells
 from tidegrid.plans.config import JobConfig
 from tidegrid.sinks.store import TableStore, export_land_mask, export_mesh, export_node_ids
 from tidegrid.sources.filesystem import validate_inputs
@@ -22,6 +24,10 @@ from tidegrid.sources.layers import register_layers
 from tidegrid.sources.mesh_text import read_crosswalk, read_mesh_strict, read_mesh_text
 from tidegrid.sources.tables import metadata_row, read_zonal
 
+#: Coverage rows per bucket (about 100 MB of Parquet), and Spark's limit on buckets.
+BUCKET_ROWS = 4_000_000
+MAX_BUCKETS = 100_000
+
 
 def build_mask(spark: SparkSession, cfg: JobConfig, meta: GridMeta) -> DataFrame:
     """Register the layers and store the general mask as runs (``mask_runs``)."""
@@ -76,18 +82,27 @@ def domain_nodes(nodes: DataFrame, store: TableStore, threshold: float | None) -
     return nd.add_elevation(inside, store.read("nodes_elevation"), threshold)
 
 
-def preprocess(spark: SparkSession, cfg: JobConfig, dem: DataFrame, meta: GridMeta) -> DataFrame:
-    """Prepare a domain once and store its static tables; returns ``triangle_weights``.
+def store_coverage(store: TableStore, raw: DataFrame, threshold: float | None = None) -> DataFrame:
+    """Store the filtered coverage in the layout every forecast run joins.
 
-    The filtered coverage is stored sorted by triangle within its files, and the triangles
-    with exceptionally many rows are listed, so that a forecast run joins it evenly.
+    Coverage is by far the largest table and static, so it is laid out once: bucketed by
+    triangle, with the rows of exceptionally large triangles salted into several buckets.
+    A run then shuffles only its triangle values, and no bucket outgrows a task. The static
+    sum and elevation of each cell ride along.
     """
+    kept = filter_masked(raw, threshold).select("pg_id", "cell", "coverage_fraction", "elevation", "mask")
+    hot = store.write(hot_keys(kept, "pg_id"), "hot_triangles")
+    buckets = min(max(math.ceil(kept.count() / BUCKET_ROWS), 1), MAX_BUCKETS)
+    salted = add_salt(with_domain_cells(kept), "pg_id", hot, "cell")
+    return store.write_bucketed(salted, "masked_coverage_fraction", ["pg_id", SALT], buckets)
+
+
+def preprocess(spark: SparkSession, cfg: JobConfig, dem: DataFrame, meta: GridMeta) -> DataFrame:
+    """Prepare a domain once and store its static tables; returns ``triangle_weights``."""
     validate_inputs(spark, cfg.mesh_path, cfg.coverage_path, cfg.crosswalk_path)
     store = TableStore(spark, cfg.store)
     store.write(read_crosswalk(spark, cfg.crosswalk_path), "node_cross_walk")
-    coverage = filter_masked(read_zonal(spark, cfg.coverage_path), cfg.elevation_threshold)
-    coverage = store.write(coverage.sortWithinPartitions("pg_id"), "masked_coverage_fraction")
-    store.write(hot_keys(coverage, "pg_id"), "hot_triangles")
+    coverage = store_coverage(store, read_zonal(spark, cfg.coverage_path), cfg.elevation_threshold)
     if cfg.triangles_path:
         store.write(el.mask_triangles(spark.read.parquet(cfg.triangles_path), coverage), "triangles")
     nodes, elements, _ = read_mesh_text(spark, cfg.mesh_path)

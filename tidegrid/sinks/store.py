@@ -7,32 +7,45 @@ commit marker decides, so a write cut short by a lost executor or driver is neve
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.sources.filesystem import _resolve
+from tidegrid.sources.filesystem import _resolve, path_exists
 
 
 class TableStore:
-    """Named tables under one root folder on the shared file system."""
+    """Named tables under one root folder on the shared file system.
+
+    A version folder is called ``v000001``, or ``v000001.b64.pg_id._salt`` when its files
+    are bucketed, so the layout is committed together with the data.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _versions(self, name: str, complete: bool = True) -> list[int]:
+    def _versions(self, name: str, complete: bool = True) -> list[str]:
+        """Version folders of a table, oldest first."""
         fs, folder = _resolve(self.spark, f"{self.root}/{name}")
         if not fs.exists(folder):
             return []
-        numbers = []
-        for status in fs.listStatus(folder):
-            label = status.getPath().getName()
-            if not label.startswith("v") or not label[1:].isdigit():
-                continue
-            _, marker = _resolve(self.spark, f"{self.root}/{name}/{label}/_SUCCESS")
-            if not complete or fs.exists(marker):
-                numbers.append(int(label[1:]))
-        return sorted(numbers)
+        labels = [status.getPath().getName() for status in fs.listStatus(folder)]
+        labels = [label for label in labels if re.fullmatch(r"v\d{6}(\.b\d+(\.\w+)+)?", label)]
+        if complete:
+            labels = [x for x in labels if path_exists(self.spark, f"{self.root}/{name}/{x}/_SUCCESS")]
+        return sorted(labels)
+
+    def _next(self, name: str) -> str:
+        taken = self._versions(name, complete=False)
+        return f"v{(int(taken[-1][1:7]) + 1 if taken else 1):06d}"
+
+    def _drop_old(self, name: str, keep: int) -> None:
+        for label in self._versions(name)[:-keep]:
+            fs, folder = _resolve(self.spark, f"{self.root}/{name}/{label}")
+            fs.delete(folder, True)
 
     def exists(self, name: str) -> bool:
         return bool(self._versions(name))
@@ -41,20 +54,43 @@ class TableStore:
         versions = self._versions(name)
         if not versions:
             raise LookupError(f"no table {name} in {self.root}")
-        return f"{self.root}/{name}/v{versions[-1]:06d}"
+        return f"{self.root}/{name}/{versions[-1]}"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        plain = self.spark.read.parquet(path)
+        label = path.rsplit("/", 1)[-1]
+        if ".b" not in label:
+            return plain
+        _, buckets, *keys = label.split(".")
+        # The catalog entry only tells Spark about the buckets; the files stay where they are.
+        entry = f"bucketed_{hashlib.md5(path.encode()).hexdigest()}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        by = ", ".join(f"`{k}`" for k in keys)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {entry} ({columns}) USING parquet "
+            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets[1:]} BUCKETS LOCATION '{path}'"
+        )
+        return self.spark.table(entry)
 
     def write(self, df: DataFrame, name: str, keep: int = 2) -> DataFrame:
         """Create or replace a table and return it as stored; older versions are dropped."""
-        taken = self._versions(name, complete=False)
-        target = f"{self.root}/{name}/v{(taken[-1] + 1 if taken else 1):06d}"
-        df.write.parquet(target)
-        for old in self._versions(name)[:-keep]:
-            fs, folder = _resolve(self.spark, f"{self.root}/{name}/v{old:06d}")
-            fs.delete(folder, True)
-        return self.spark.read.parquet(target)
+        df.write.parquet(f"{self.root}/{name}/{self._next(name)}")
+        self._drop_old(name, keep)
+        return self.read(name)
+
+    def write_bucketed(self, df: DataFrame, name: str, keys: list[str], buckets: int, keep: int = 2) -> DataFrame:
+        """Create or replace a table bucketed and sorted by keys, one file per bucket.
+
+        Joins and aggregations on the keys then need no shuffle of this table.
+        """
+        target = f"{self.root}/{name}/{self._next(name)}.b{buckets}.{'.'.join(keys)}"
+        entry = f"writing_{hashlib.md5(target.encode()).hexdigest()}"
+        writer = df.repartition(buckets, *keys).write.format("parquet").option("path", target)
+        writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(entry)
+        self.spark.sql(f"DROP TABLE {entry}")  # an external table: its files stay
+        self._drop_old(name, keep)
+        return self.read(name)
 
     def upsert(self, rows: DataFrame, name: str, key: str) -> DataFrame:
         """Add rows to a small table, replacing rows with the same key."""
