@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidegrid.functions.geometry import explode_edges
 from tidegrid.functions.grid import GridMeta, cell_center_y, cell_id
 from tidegrid.operators.overlay import ring_extent
+from tidegrid.operators.skew import spread
 
 FEATURE = ["layer", "feature_id"]
 
@@ -95,7 +96,9 @@ def _near_edge_spans(layers: DataFrame, meta: GridMeta, radius: float) -> DataFr
     not filtered here: the optimizer would inline the whole formula into the filter.
     """
     r = F.lit(float(radius))
-    near = _candidate_rows(explode_edges(layers, []), meta, pad=radius)
+    # A long boundary is one row until here, and each edge meets every row in reach.
+    edges = spread(explode_edges(layers, []), "x1", "y1", "x2", "y2")
+    near = _candidate_rows(edges, meta, pad=radius)
     near = near.where(
         (F.abs(F.col("yc") - F.col("y1")) <= r) | (F.abs(F.col("yc") - F.col("y2")) <= r)
         | F.col("yc").between(F.least("y1", "y2"), F.greatest("y1", "y2"))
@@ -221,7 +224,7 @@ def general_mask_runs(
 
 def run_cells(runs: DataFrame, meta: GridMeta) -> DataFrame:
     """The cells of disjoint runs, one row per cell."""
-    cells = runs.select("row", F.explode(F.sequence("col_lo", "col_hi")).alias("col"))
+    cells = spread(runs, "row").select("row", F.explode(F.sequence("col_lo", "col_hi")).alias("col"))
     return cells.select(cell_id("row", "col", meta.width).alias("cell"))
 
 

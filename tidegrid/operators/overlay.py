@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import explode_edges
 from tidegrid.functions.grid import GridMeta, cell_id
+from tidegrid.operators.skew import spread
 
 #: Rows at or below this coverage are rounding noise of cells that only touch the polygon.
 MIN_COVERAGE = 1e-9
@@ -102,7 +103,7 @@ def coverage_fraction(
     """
     pieces = _row_pieces(explode_edges(rings, [key]), key, meta)
     # The overlay's only shuffle: the sums and the window below both run on this layout.
-    pieces = pieces.repartition(key, "row")
+    pieces = spread(pieces, key, "row")
     steps = _cell_pieces(pieces, key, meta.width).groupBy(key, "row", "col").agg(
         F.sum("area").alias("area"), F.sum("cover").alias("cover")
     )

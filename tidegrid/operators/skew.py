@@ -35,6 +35,15 @@ def salt_copies(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return flagged.select(*df.columns, F.explode(salts).alias(SALT))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash the rows over all shuffle partitions, ahead of a step that multiplies them.
+
+    The count is explicit because adaptive coalescing goes by bytes: a few kilobytes of
+    runs or edges that stand for millions of cells would otherwise end up in one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, hot: DataFrame | None, spread_by: str, how: str = "left"
 ) -> DataFrame:

@@ -26,6 +26,7 @@ from tidegrid.sources.tables import metadata_row, read_zonal
 
 #: Coverage rows per bucket (about 100 MB of Parquet), and Spark's limit on buckets.
 BUCKET_ROWS = 4_000_000
+MIN_BUCKET_ROWS = 50_000
 MAX_BUCKETS = 100_000
 
 
@@ -82,6 +83,13 @@ def domain_nodes(nodes: DataFrame, store: TableStore, threshold: float | None) -
     return nd.add_elevation(inside, store.read("nodes_elevation"), threshold)
 
 
+def bucket_count(rows: int, parallelism: int) -> int:
+    """Buckets for a table: by size, yet enough for every core once it is worth splitting."""
+    by_size = math.ceil(rows / BUCKET_ROWS)
+    by_cores = min(parallelism, math.ceil(rows / MIN_BUCKET_ROWS))
+    return min(max(by_size, by_cores, 1), MAX_BUCKETS)
+
+
 def store_coverage(store: TableStore, raw: DataFrame, threshold: float | None = None) -> DataFrame:
     """Store the filtered coverage in the layout every forecast run joins.
 
@@ -92,7 +100,7 @@ def store_coverage(store: TableStore, raw: DataFrame, threshold: float | None =
     """
     kept = filter_masked(raw, threshold).select("pg_id", "cell", "coverage_fraction", "elevation", "mask")
     hot = store.write(hot_keys(kept, "pg_id"), "hot_triangles")
-    buckets = min(max(math.ceil(kept.count() / BUCKET_ROWS), 1), MAX_BUCKETS)
+    buckets = bucket_count(kept.count(), store.spark.sparkContext.defaultParallelism)
     salted = add_salt(with_domain_cells(kept), "pg_id", hot, "cell")
     return store.write_bucketed(salted, "masked_coverage_fraction", ["pg_id", SALT], buckets)
 

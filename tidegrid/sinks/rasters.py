@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,8 +69,11 @@ def _open_fs(store: str):
 
 
 def _put(fs, path: str, payload: bytes) -> None:
-    with fs.open_output_stream(path) as out:
+    """Write a whole file or nothing: a killed or duplicate task never leaves half a chunk."""
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    with fs.open_output_stream(part) as out:
         out.write(payload)
+    fs.move(part, path)
 
 
 def write_chunk_store(
