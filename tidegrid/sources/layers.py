@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def register_layers(
         try:
             layers.append(layer_rings(load_table(spark, path), stem + LAYER_SUFFIX))
             names.append(stem + LAYER_SUFFIX)
-        except (AnalysisException, PySparkException, ValueError) as problem:
+        except (PySparkException, Py4JJavaError, ValueError) as problem:
             failures.append((stem, str(problem).splitlines()[0]))
             print(f"layer {stem} skipped: {failures[-1][1]}")
     lineage = spark.createDataFrame([(n, crs) for n in names], "table_name string, crs string")
