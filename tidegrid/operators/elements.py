@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.operators.nodes import TRIANGLE_NODES
+from tidegrid.functions.geometry import point
+from tidegrid.operators.nodes import TRIANGLE_NODES, with_vertices
 
 
 def mask_triangles(triangles: DataFrame, cov: DataFrame) -> DataFrame:
@@ -107,9 +108,7 @@ def element_polygons(elements: DataFrame, nodes: DataFrame, max_vertices: int =
 
 
 def triangle_rings(elements: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Rings of triangles given as node_id_1..3: pg_id, ring."""
-    as_lists = elements.select(
-        "pg_id", F.lit(3).alias("num_nodes"), F.array(*TRIANGLE_NODES).alias("node_ids")
-    )
-    polygons = element_polygons(as_lists, nodes, max_vertices=3)
-    return polygons.where(F.size("ring") == 3).select("pg_id", "ring")
+    """Rings of triangles given as node_id_1..3: pg_id, ring. Incomplete triangles drop out."""
+    placed = with_vertices(elements.select("pg_id", *TRIANGLE_NODES), nodes, ["long", "lat"], "inner")
+    ring = F.array(*[point(f"node{k}_long", f"node{k}_lat") for k in (1, 2, 3)])
+    return placed.select("pg_id", ring.alias("ring"))

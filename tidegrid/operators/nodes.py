@@ -19,6 +19,17 @@ def _spread_missing(cell: Column, by: str) -> Column:
     return F.coalesce(cell, F.lit(-1).cast("long") - F.abs(F.hash(by)).cast("long"))
 
 
+def with_vertices(triangles: DataFrame, nodes: DataFrame, values: list[str], how: str) -> DataFrame:
+    """The triangles with ``node{k}_{value}`` columns looked up for k = 1, 2, 3."""
+    out = triangles
+    for k, column in enumerate(TRIANGLE_NODES, start=1):
+        vertex = nodes.select(
+            F.col("node_id").alias(column), *[F.col(v).alias(f"node{k}_{v}") for v in values]
+        )
+        out = out.join(vertex, column, how)
+    return out
+
+
 def crosswalk_nodes(nodes: DataFrame, xwalk: DataFrame) -> DataFrame:
     """Forecast nodes renumbered to mesh ids; an unmatched node keeps a NULL ``node_id``."""
     renamed = nodes.withColumnRenamed("node_id", "original_id")

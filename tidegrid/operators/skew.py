@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 #: Rows of one key a task should handle; keys with more are spread over several tasks.
 HOT_ROWS = 5_000_000
-SALT = "_salt"
+SALT, HOT = "_salt", "_hot"
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
@@ -22,10 +22,10 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def add_salt(df: DataFrame, key: str, hot: DataFrame, spread_by: str) -> DataFrame:
-    """The large side with a salt: spread over the key's salts if hot, else 0."""
+    """The large side with a salt (spread over the key's salts if hot, else 0) and a hot flag."""
     flagged = df.join(F.broadcast(hot.select(key, "salts")), key, "left")
     salt = F.coalesce(F.pmod(F.hash(spread_by), F.col("salts")), F.lit(0))
-    return flagged.select(*df.columns, salt.alias(SALT))
+    return flagged.select(*df.columns, salt.alias(SALT), F.col("salts").isNotNull().alias(HOT))
 
 
 def salt_copies(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
@@ -49,11 +49,9 @@ def salted_join(
 ) -> DataFrame:
     """Equi join of a large side with a small one, hot keys spread over many tasks.
 
-    Without ``hot`` it is a plain join, left to adaptive skew handling. A left side that
-    carries a stored salt is used as it is, so a table bucketed by (key, salt) is not
-    shuffled again.
+    Without ``hot`` it is a plain join, left to adaptive skew handling.
     """
     if hot is None:
-        return left.drop(SALT).join(right, key, how)
-    salted = left if SALT in left.columns else add_salt(left, key, hot, spread_by)
-    return salted.join(salt_copies(right, key, hot), [key, SALT], how).drop(SALT)
+        return left.join(right, key, how)
+    salted = add_salt(left, key, hot, spread_by)
+    return salted.join(salt_copies(right, key, hot), [key, SALT], how).drop(SALT, HOT)

@@ -10,28 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.operators.nodes import TRIANGLE_NODES
+from tidegrid.operators.nodes import TRIANGLE_NODES, with_vertices
 
 # Fixed value: the weight of each vertex of a flat triangle (eleven digits, not 1/3).
 FLAT_WEIGHT = 0.33333333333
 
 
-def _with_vertices(triangles: DataFrame, nodes: DataFrame, values: list[str], how: str) -> DataFrame:
-    """The triangles with ``node{k}_{value}`` columns looked up for k = 1, 2, 3."""
-    out = triangles
-    for k, column in enumerate(TRIANGLE_NODES, start=1):
-        vertex = nodes.select(
-            F.col("node_id").alias(column), *[F.col(v).alias(f"node{k}_{v}") for v in values]
-        )
-        out = out.join(vertex, column, how)
-    return out
-
-
 def triangle_vertices(weights: DataFrame, nodes: DataFrame) -> DataFrame:
     """Weighted triangles with the coordinates and value of all three vertices."""
     values = ["long", "lat", "wse"]
     keep = ["pg_id", *TRIANGLE_NODES, *(f"node{k}_weight" for k in (1, 2, 3))]
-    joined = _with_vertices(weights.select(*keep), nodes, values, "inner")
+    joined = with_vertices(weights.select(*keep), nodes, values, "inner")
     return joined.select(*keep, *(f"node{k}_{v}" for k in (1, 2, 3) for v in values))
 
 
@@ -46,7 +35,7 @@ def triangle_barycentric(weights: DataFrame, nodes: DataFrame) -> DataFrame:
         + F.col("node2_weight") * F.col(f"node2_{v}")
         + F.col("node3_weight") * F.col(f"node3_{v}")
     )
-    joined = _with_vertices(weights, nodes, ["long", "lat", "wse"], "left")
+    joined = with_vertices(weights, nodes, ["long", "lat", "wse"], "left")
     return joined.select(
         *weights.columns,
         weighted("long").alias("centroid_long"),
@@ -88,7 +77,7 @@ def barycentric_weights(elements: DataFrame, nodes: DataFrame) -> DataFrame:
     keep = elements.columns
     pts = nodes.select("node_id", F.col("long").alias("x"), F.col("lat").alias("y"),
                        F.when(~F.isnan("elevation"), F.col("elevation")).alias("z"))
-    t = _with_vertices(elements, pts, ["x", "y", "z"], "left")
+    t = with_vertices(elements, pts, ["x", "y", "z"], "left")
     corners = [f"node{k}_{v}" for k in (1, 2, 3) for v in "xyz"]
     vec = lambda p: tuple(F.col(f"{p}{v}") for v in "xyz")
     edge = lambda i, j, name: [

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.operators.skew import SALT, salted_join
+from tidegrid.functions.grid import GridMeta, cell_to_rowcol, int_div
+from tidegrid.operators.skew import HOT, SALT, salted_join
 
 
 def filter_masked(cov: DataFrame, threshold: float | None = None) -> DataFrame:
@@ -22,9 +23,8 @@ def filter_masked(cov: DataFrame, threshold: float | None = None) -> DataFrame:
 
 
 def _joined(cov: DataFrame, tri: DataFrame, hot: DataFrame | None) -> DataFrame:
-    stored_salt = [c for c in cov.columns if c == SALT]
     return salted_join(
-        cov.select("pg_id", "cell", "coverage_fraction", "elevation", *stored_salt),
+        cov.select("pg_id", "cell", "coverage_fraction", "elevation"),
         tri.select("pg_id", "wse_weighted_average"),
         "pg_id", hot, spread_by="cell",
     )
@@ -142,22 +142,21 @@ def select_outputs(df: DataFrame, generate_wse: bool, generate_depth: bool) -> D
 # --- many runs over one static domain -------------------------------------------------
 
 
-def domain_cells(cov: DataFrame) -> DataFrame:
-    """Static per-cell facts of a domain: cell, coverage_sum, elevation."""
-    facts = cov.groupBy("cell").agg(
-        F.sum("coverage_fraction").alias("coverage_sum"), F.max("elevation").alias("elevation")
-    )
-    return facts.where(F.col("elevation").isNotNull() & ~F.isnan("elevation"))
-
-
-def with_domain_cells(cov: DataFrame) -> DataFrame:
-    """Coverage rows with the static facts of their cell: coverage_sum, cell_elevation.
+def with_coverage_sum(cov: DataFrame) -> DataFrame:
+    """Coverage rows with the total coverage of their cell, a static fact of the domain.
 
     Sums are partly aggregated before the shuffle and joined back, so a cell under very
-    many triangles is never gathered in one place. Cells without an elevation drop out.
+    many triangles is never gathered in one place.
     """
-    facts = domain_cells(cov).withColumnRenamed("elevation", "cell_elevation")
-    return cov.join(facts, "cell").select(*cov.columns, "coverage_sum", "cell_elevation")
+    sums = cov.groupBy("cell").agg(F.sum("coverage_fraction").alias("coverage_sum"))
+    return cov.join(sums, "cell").select(*cov.columns, "coverage_sum")
+
+
+def with_tile(cov: DataFrame, meta: GridMeta, size: int = 512) -> DataFrame:
+    """Coverage rows with the number of the raster tile their cell lies in."""
+    across = -(-meta.width // size)
+    tile = int_div(F.col("row"), size) * across + int_div(F.col("col"), size)
+    return cell_to_rowcol(cov, meta.width).select(*cov.columns, tile.alias("tile"))
 
 
 def triangle_wse_runs(weights: DataFrame, node_wse: DataFrame) -> DataFrame:
@@ -189,24 +188,61 @@ def depth_runs(
 
     The denominator is static, so a run needs only its own non-NULL numerators; cells no
     triangle reaches in a run have no water level and would fail the depth filter anyway.
-    Coverage prepared by :func:`with_domain_cells` carries the static facts on its rows,
-    and then no cell-level join is left.
     """
     if "coverage_sum" not in cov.columns:
-        cov = with_domain_cells(cov)
-    stored_salt = [c for c in cov.columns if c == SALT]
+        cov = with_coverage_sum(cov)
     joined = salted_join(
-        cov.select("pg_id", "cell", "coverage_fraction", "coverage_sum", "cell_elevation", *stored_salt),
+        cov.select("pg_id", "cell", "coverage_fraction", "coverage_sum", "elevation"),
         tri_runs, "pg_id", hot, spread_by="cell", how="inner",
     )
-    per_cell = joined.groupBy("run_id", "cell").agg(
-        F.sum(F.col("wse_weighted_average") * F.col("coverage_fraction")).alias("weighted_sum"),
-        F.max("coverage_sum").alias("coverage_sum"),
-        F.max("cell_elevation").alias("elevation"),
-    )
-    per_cell = per_cell.select(
-        "run_id", "cell",
-        (F.col("weighted_sum") / F.nullif(F.col("coverage_sum"), F.lit(0.0))).alias("wse_cell_weighted_average"),
-        "elevation",
+    sums = joined.groupBy("run_id", "cell").agg(*_cell_sums(renormalize=False))
+    return _depth_of_sums(sums, ["run_id"], threshold)
+
+
+def _cell_sums(renormalize: bool) -> list[Column]:
+    wse, cov = F.col("wse_weighted_average"), F.col("coverage_fraction")
+    base = F.sum(cov) if renormalize else F.max("coverage_sum")
+    return [F.sum(wse * cov).alias("weighted_sum"), base.alias("base"), F.max("elevation").alias("elevation")]
+
+
+def _depth_of_sums(sums: DataFrame, run: list[str], threshold: float | None) -> DataFrame:
+    mean = F.col("weighted_sum") / F.nullif(F.col("base"), F.lit(0.0))
+    cells = sums.select(*run, "cell", mean.alias("wse_cell_weighted_average"), "elevation")
+    cells = cells.where(F.col("elevation").isNotNull() & ~F.isnan("elevation"))
+    return filter_depth(with_depth(cells), threshold)
+
+
+def depth_by_tile(
+    cov: DataFrame,
+    places: DataFrame,
+    tri: DataFrame,
+    threshold: float | None = None,
+    renormalize: bool = False,
+) -> DataFrame:
+    """Depth per cell (and run) from coverage laid out by raster tile, without moving it.
+
+    ``cov`` is stored bucketed by (tile, salt), ``places`` says in which of those each
+    triangle has coverage. Only the triangle values are shuffled, to the buckets holding
+    their coverage; the join and the sums per cell then both run inside a bucket. Tiles
+    with exceptionally many rows are salted, and only their partial sums are added up
+    across buckets. ``tri`` may hold many runs (a ``run_id`` column).
+
+    A triangle without a level adds nothing to a numerator and the denominator is static,
+    so an inner join gives what a left join and the depth filter would.
+    """
+    run = [c for c in ("run_id",) if c in tri.columns]
+    known = tri.where("wse_weighted_average IS NOT NULL").select(*run, "pg_id", "wse_weighted_average")
+    placed = places.select("pg_id", "tile", SALT).join(known, "pg_id")
+    if not run:
+        # A bucket holds a bounded number of coverage rows, and so of triangles to hash.
+        placed = placed.hint("shuffle_hash")
+    rows = cov.select("tile", SALT, HOT, "pg_id", "cell", "coverage_fraction", "coverage_sum", "elevation")
+    joined = rows.join(placed, ["tile", SALT, "pg_id"])
+    sums = joined.groupBy(*run, "tile", SALT, HOT, "cell").agg(*_cell_sums(renormalize))
+    across = sums.where(F.col(HOT)).groupBy(*run, "cell").agg(
+        F.sum("weighted_sum").alias("weighted_sum"),
+        (F.sum("base") if renormalize else F.max("base")).alias("base"),
+        F.max("elevation").alias("elevation"),
     )
-    return filter_depth(with_depth(per_cell), threshold)
+    settled = sums.where(~F.col(HOT)).select(*across.columns)
+    return _depth_of_sums(settled.unionByName(across), run, threshold)

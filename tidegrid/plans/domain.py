@@ -14,9 +14,9 @@ from tidegrid.operators import masks as mk
 from tidegrid.operators import nodes as nd
 from tidegrid.operators.overlay import attach_cell_attributes, coverage_fraction
 from tidegrid.operators.quality import null_report, warn_on_nulls
-from tidegrid.operators.skew import SALT, add_salt, hot_keys
+from tidegrid.operators.skew import HOT_ROWS, SALT, add_salt, hot_keys
 from tidegrid.operators.weights import barycentric_weights
-from tidegrid.operators.zonal import filter_masked, with_domain_cells
+from tidegrid.operators.zonal import filter_masked, with_coverage_sum, with_tile
 from tidegrid.plans.config import JobConfig
 from tidegrid.sinks.store import TableStore, export_land_mask, export_mesh, export_node_ids
 from tidegrid.sources.filesystem import validate_inputs
@@ -90,19 +90,24 @@ def bucket_count(rows: int, parallelism: int) -> int:
     return min(max(by_size, by_cores, 1), MAX_BUCKETS)
 
 
-def store_coverage(store: TableStore, raw: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Store the filtered coverage in the layout every forecast run joins.
+def store_coverage(
+    store: TableStore, raw: DataFrame, meta: GridMeta, threshold: float | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Store the filtered coverage in the layout every forecast run works on.
 
-    Coverage is by far the largest table and static, so it is laid out once: bucketed by
-    triangle, with the rows of exceptionally large triangles salted into several buckets.
-    A run then shuffles only its triangle values, and no bucket outgrows a task. The static
-    sum and elevation of each cell ride along.
+    Coverage is by far the largest table and static, so it is moved once: bucketed by the
+    raster tile of its cell, tiles with exceptionally many rows salted into several buckets.
+    ``triangle_tiles`` lists the places each triangle's value has to reach; a run shuffles
+    those values and leaves the coverage where it is.
     """
     kept = filter_masked(raw, threshold).select("pg_id", "cell", "coverage_fraction", "elevation", "mask")
-    hot = store.write(hot_keys(kept, "pg_id"), "hot_triangles")
+    tiled = with_tile(kept, meta)
+    hot = store.write(hot_keys(tiled, "tile", hot_rows), "hot_tiles")
     buckets = bucket_count(kept.count(), store.spark.sparkContext.defaultParallelism)
-    salted = add_salt(with_domain_cells(kept), "pg_id", hot, "cell")
-    return store.write_bucketed(salted, "masked_coverage_fraction", ["pg_id", SALT], buckets)
+    laid_out = add_salt(with_coverage_sum(tiled), "tile", hot, "pg_id")
+    stored = store.write_bucketed(laid_out, "masked_coverage_fraction", ["tile", SALT], buckets)
+    store.write(stored.select("pg_id", "tile", SALT).distinct(), "triangle_tiles")
+    return stored
 
 
 def preprocess(spark: SparkSession, cfg: JobConfig, dem: DataFrame, meta: GridMeta) -> DataFrame:
@@ -110,7 +115,7 @@ def preprocess(spark: SparkSession, cfg: JobConfig, dem: DataFrame, meta: GridMe
     validate_inputs(spark, cfg.mesh_path, cfg.coverage_path, cfg.crosswalk_path)
     store = TableStore(spark, cfg.store)
     store.write(read_crosswalk(spark, cfg.crosswalk_path), "node_cross_walk")
-    coverage = store_coverage(store, read_zonal(spark, cfg.coverage_path), cfg.elevation_threshold)
+    coverage = store_coverage(store, read_zonal(spark, cfg.coverage_path), meta, cfg.elevation_threshold)
     if cfg.triangles_path:
         store.write(el.mask_triangles(spark.read.parquet(cfg.triangles_path), coverage), "triangles")
     nodes, elements, _ = read_mesh_text(spark, cfg.mesh_path)

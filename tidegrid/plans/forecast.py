@@ -12,6 +12,7 @@ from tidegrid.operators import zonal as zo
 from tidegrid.operators.weights import triangle_barycentric
 from tidegrid.plans.config import CHUNK_STORE, JobConfig
 from tidegrid.plans.domain import build_mask, domain_nodes, preprocess
+from tidegrid.session import colocated_joins
 from tidegrid.sinks.rasters import VARIABLES, tiles_in_memory, write_chunk_store, write_tiles
 from tidegrid.sinks.store import TableStore, materialize_result
 from tidegrid.sources.mesh_text import read_mesh_text
@@ -31,13 +32,15 @@ def forecast_nodes(spark: SparkSession, cfg: JobConfig, store: TableStore) -> Da
     return domain_nodes(nodes, store, cfg.elevation_threshold)
 
 
-def compute_depth(store: TableStore, nodes: DataFrame, cfg: JobConfig) -> DataFrame:
-    """Depth per cell of one run, as one lazy plan from stored domain tables."""
-    triangles = triangle_barycentric(store.read("triangle_weights"), nodes)
-    coverage, hot = store.read("masked_coverage_fraction"), store.read("hot_triangles")
-    if cfg.low_memory:
-        return zo.depth(coverage, triangles, cfg.depth_threshold, cfg.renormalize, hot)
-    return zo.depth_legacy(coverage, triangles, hot)
+def compute_depth(store: TableStore, triangles: DataFrame, cfg: JobConfig) -> DataFrame:
+    """Depth per cell of one run from stored domain tables.
+
+    The older path fixes the threshold at zero here and applies it to the raster instead.
+    """
+    return zo.depth_by_tile(
+        store.read("masked_coverage_fraction"), store.read("triangle_tiles"), triangles,
+        cfg.depth_threshold if cfg.low_memory else 0.0, cfg.renormalize,
+    )
 
 
 def base_name(spark: SparkSession, source: str) -> str:
@@ -86,11 +89,11 @@ def interpolate_and_rasterize(
     if not cfg.generate_wse and not cfg.generate_depth:
         return 0, None
     store = TableStore(spark, cfg.store)
-    cells = zo.depth(store.read("masked_coverage_fraction"), store.read("triangle_barycentric"),
-                     cfg.depth_threshold, cfg.renormalize, store.read("hot_triangles"))
+    cells = compute_depth(store, store.read("triangle_barycentric"), cfg)
     result = zo.select_outputs(cells, cfg.generate_wse, cfg.generate_depth)
     path = f"{cfg.store}/result/{base_name(spark, source)}"
-    count = materialize_result(result, path)
+    with colocated_joins(spark):
+        count = materialize_result(result, path)
     meta = load_dem_metadata(store.read("dem_metadata"))
     return count, rasterize(load_result(spark, path), meta, cfg, source)
 
@@ -104,9 +107,10 @@ def execute(spark: SparkSession, cfg: JobConfig) -> tuple[int, dict[str, DataFra
     if cfg.low_memory:
         store.write(triangle_barycentric(store.read("triangle_weights"), nodes), "triangle_barycentric")
         return interpolate_and_rasterize(spark, cfg, source)
-    cells = compute_depth(store, nodes, cfg)
+    cells = compute_depth(store, triangle_barycentric(store.read("triangle_weights"), nodes), cfg)
     path = f"{cfg.store}/result/{base_name(spark, source)}"
-    count = materialize_result(cells, path)
+    with colocated_joins(spark):
+        count = materialize_result(cells, path)
     meta = load_dem_metadata(store.read("dem_metadata"))
     rasterize_legacy(load_result(spark, path), meta, cfg, source)
     return count, None

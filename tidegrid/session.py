@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,25 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
+@contextmanager
+def colocated_joins(spark: SparkSession) -> Iterator[None]:
+    """Let a join use a layout on some of its keys: bucketed by tile, joined by (tile, id).
+
+    Without it Spark shuffles both sides to the full key, which is as correct but moves the
+    bucketed table. The setting counts while a query is planned, so the action goes inside.
+    """
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.scalars import nan_to_null
-from tidegrid.operators.zonal import depth_runs, triangle_wse_runs
+from tidegrid.operators.zonal import depth_by_tile, triangle_wse_runs
+from tidegrid.session import colocated_joins
 from tidegrid.sinks.store import TableStore
 
 NODE_WSE_SCHEMA = "node_id bigint, wse double, run_id string"
@@ -24,8 +25,9 @@ def runs_depth(
     """Depth per run and cell for node water levels of one or many runs."""
     clean = node_wse.select("run_id", "node_id", nan_to_null("wse").alias("wse"))
     triangles = triangle_wse_runs(store.read("triangle_weights"), clean)
-    hot = store.read("hot_triangles") if store.exists("hot_triangles") else None
-    return depth_runs(store.read("masked_coverage_fraction"), triangles, threshold, hot)
+    return depth_by_tile(
+        store.read("masked_coverage_fraction"), store.read("triangle_tiles"), triangles, threshold
+    )
 
 
 def stream_runs(
@@ -50,11 +52,12 @@ def stream_runs(
         # run_id is the partition column, so the semi join prunes the files of other runs.
         nodes = everything.join(F.broadcast(touched), "run_id", "left_semi")
         result = runs_depth(store, nodes, threshold)
-        (
-            result.repartition("run_id", F.floor(F.col("cell") / F.lit(4_000_000)))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id").parquet(output_dir)
-        )
+        placed = result.repartition("run_id", F.floor(F.col("cell") / F.lit(4_000_000)))
+        with colocated_joins(session):
+            (
+                placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("run_id").parquet(output_dir)
+            )
 
     return (
         landed.writeStream.foreachBatch(process)
