@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from fixtures import views as v
 from fixtures.oracle_views import barycentric_view, depth_view, rnd, view, with_views
-from fixtures.queries_core import COV_OUT, DEPTH_OUT, WEIGHT_OUT
+from fixtures.queries_core import DEPTH_OUT, WEIGHT_OUT, ready_nodes, slope_weights
 from fixtures.queries_io import RASTER
 from fixtures.registry import query, rounded
 from tidegrid.functions.geometry import ring_wkt
 from tidegrid.operators import masks as mk
 from tidegrid.operators import tiles as tl
+from tidegrid.operators import zonal as zo
+from tidegrid.operators.weights import triangle_barycentric
 from tidegrid.plans import domain, forecast
 from tidegrid.plans.config import JobConfig
 from tidegrid.session import scratch_dir
@@ -66,6 +68,15 @@ def _(spark, sf):
     return rounded(cells, 3)
 
 
+@query("depth_by_tile", with_views(["slope_depth"], f"SELECT {DEPTH_OUT} FROM slope_depth WHERE depth >= 0"))
+def _(spark, sf):
+    store = TableStore(spark, scratch_dir(spark, "tiled"))
+    # Small tiles and a low limit, so that some tiles are salted and others are not.
+    cov = domain.store_coverage(store, v.coverage(spark, sf), v.grid(spark, sf), tile=16, hot_rows=500)
+    triangles = store.write(triangle_barycentric(slope_weights(spark, sf), ready_nodes(spark, sf)), "triangles")
+    return rounded(zo.depth_by_tile(cov, store.read("triangle_tiles"), triangles))
+
+
 @query("execute_legacy", with_views(["job_depth"], RASTER + "job_depth WHERE depth >= 0.1524::double"))
 def _(spark, sf):
     cfg = prepared(spark, sf, low_memory=False, depth_threshold=0.1524)

@@ -3,6 +3,7 @@
 import json
 import math
 import os
+from contextlib import nullcontext
 
 import numpy as np
 import pytest
@@ -16,7 +17,8 @@ from tidegrid.operators import zonal as zo
 from tidegrid.operators.skew import salt_copies
 from tidegrid.plans import forecast
 from tidegrid.plans.config import JobConfig
-from tidegrid.plans.domain import bucket_count
+from tidegrid.plans.domain import bucket_count, store_coverage
+from tidegrid.session import colocated_joins
 from tidegrid.sinks import rasters as rs
 from tidegrid.sinks.store import TableStore, export_mesh, materialize_result
 from tidegrid.streaming.runs import runs_depth, stream_runs
@@ -117,8 +119,8 @@ def test_lineage_keeps_one_row_per_table(spark, tmp_path):
 def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     rows = spark.range(5000).select((F.col("id") % 700).alias("pg_id"), F.lit(0).alias("_salt"), "id")
-    stored = store.write_bucketed(rows, "b", ["pg_id", "_salt"], 4)
-    assert stored.count() == 5000 and store.path("b").endswith(".b4.pg_id._salt")
+    stored = store.write_bucketed(rows, "b", ["pg_id", "_salt"], 4, ["id"])
+    assert stored.count() == 5000 and store.path("b").endswith(".b4.k2.pg_id._salt.id")
     small = spark.range(700).select(F.col("id").alias("pg_id"), F.rand(3).alias("x"))
     small = salt_copies(small, "pg_id", spark.createDataFrame([(3, 1)], "pg_id bigint, salts int"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -132,7 +134,7 @@ def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
 
 def test_bucket_counts():
     assert bucket_count(0, 8) == 1 and bucket_count(120_000, 8) == 3
-    assert bucket_count(1_000_000, 8) == 8 and bucket_count(10**9, 8) == 250
+    assert bucket_count(1_000_000, 8) == 8 and bucket_count(10**9, 8) == 1000
     assert bucket_count(10**13, 8) == 100_000
 
 
@@ -227,6 +229,39 @@ def test_incremental_runs_equal_the_batch_result(spark, sf, domain_cfg, tmp_path
     assert 0 < len(stored("c")) < len(want)
 
 
+@pytest.mark.parametrize("renormalize", [False, True])
+def test_a_hot_cell_is_salted_and_still_exact(spark, tmp_path, renormalize):
+    """A third of all coverage rows in one cell, triangles without a level among them."""
+    meta = GridMeta(64, 64, (1.0, 0.0, 0.0, 0.0, -1.0, 64.0))
+    cov = spark.range(9000).select(
+        F.col("id").alias("pg_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(700)).otherwise(F.col("id") % 4096 + 1).alias("cell"),
+        (F.rand(2) + 0.01).alias("coverage_fraction"), F.lit(0.25).alias("elevation"), F.lit(False).alias("mask"))
+    cov.write.parquet(str(tmp_path / "cov"))
+    cov = spark.read.parquet(str(tmp_path / "cov"))
+    tri = spark.range(9000).where("id % 5 <> 1").select(
+        F.col("id").alias("pg_id"), F.when(F.col("id") % 7 != 2, F.col("id") % 13 + 0.5).alias("wse_weighted_average"))
+    store = TableStore(spark, str(tmp_path / "store"))
+    stored = store_coverage(store, cov, meta, tile=16, hot_rows=1000)
+    assert store.read("hot_tiles").count() == 1
+    assert max(r["count"] for r in stored.groupBy("tile", "_salt").count().collect()) < 1400
+    want = {r["cell"]: r["depth"] for r in zo.depth(cov, tri, renormalize=renormalize).collect()}
+    for settings in (nullcontext(), colocated_joins(spark)):
+        with settings:
+            got = zo.depth_by_tile(stored, store.read("triangle_tiles"), tri, renormalize=renormalize).collect()
+        assert {r["cell"]: r["depth"] for r in got} == pytest.approx(want) and len(got) == len(want) > 2000
+
+
+def test_a_run_does_not_shuffle_coverage(spark, domain_cfg):
+    store = TableStore(spark, domain_cfg.store)
+    tri = store.read("triangle_weights").select("pg_id", F.rand(1).alias("wse_weighted_average"))
+    with colocated_joins(spark):
+        df = zo.depth_by_tile(store.read("masked_coverage_fraction"), store.read("triangle_tiles"), tri)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.index("SortAggregate"):plan.index("FileScan")]
+    assert "Exchange" not in first and "Sort [" not in first
+
+
 def test_stored_coverage_gives_the_plain_depth(spark, sf, domain_cfg):
     store = TableStore(spark, domain_cfg.store)
     plain = zo.filter_masked(v.coverage(spark, sf))

@@ -236,13 +236,18 @@ def depth_by_tile(
     if not run:
         # A bucket holds a bounded number of coverage rows, and so of triangles to hash.
         placed = placed.hint("shuffle_hash")
-    rows = cov.select("tile", SALT, HOT, "pg_id", "cell", "coverage_fraction", "coverage_sum", "elevation")
-    joined = rows.join(placed, ["tile", SALT, "pg_id"])
-    sums = joined.groupBy(*run, "tile", SALT, HOT, "cell").agg(*_cell_sums(renormalize))
-    across = sums.where(F.col(HOT)).groupBy(*run, "cell").agg(
+
+    def sums(part: Column) -> DataFrame:
+        rows = cov.where(part).select(
+            "tile", SALT, "pg_id", "cell", "coverage_fraction", "coverage_sum", "elevation"
+        )
+        joined = rows.join(placed, ["tile", SALT, "pg_id"])
+        return joined.groupBy("tile", SALT, "cell", *run).agg(*_cell_sums(renormalize))
+
+    across = sums(F.col(HOT)).groupBy(*run, "cell").agg(
         F.sum("weighted_sum").alias("weighted_sum"),
         (F.sum("base") if renormalize else F.max("base")).alias("base"),
         F.max("elevation").alias("elevation"),
     )
-    settled = sums.where(~F.col(HOT)).select(*across.columns)
+    settled = sums(~F.col(HOT)).select(*across.columns)
     return _depth_of_sums(settled.unionByName(across), run, threshold)

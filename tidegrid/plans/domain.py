@@ -24,8 +24,8 @@ from tidegrid.sources.layers import register_layers
 from tidegrid.sources.mesh_text import read_crosswalk, read_mesh_strict, read_mesh_text
 from tidegrid.sources.tables import metadata_row, read_zonal
 
-#: Coverage rows per bucket (about 100 MB of Parquet), and Spark's limit on buckets.
-BUCKET_ROWS = 4_000_000
+#: Coverage rows per bucket (some 25 MB of Parquet), and Spark's limit on buckets.
+BUCKET_ROWS = 1_000_000
 MIN_BUCKET_ROWS = 50_000
 MAX_BUCKETS = 100_000
 
@@ -91,7 +91,12 @@ def bucket_count(rows: int, parallelism: int) -> int:
 
 
 def store_coverage(
-    store: TableStore, raw: DataFrame, meta: GridMeta, threshold: float | None = None, hot_rows: int = HOT_ROWS
+    store: TableStore,
+    raw: DataFrame,
+    meta: GridMeta,
+    threshold: float | None = None,
+    tile: int = 512,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Store the filtered coverage in the layout every forecast run works on.
 
@@ -101,11 +106,11 @@ def store_coverage(
     those values and leaves the coverage where it is.
     """
     kept = filter_masked(raw, threshold).select("pg_id", "cell", "coverage_fraction", "elevation", "mask")
-    tiled = with_tile(kept, meta)
+    tiled = with_tile(kept, meta, tile)
     hot = store.write(hot_keys(tiled, "tile", hot_rows), "hot_tiles")
     buckets = bucket_count(kept.count(), store.spark.sparkContext.defaultParallelism)
     laid_out = add_salt(with_coverage_sum(tiled), "tile", hot, "pg_id")
-    stored = store.write_bucketed(laid_out, "masked_coverage_fraction", ["tile", SALT], buckets)
+    stored = store.write_bucketed(laid_out, "masked_coverage_fraction", ["tile", SALT], buckets, ["cell"])
     store.write(stored.select("pg_id", "tile", SALT).distinct(), "triangle_tiles")
     return stored
 

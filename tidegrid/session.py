@@ -21,6 +21,13 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: Settings that let a plan rely on the bucketing and order of a stored table.
+COLOCATED = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
+}
+
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with :data:`RECOMMENDED` applied; ``conf`` keys use ``__`` for dots."""
@@ -35,21 +42,23 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 @contextmanager
 def colocated_joins(spark: SparkSession) -> Iterator[None]:
-    """Let a join use a layout on some of its keys: bucketed by tile, joined by (tile, id).
+    """Let queries use a stored layout: bucketed by tile, sorted by cell, joined by (tile, id).
 
-    Without it Spark shuffles both sides to the full key, which is as correct but moves the
-    bucketed table. The setting counts while a query is planned, so the action goes inside.
+    Without it Spark shuffles both sides to the full join key and hashes the groups, which is
+    as correct but moves the bucketed table. The settings count while a query is planned, so
+    the action goes inside.
     """
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "false")
+    before = {name: spark.conf.get(name, None) for name in COLOCATED}
+    for name, value in COLOCATED.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

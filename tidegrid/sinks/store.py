@@ -19,8 +19,9 @@ from tidegrid.sources.filesystem import _resolve, path_exists
 class TableStore:
     """Named tables under one root folder on the shared file system.
 
-    A version folder is called ``v000001``, or ``v000001.b64.pg_id._salt`` when its files
-    are bucketed, so the layout is committed together with the data.
+    A version folder is called ``v000001``, or ``v000001.b64.k2.tile._salt.cell`` when its
+    files are in 64 buckets by the first two columns and sorted by all three, so the layout
+    is committed together with the data.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -33,7 +34,7 @@ class TableStore:
         if not fs.exists(folder):
             return []
         labels = [status.getPath().getName() for status in fs.listStatus(folder)]
-        labels = [label for label in labels if re.fullmatch(r"v\d{6}(\.b\d+(\.\w+)+)?", label)]
+        labels = [label for label in labels if re.fullmatch(r"v\d{6}(\.b\d+\.k\d+(\.\w+)+)?", label)]
         if complete:
             labels = [x for x in labels if path_exists(self.spark, f"{self.root}/{name}/{x}/_SUCCESS")]
         return sorted(labels)
@@ -62,14 +63,16 @@ class TableStore:
         label = path.rsplit("/", 1)[-1]
         if ".b" not in label:
             return plain
-        _, buckets, *keys = label.split(".")
+        _, buckets, n_keys, *columns_by = label.split(".")
+        keys = columns_by[: int(n_keys[1:])]
         # The catalog entry only tells Spark about the buckets; the files stay where they are.
         entry = f"bucketed_{hashlib.md5(path.encode()).hexdigest()}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-        by = ", ".join(f"`{k}`" for k in keys)
+        quoted = lambda names: ", ".join(f"`{k}`" for k in names)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {entry} ({columns}) USING parquet "
-            f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets[1:]} BUCKETS LOCATION '{path}'"
+            f"CLUSTERED BY ({quoted(keys)}) SORTED BY ({quoted(columns_by)}) "
+            f"INTO {buckets[1:]} BUCKETS LOCATION '{path}'"
         )
         return self.spark.table(entry)
 
@@ -79,15 +82,19 @@ class TableStore:
         self._drop_old(name, keep)
         return self.read(name)
 
-    def write_bucketed(self, df: DataFrame, name: str, keys: list[str], buckets: int, keep: int = 2) -> DataFrame:
-        """Create or replace a table bucketed and sorted by keys, one file per bucket.
+    def write_bucketed(
+        self, df: DataFrame, name: str, keys: list[str], buckets: int, order: list[str] | None = None, keep: int = 2
+    ) -> DataFrame:
+        """Create or replace a table bucketed by keys and sorted by keys and ``order``.
 
-        Joins and aggregations on the keys then need no shuffle of this table.
+        There is one file per bucket, so joins and aggregations on the keys need no shuffle
+        of this table, and those that follow its order need no sort or hash table either.
         """
-        target = f"{self.root}/{name}/{self._next(name)}.b{buckets}.{'.'.join(keys)}"
+        by = [*keys, *(order or [])]
+        target = f"{self.root}/{name}/{self._next(name)}.b{buckets}.k{len(keys)}.{'.'.join(by)}"
         entry = f"writing_{hashlib.md5(target.encode()).hexdigest()}"
         writer = df.repartition(buckets, *keys).write.format("parquet").option("path", target)
-        writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(entry)
+        writer.bucketBy(buckets, *keys).sortBy(*by).saveAsTable(entry)
         self.spark.sql(f"DROP TABLE {entry}")  # an external table: its files stay
         self._drop_old(name, keep)
         return self.read(name)
