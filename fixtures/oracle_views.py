@@ -127,7 +127,10 @@ view("cheap_masked", ["cheap_coverage"], """
 SELECT * FROM cheap_coverage WHERE mask IS FALSE AND elevation IS NOT NULL AND NOT isnan(elevation)""")
 
 view("triangle_values", [], """
-SELECT p_partkey AS pg_id, p_retailprice / 487.31::double AS wse_weighted_average FROM part WHERE p_partkey % 11 <> 3""")
+SELECT p_partkey AS pg_id,
+  CASE WHEN p_partkey % 11 <> 3 THEN p_retailprice / 487.31::double END AS wse_weighted_average FROM part""")
+
+view("terrain", ["dem"], "SELECT cell, elevation * 1.07317::double AS depth FROM dem WHERE elevation IS NOT NULL")
 
 view("crosswalk", [], """
 SELECT row_number() OVER (ORDER BY c_custkey) AS node_id_nc, c_custkey + 1 AS node_id_gr3

@@ -226,70 +226,61 @@ def _(spark, sf):
 # --- raster sinks -----------------------------------------------------------------------
 
 RASTER = "SELECT cell, round(CAST(CAST(depth AS FLOAT) AS DOUBLE), 3) + 0.0::double AS value FROM "
-CHEAP_WIDTH = 400
 
 
-def cheap_grid(spark, sf):
-    """The cheap coverage's cells (80,000 at most) on a 400-column grid."""
-    from tidegrid.functions.grid import GridMeta
-
-    return GridMeta(CHEAP_WIDTH, 200, (0.001, 0.0, -82.0, 0.0, -0.001, 30.0))
-
-
-@query("write_tiles", with_views(["cheap_depth"], RASTER + "cheap_depth WHERE depth >= 0"))
+@query("write_tiles", with_views(["terrain"], RASTER + "terrain"))
 def _(spark, sf):
-    meta = cheap_grid(spark, sf)
-    tiles = rs.write_tiles(cheap_depth(spark, sf), meta, "depth", scratch_dir(spark, "tiles"), tile=64)
+    meta = v.grid(spark, sf)
+    tiles = rs.write_tiles(v.terrain_raster(spark, sf), meta, "depth", scratch_dir(spark, "tiles"), tile=64)
     return rounded(tl.tiles_to_cells(tiles, meta), 3)
 
 
-@query("write_tiles_legacy", with_views(["cheap_depth"], RASTER + "cheap_depth WHERE depth >= 0.5::double"))
+@query("write_tiles_legacy", with_views(["terrain"], RASTER + "terrain WHERE depth >= 0.5::double"))
 def _(spark, sf):
-    meta = cheap_grid(spark, sf)
-    tiles = rs.write_tiles(cheap_depth(spark, sf), meta, "depth", scratch_dir(spark, "tiles"), 1000,
+    meta = v.grid(spark, sf)
+    tiles = rs.write_tiles(v.terrain_raster(spark, sf), meta, "depth", scratch_dir(spark, "tiles"), 1000,
                            float("nan"), depth_threshold=0.5)
-    return rounded(tl.tiles_to_cells(tiles, meta), 3)
+    return rounded(tl.tiles_to_cells(tiles, meta, float("nan")), 3)
 
 
-@query("tile_index", with_views(["cheap_depth"], """
-SELECT CAST(((cell-1)//400)//64 AS INTEGER) AS tile_row, CAST(((cell-1)%400)//64 AS INTEGER) AS tile_col,
-  CAST(least(64, 200 - 64 * (((cell-1)//400)//64)) AS INTEGER) AS n_rows,
-  CAST(least(64, 400 - 64 * (((cell-1)%400)//64)) AS INTEGER) AS n_cols
-FROM cheap_depth WHERE depth >= 0 GROUP BY ALL"""))
+@query("tile_index", with_views(["terrain", "grid"], """
+SELECT CAST(((cell-1)//150)//64 AS INTEGER) AS tile_row, CAST(((cell-1)%150)//64 AS INTEGER) AS tile_col,
+  CAST(least(64, height - 64 * (((cell-1)//150)//64)) AS INTEGER) AS n_rows,
+  CAST(least(64, 150 - 64 * (((cell-1)%150)//64)) AS INTEGER) AS n_cols
+FROM terrain, grid GROUP BY ALL"""))
 def _(spark, sf):
-    tiles = tl.build_tiles(cheap_depth(spark, sf), cheap_grid(spark, sf), "depth", tile=64)
+    tiles = tl.build_tiles(v.terrain_raster(spark, sf), v.grid(spark, sf), "depth", tile=64)
     return tiles.select("tile_row", "tile_col", "n_rows", "n_cols")
 
 
-@query("write_chunk_store", with_views(["cheap_depth"], RASTER + "cheap_depth WHERE depth >= 0.25::double"))
+@query("write_chunk_store", with_views(["terrain"], RASTER + "terrain WHERE depth >= 0.25::double"))
 def _(spark, sf):
-    meta, store = cheap_grid(spark, sf), scratch_dir(spark, "chunks")
-    cells = cheap_depth(spark, sf)
-    rs.write_chunk_store(cells, meta, "wse_cell_weighted_average", store, "r1_wse", 64, unique=True)
+    meta, store = v.grid(spark, sf), scratch_dir(spark, "chunks")
+    cells = v.terrain_raster(spark, sf)
+    rs.write_chunk_store(cells, meta, "depth", store, "r2_depth", 64, unique=True)
     # The second write of the same array replaces it.
     for threshold in (0.0, 0.25):
         rs.write_chunk_store(zo.filter_depth(cells, threshold), meta, "depth", store, "r1_depth", 64, unique=True)
     return rounded(rs.read_chunk_store(spark, store, "r1_depth"), 3)
 
 
-@query("tiles_in_memory", with_views(["cheap_depth"], RASTER + "cheap_depth WHERE depth >= 0"))
+@query("tiles_in_memory", with_views(["terrain"], RASTER + "terrain"))
 def _(spark, sf):
-    meta = cheap_grid(spark, sf)
-    tiles = rs.tiles_in_memory(cheap_depth(spark, sf), meta, generate_wse=True)
-    return rounded(tl.tiles_to_cells(tiles["depth"], meta), 3)
+    tiles = rs.tiles_in_memory(v.terrain_raster(spark, sf), v.grid(spark, sf))
+    return rounded(tl.tiles_to_cells(tiles["depth"], v.grid(spark, sf)), 3)
 
 
 def _overview_sql() -> str:
-    views = ["l0 AS (SELECT (cell-1)//400 AS row, (cell-1)%400 AS col, depth AS value FROM cheap_depth WHERE depth >= 0)"]
+    views = ["l0 AS (SELECT (cell-1)//150 AS row, (cell-1)%150 AS col, depth AS value FROM terrain)"]
     for k in (1, 2, 3):
         views.append(f"l{k} AS (SELECT row//2 AS row, col//2 AS col, avg(value) AS value FROM l{k-1} GROUP BY 1, 2)")
     body = " UNION ALL ".join(f"SELECT {k} AS level, row, col, {rnd('value', 'value')} FROM l{k}" for k in (1, 2, 3))
-    return with_views(["cheap_depth"], ", " + ", ".join(views) + " " + body)
+    return with_views(["terrain"], ", " + ", ".join(views) + " " + body)
 
 
 @query("overviews", _overview_sql())
 def _(spark, sf):
-    return rounded(tl.overviews(cheap_depth(spark, sf), cheap_grid(spark, sf), "depth", levels=3))
+    return rounded(tl.overviews(v.terrain_raster(spark, sf), v.grid(spark, sf), "depth", levels=3))
 
 
 @query("ordered_result", CHEAP)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegrid.functions.grid import GridMeta
 from tidegrid.operators.elements import triangle_rings
@@ -19,8 +20,15 @@ HALF_DIAMOND = 0.01035
 LAYERS = ["levee", "lakes", "water"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A supplied table; its schema is read from the file once, not once per use."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def nodes(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,16 +108,25 @@ def cheap_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def triangle_values(spark: SparkSession, sf: str) -> DataFrame:
-    """A value per part, to go with the cheap coverage; every eleventh part has none.
+    """A value per part, to go with the cheap coverage; NULL for every eleventh part.
 
     The divisor keeps weighted means away from exact decimal ties, where two engines may
     round the last compared digit differently.
     """
-    return table(spark, sf, "part").where("p_partkey % 11 <> 3").selectExpr(
-        "p_partkey AS pg_id", "p_retailprice / 487.31D AS wse_weighted_average"
+    return table(spark, sf, "part").selectExpr(
+        "p_partkey AS pg_id",
+        "CASE WHEN p_partkey % 11 <> 3 THEN p_retailprice / 487.31D END AS wse_weighted_average",
     )
 
 
+def terrain_raster(spark: SparkSession, sf: str) -> DataFrame:
+    """The terrain as a raster variable called depth, cells without data left out.
+
+    The factor keeps averages of a few cells away from exact decimal ties.
+    """
+    return dem(spark, sf).where("elevation IS NOT NULL").selectExpr("cell", "elevation * 1.07317D AS depth")
+
+
 def interior_layers(spark: SparkSession, sf: str) -> DataFrame:
     """One diamond per supplier, spread over three layers."""
     s = table(spark, sf, "supplier").selectExpr(

@@ -19,6 +19,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # Call sites recorded for every column expression cost more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 #: Settings that let a plan rely on the bucketing and order of a stored table.

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from tidegrid.sources.filesystem import _resolve, path_exists
 
 
+def _entry(path: str) -> str:
+    """Catalog name of a bucketed version folder."""
+    return f"bucketed_{hashlib.md5(path.encode()).hexdigest()}"
+
+
 class TableStore:
     """Named tables under one root folder on the shared file system.
 
@@ -45,7 +50,9 @@ class TableStore:
 
     def _drop_old(self, name: str, keep: int) -> None:
         for label in self._versions(name)[:-keep]:
-            fs, folder = _resolve(self.spark, f"{self.root}/{name}/{label}")
+            path = f"{self.root}/{name}/{label}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {_entry(path)}")
+            fs, folder = _resolve(self.spark, path)
             fs.delete(folder, True)
 
     def exists(self, name: str) -> bool:
@@ -66,7 +73,7 @@ class TableStore:
         _, buckets, n_keys, *columns_by = label.split(".")
         keys = columns_by[: int(n_keys[1:])]
         # The catalog entry only tells Spark about the buckets; the files stay where they are.
-        entry = f"bucketed_{hashlib.md5(path.encode()).hexdigest()}"
+        entry = _entry(path)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
         quoted = lambda names: ", ".join(f"`{k}`" for k in names)
         self.spark.sql(
@@ -92,7 +99,7 @@ class TableStore:
         """
         by = [*keys, *(order or [])]
         target = f"{self.root}/{name}/{self._next(name)}.b{buckets}.k{len(keys)}.{'.'.join(by)}"
-        entry = f"writing_{hashlib.md5(target.encode()).hexdigest()}"
+        entry = f"writing_{_entry(target)}"
         writer = df.repartition(buckets, *keys).write.format("parquet").option("path", target)
         writer.bucketBy(buckets, *keys).sortBy(*by).saveAsTable(entry)
         self.spark.sql(f"DROP TABLE {entry}")  # an external table: its files stay

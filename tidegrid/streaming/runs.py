@@ -40,7 +40,6 @@ def stream_runs(
     max_files: int = 1000,
 ) -> StreamingQuery:
     """Start the job over everything that has landed and not been processed yet."""
-    store = TableStore(spark, store_root)
     landed = (
         spark.readStream.schema(NODE_WSE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(landing_dir)
     )
@@ -51,7 +50,8 @@ def stream_runs(
         everything = session.read.schema(NODE_WSE_SCHEMA).parquet(landing_dir)
         # run_id is the partition column, so the semi join prunes the files of other runs.
         nodes = everything.join(F.broadcast(touched), "run_id", "left_semi")
-        result = runs_depth(store, nodes, threshold)
+        # All inputs come from the batch's own session, whose settings the plan follows.
+        result = runs_depth(TableStore(session, store_root), nodes, threshold)
         placed = result.repartition("run_id", F.floor(F.col("cell") / F.lit(4_000_000)))
         with colocated_joins(session):
             (
