@@ -143,8 +143,12 @@ def test_null_and_empty_rings_give_no_rows(spark):
 def test_unmasked_cells_are_false_never_null(spark):
     overlay = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.5), (1, 3, 0.5)], "pg_id bigint, cell bigint, coverage_fraction double")
     cells = spark.createDataFrame([(1, 2.0, None), (2, 3.0, True)], "cell bigint, elevation double, mask boolean")
-    got = {r["cell"]: (r["elevation"], r["mask"]) for r in attach_cell_attributes(overlay, cells).collect()}
-    assert got == {1: (2.0, False), 2: (3.0, True), 3: (None, False)}
+    hot = spark.createDataFrame([(1, 3)], "cell bigint, salts int")
+    for listed in (None, hot):
+        rows = attach_cell_attributes(overlay, cells, listed).collect()
+        assert len(rows) == 3
+        assert {r["cell"]: (r["elevation"], r["mask"]) for r in rows} == {
+            1: (2.0, False), 2: (3.0, True), 3: (None, False)}
 
 
 def test_tessellation_lists_a_feature_per_tile(spark):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import explode_edges
 from tidegrid.functions.grid import GridMeta, cell_id
-from tidegrid.operators.skew import spread
+from tidegrid.operators.skew import salted_join, spread
 
 #: Rows at or below this coverage are rounding noise of cells that only touch the polygon.
 MIN_COVERAGE = 1e-9
@@ -137,17 +137,17 @@ def coverage_fraction(
     )
 
 
-def attach_cell_attributes(overlay: DataFrame, cells: DataFrame) -> DataFrame:
+def attach_cell_attributes(overlay: DataFrame, cells: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Overlay rows with the elevation and mask of their cell.
 
     ``mask`` is false, never NULL, for an unmasked cell, because the coverage filter keeps
-    strictly false rows only.
+    strictly false rows only. ``hot`` lists cells under exceptionally many polygons.
     """
     attributes = cells.select(
         "cell", "elevation",
         (F.coalesce("mask", F.lit(False)) if "mask" in cells.columns else F.lit(False)).alias("_mask"),
     )
-    joined = overlay.join(attributes, "cell", "left")
+    joined = salted_join(overlay, attributes, "cell", hot, spread_by="pg_id")
     return joined.select(
         *overlay.columns, "elevation", F.coalesce("_mask", F.lit(False)).alias("mask")
     )

@@ -142,14 +142,15 @@ def select_outputs(df: DataFrame, generate_wse: bool, generate_depth: bool) -> D
 # --- many runs over one static domain -------------------------------------------------
 
 
-def with_coverage_sum(cov: DataFrame) -> DataFrame:
+def with_coverage_sum(cov: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Coverage rows with the total coverage of their cell, a static fact of the domain.
 
-    Sums are partly aggregated before the shuffle and joined back, so a cell under very
-    many triangles is never gathered in one place.
+    Sums are partly aggregated before the shuffle and joined back, the rows of ``hot`` cells
+    spread over several tasks, so a cell under very many triangles is never gathered in one.
     """
     sums = cov.groupBy("cell").agg(F.sum("coverage_fraction").alias("coverage_sum"))
-    return cov.join(sums, "cell").select(*cov.columns, "coverage_sum")
+    joined = salted_join(cov, sums, "cell", hot, spread_by="pg_id", how="inner")
+    return joined.select(*cov.columns, "coverage_sum")
 
 
 def with_tile(cov: DataFrame, meta: GridMeta, size: int = 512) -> DataFrame:

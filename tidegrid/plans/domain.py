@@ -56,8 +56,10 @@ def build_coverage(
     if store.exists("mask_runs"):
         masked = mk.run_cells(store.read("mask_runs"), meta).withColumn("mask", F.lit(True))
         cells = dem.join(masked, "cell", "left")
-    overlay = coverage_fraction(rings, meta)
-    return store.write(attach_cell_attributes(overlay, cells), "coverage_fraction")
+    # Stored first: counting the rows per cell would otherwise compute the overlay again.
+    overlay = store.write(coverage_fraction(rings, meta), "overlay")
+    hot_cells = hot_keys(overlay, "cell")
+    return store.write(attach_cell_attributes(overlay, cells, hot_cells), "coverage_fraction")
 
 
 def convert_mesh(
@@ -109,7 +111,8 @@ def store_coverage(
     tiled = with_tile(kept, meta, tile)
     hot = store.write(hot_keys(tiled, "tile", hot_rows), "hot_tiles")
     buckets = bucket_count(kept.count(), store.spark.sparkContext.defaultParallelism)
-    laid_out = add_salt(with_coverage_sum(tiled), "tile", hot, "pg_id")
+    hot_cells = store.write(hot_keys(kept, "cell", hot_rows), "hot_cells")
+    laid_out = add_salt(with_coverage_sum(tiled, hot_cells), "tile", hot, "pg_id")
     stored = store.write_bucketed(laid_out, "masked_coverage_fraction", ["tile", SALT], buckets, ["cell"])
     store.write(stored.select("pg_id", "tile", SALT).distinct(), "triangle_tiles")
     return stored
