@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidegrid.llm.common import table
 from tidegrid.llm.exact_dedup import exact_duplicates
+from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,3 +37,12 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(table(spark, sf_dir, "documents"), digests=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(spans_as_text("assign", "access", "hex").cast("binary"), 256).alias("base_sha256"),
+                        spans_as_text(*KINDS).alias("spans"))
