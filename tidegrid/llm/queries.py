@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import table
+from tidegrid.llm.decontaminate import find_contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
 
@@ -46,3 +47,38 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts,
                         F.sha2(spans_as_text("assign", "access", "hex").cast("binary"), 256).alias("base_sha256"),
                         spans_as_text(*KINDS).alias("spans"))
+
+
+@query("op10_decontaminate", r"""
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    i AS (
+        SELECT item_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    spots AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0),
+    wins AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + 9), ' ') AS phrase
+        FROM spots),
+    places AS (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+        FROM d CROSS JOIN (SELECT DISTINCT n FROM wins)),
+    grams AS (SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS phrase FROM places),
+    hits AS (SELECT g.doc_id, g.s, g.n, wins.item_id FROM grams g JOIN wins USING (n, phrase)),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+    listed AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+               FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
