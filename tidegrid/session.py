@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -73,3 +75,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not shared:
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the workers, whatever the driver's path is.
+
+    Jobs whose tasks call functions of the package need that; once per application is enough.
+    ``--py-files`` does the same from outside.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidegrid_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ship-"), "tidegrid.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("tidegrid", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context._tidegrid_shipped = True
