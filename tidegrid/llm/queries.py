@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.llm import quality, toxicity
 from tidegrid.llm.common import table
 from tidegrid.llm.decontaminate import find_contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
@@ -82,3 +83,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.train_toxicity(docs, table(spark, sf_dir, "labels"), usable=~out)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality.held_out(F.col("doc_id"))
+    model = quality.train_quality(docs, table(spark, sf_dir, "labels"), usable=~out)
+    return quality.score_quality(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
