@@ -11,6 +11,7 @@ from tidegrid.llm import quality, toxicity
 from tidegrid.llm.common import table
 from tidegrid.llm.decontaminate import find_contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
+from tidegrid.llm.minhash import near_duplicates
 from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +102,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train_quality(docs, table(spark, sf_dir, "labels"), usable=~out)
     return quality.score_quality(docs, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op2_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
