@@ -13,6 +13,7 @@ from tidegrid.llm.decontaminate import find_contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.minhash import near_duplicates
 from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
+from tidegrid.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,3 +109,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
