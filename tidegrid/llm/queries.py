@@ -14,6 +14,7 @@ from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.minhash import near_duplicates
 from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
 from tidegrid.llm.suffix_dedup import remove_repeats
+from tidegrid.llm.warc import capture_index
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,3 +115,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op8_warc")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = capture_index(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "time")
