@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.llm.common import ids_and_texts, text_of
 from tidegrid.llm.sampling import fold, labelled_sample, train
@@ -184,7 +185,7 @@ def keep_good(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold:
             yield b.select(["row"]).filter(pa.array(score(b["text"].to_pylist()) >= threshold))
 
     rows = docs.select(F.struct("*").alias("row"), text_of(text_col).alias("text"))
-    kept = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}")
+    kept = rows.mapInArrow(run, T.StructType([rows.schema["row"]]))
     return kept.select("row.*")
 
 

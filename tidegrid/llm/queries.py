@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm import quality, toxicity
+from tidegrid.llm.chat import format_conversations, loss_text, read_turns
 from tidegrid.llm.common import table
 from tidegrid.llm.decontaminate import find_contamination
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.minhash import near_duplicates
+from tidegrid.llm.mixing import mix_sources
 from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
 from tidegrid.llm.suffix_dedup import remove_repeats
 from tidegrid.llm.warc import capture_index
@@ -121,3 +123,38 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = capture_index(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "time")
+
+
+@query("op5_chat_format", r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    joined AS (
+        SELECT conv_id, count(*) AS n_turns,
+               string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+               coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+               sum(3 + length(role) + 1 + length(regexp_replace(text, '(<|\[)(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')) + 5)
+                   AS formatted_chars
+        FROM turns GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+           sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
+    FROM joined""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    done = format_conversations(rows.unionByName(extra))
+    turns = read_turns(F.col("formatted"))
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    found = done.select("conv_id", turns.alias("turns"), loss_text(F.col("formatted"), F.col("loss")).alias("learned"),
+                        F.length("formatted").cast("long").alias("formatted_chars"))
+    return found.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spoken.cast("binary"), 256).alias("turns_sha256"),
+                        F.length("learned").cast("long").alias("loss_chars"),
+                        F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op6_mix_sources")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", "release", "deadline", "slot", "position")
