@@ -91,15 +91,16 @@ def _entropy_range(body: Column) -> Column:
 
     def step(acc: Column, i: Column) -> Column:
         enters = F.substring(body, i, F.lit(1))
-        leaves = F.when(i > WINDOW, F.substring(body, i - WINDOW, F.lit(1)))
-        out = F.coalesce(F.element_at(gain, F.element_at(acc["counts"], leaves)), F.lit(0.0))
-        same = F.when(enters == leaves, 1).otherwise(0)
+        full = i > WINDOW
+        leaves = F.substring(body, F.greatest(i - WINDOW, F.lit(1)), F.lit(1))
+        out = F.when(full, F.element_at(gain, F.element_at(acc["counts"], leaves))).otherwise(0.0)
+        same = F.when(full & (enters == leaves), 1).otherwise(0)
         into = F.element_at(gain, F.element_at(acc["counts"], enters) - same + 1)
         total = acc["sum"] - out + into
         hit = (i >= WINDOW) & (total <= most)
         return F.struct(
             F.transform_values(acc["counts"], lambda k, v: v + F.when(k == enters, 1).otherwise(0)
-                               - F.when(k == leaves, 1).otherwise(0)).alias("counts"),
+                               - F.when(full & (k == leaves), 1).otherwise(0)).alias("counts"),
             total.alias("sum"),
             F.when(hit & (acc["first"] < 0), i - WINDOW).otherwise(acc["first"]).alias("first"),
             F.when(hit, i - WINDOW).otherwise(acc["last"]).alias("last"),
