@@ -9,7 +9,7 @@ from tidegrid.llm.common import store
 
 
 def roots(parents: DataFrame) -> DataFrame:
-    """``(node, label)`` of a forest ``(node, parent)`` whose parents are smaller than their nodes.
+    """``(node, label)`` of a forest ``(node, parent)``: a node has one parent, and no circle exists.
 
     Pointer jumping: the distance doubles with each round, so that paths of any length take
     logarithmically many. Roots themselves are not listed.

@@ -3,14 +3,17 @@
 1. Every text becomes the set of its word shingles (64-bit hashes), ``K`` minima of it, ``BANDS``
    band keys of ``ROWS`` minima each, and a packed signature of the ``BITS`` low bits of every minimum.
 2. Texts with equal sets become one node.
-3. Nodes that share a band key are candidates. Each node is first paired with the smallest node of
-   its bands only (a star); links that hold make components.
+3. Nodes that share a band key are candidates. Each node is first paired with one leader of its
+   bands only (a star): the node with most neighbours, which in a group of copies is the text they
+   were made from. Links that hold make components.
 4. Then the bands that still hold several components are searched for links between these: the
    nodes outside the leader's component against all of another component. So copies of a group
    are never paired with each other, and no link between components is missed.
-5. Before a pair is passed on, its similarity is estimated from the signatures: equal low bits,
-   counted by ``bit_count``, less those that agree by chance. Pairs within ``SIGMAS`` deviations of
-   the threshold or over it are confirmed on the whole sets.
+5. Before a pair is passed on, two bit counts judge it. The similarity is estimated from the
+   signatures: equal low bits, less those that agree by chance, must reach the threshold less
+   ``SIGMAS`` deviations. And each bit in which the parity sketches differ (``PARITY`` bits, each the
+   parity of the shingles that fall on it) stands for a shingle that one set has and the other lacks,
+   which bounds the similarity from above. The rest is confirmed on the whole sets.
 
 A pair at the threshold of 0.8 shares no band with probability (1 - 0.8**5)**38 = 3e-7.
 
@@ -40,6 +43,9 @@ BITS = 4
 WORDS = -(-K // 64)
 SIGMAS = 5
 SIGNATURE = [f"s{i}" for i in range(BITS * WORDS)]
+#: Bits of the parity sketch.
+PARITY = 1024
+SKETCH = [f"p{i}" for i in range(PARITY // 64)]
 
 _CACHE = 400_000
 _CHUNK = 1 << 15
@@ -122,6 +128,14 @@ def _signatures(minima: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """(PARITY / 64, sets): whether an odd number of shingles falls on each bit."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    bit = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64) & (PARITY - 1)
+    odd = (np.bincount(owner * PARITY + bit, minlength=len(sets) * PARITY) & 1).astype(np.uint8).reshape(len(sets), PARITY)
+    return np.packbits(odd, axis=1).view(np.int64).T
+
+
 def _sketches(docs: DataFrame, size: int) -> DataFrame:
     """``(doc_id, node, n, bands, s0...)`` of every row; node, bands and signature null without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,13 +152,14 @@ def _sketches(docs: DataFrame, size: int) -> DataFrame:
                 keys = pa.FixedSizeListArray.from_arrays(pa.array(_band_keys(minima).ravel()), BANDS).cast(pa.list_(pa.int64()))
                 columns = {"doc_id": b["doc_id"], "node": pa.array([node_key(s) if len(s) else None for s in sets], pa.binary()),
                            "n": pa.array([len(s) for s in sets], pa.int64()), "bands": keys.take(at)}
-                for name, plane in zip(SIGNATURE, _signatures(minima)):
+                planes = np.concatenate([_signatures(minima), _parities([sets[i] for i in some])])
+                for name, plane in zip(SIGNATURE + SKETCH, planes):
                     columns[name] = pa.array(plane).take(at)
                 yield pa.RecordBatch.from_pydict(columns)
 
     ship_package(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, node binary, n long, bands array<long>, " + ", ".join(f"{s} long" for s in SIGNATURE)
+    schema = f"doc_id {kind}, node binary, n long, bands array<long>, " + ", ".join(f"{s} long" for s in SIGNATURE + SKETCH)
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
 
 
@@ -163,7 +178,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _promising(percent: int) -> Column:
-    """Whether sizes and signatures of sides ``l`` and ``r`` allow the similarity.
+    """Whether sizes, parity sketches and signatures of sides ``l`` and ``r`` allow the similarity.
 
     A share ``p`` of equal low bits stands for a similarity of ``(p - c) / (1 - c)``, where
     ``c = 2**-BITS`` agree by chance. The bits that pad the last word are always equal.
@@ -178,8 +193,12 @@ def _promising(percent: int) -> Column:
             name = SIGNATURE[bit * WORDS + w]
             differs = differs.bitwiseOR(F.col(f"l.{name}").bitwiseXOR(F.col(f"r.{name}")))
         equal = equal + (64 - F.bit_count(differs))
+    apart = F.lit(0)
+    for name in SKETCH:
+        apart = apart + F.bit_count(F.col(f"l.{name}").bitwiseXOR(F.col(f"r.{name}")))
+    bounded = apart * (100 + percent) <= (F.col("l.n") + F.col("r.n")) * (100 - percent)
     sizes = (F.col("l.n") * 100 >= F.col("r.n") * percent) & (F.col("r.n") * 100 >= F.col("l.n") * percent)
-    return sizes & (equal >= least)
+    return sizes & bounded & (equal >= least)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,23 +221,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     texts = ids_and_texts(docs, id_col, text_col)
     rows = store(_sketches(texts, size))
     nodes = store(rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id")))
-    first = rows.join(nodes, (rows["node"] == nodes["node"]) & rows["doc_id"].eqNullSafe(nodes["first_id"]))
-    one_each = store(first.select(rows["node"], "first_id", "n", "bands", *SIGNATURE).dropDuplicates(["node"]))
-    sketch = one_each.select("node", "first_id", "n", *SIGNATURE)
+    # Rows of a node agree in all that follows from its set.
+    one_each = store(rows.filter("node is not null").select("node", "n", "bands", *SIGNATURE, *SKETCH).dropDuplicates(["node"]))
+    sketch = one_each.drop("bands")
 
-    # Bands that several nodes share, with their smallest node.
+    # Bands that several nodes share, and the node of each that has most neighbours in all its bands.
     banded = one_each.select("node", F.explode("bands").alias("band"))
-    shared = store(banded.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("members"))
-                   .filter("members > 1").select("band", "leader"))
-    members = store(banded.join(shared, "band"))
-
-    # Star: each node against the smallest leader that looks similar.
-    stars = members.filter("node <> leader").select("leader", "node").distinct()
+    shared = store(banded.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1"))
+    met = store(banded.join(shared, "band"))
+    degree = met.groupBy("node").agg(F.sum("members").alias("degree"))
+    leaders = store(met.join(degree, "node").groupBy("band").agg(F.max(F.struct("degree", "node")).alias("leader"))
+                    .select("band", F.col("leader.node").alias("leader"), "leader.degree"))
+    members = store(met.select("band", "node").join(leaders, "band"))
+
+    # Star: each node against the leader with most neighbours that looks similar. A leader comes
+    # before its members by neighbours and node, so that no circle can arise.
+    stars = members.filter("node <> leader").select("leader", "node", "degree").distinct()
     looks = (stars.join(sketch.alias("l"), F.col("leader") == F.col("l.node"))
              .join(sketch.alias("r"), stars["node"] == F.col("r.node")).filter(_promising(percent))
-             .groupBy(stars["node"]).agg(F.min("leader").alias("leader")))
-    pairs1 = store(looks.select(F.col("leader").alias("a"), F.col("node").alias("b")))
-    sets1 = store(_sets_of(texts, pairs1, sketch, size))
+             .groupBy(stars["node"]).agg(F.max(F.struct("degree", "leader")).alias("best")))
+    pairs1 = store(looks.select(F.col("best.leader").alias("a"), F.col("node").alias("b")))
+    sets1 = store(_sets_of(texts, pairs1, nodes, size))
     links1 = _confirmed(pairs1, sets1, percent)
     labels1 = roots(links1.select(F.col("b").alias("node"), F.col("a").alias("parent")))
 
@@ -228,18 +251,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                                                F.max(F.when(F.col("node") == F.col("leader"), F.col("label"))).alias("main"))
                   .filter("least <> most").select("band", "main"))
     spread = store(labelled.join(mixed, "band").join(sketch, "node")
-                   .select("band", "node", "label", (F.col("label") != F.col("main")).alias("stray"), "n", *SIGNATURE))
+                   .select("band", "node", "label", (F.col("label") != F.col("main")).alias("stray"), "n", *SIGNATURE, *SKETCH))
     between = spread.filter("stray").alias("l").join(
         spread.alias("r"),
         (F.col("l.band") == F.col("r.band")) & (F.col("l.label") != F.col("r.label"))
         & (~F.col("r.stray") | (F.col("l.node") < F.col("r.node"))) & _promising(percent))
     pairs2 = store(between.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct())
-    sets2 = store(_sets_of(texts, pairs2, sketch, size, sets1))
+    sets2 = store(_sets_of(texts, pairs2, nodes, size, sets1))
     links2 = _confirmed(pairs2, sets1.unionByName(sets2), percent)
 
     tree = labels1.select(F.col("node").alias("a"), F.col("label").alias("b"))
     labels = components(tree.unionByName(links2))
-    lowest = store(labels.join(sketch.select("node", "first_id"), "node").groupBy("label").agg(F.min("first_id").alias("lowest")))
+    lowest = store(labels.join(nodes, "node").groupBy("label").agg(F.min("first_id").alias("lowest")))
     component = store(labels.join(lowest, "label").select("node", "lowest"))
 
     found = rows.join(component, "node", "left").join(nodes.withColumnRenamed("first_id", "own"), "node", "left")
@@ -248,12 +271,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
                         F.col("doc_id").eqNullSafe(least).alias("kept"))
 
 
-def _sets_of(texts: DataFrame, pairs: DataFrame, sketch: DataFrame, size: int, known: DataFrame | None = None) -> DataFrame:
+def _sets_of(texts: DataFrame, pairs: DataFrame, nodes: DataFrame, size: int, known: DataFrame | None = None) -> DataFrame:
     """Whole sets of the nodes in ``pairs`` that are not in ``known``; only their texts are read out."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     if known is not None:
-        wanted = anti(wanted, known.select(F.col("node").alias("known_node")).withColumnRenamed("known_node", "node"), "node")
-    wanted = store(wanted.join(sketch.select("node", "first_id"), "node"))
+        wanted = wanted.join(known.select("node"), "node", "left_anti")
+    wanted = store(wanted.join(nodes, "node"))
     ids = wanted.select(F.col("first_id").alias("doc_id")).distinct()
     sets = _sets(semi(texts, ids, "doc_id"), size)
     return semi(sets, wanted.select("node"), "node").dropDuplicates(["node"])
