@@ -560,6 +560,28 @@ def _(spark, sf):
     return vertices(el.element_polygons(lists, v.nodes(spark, sf)), ["pg_id"])
 
 
+view("ngons", [], """
+SELECT c_custkey AS pg_id, 3 + c_custkey % 4 AS num_nodes, m FROM customer, (SELECT max(c_custkey) AS m FROM customer)""")
+
+
+view("ngon_ids", ["ngons"], """
+SELECT pg_id, num_nodes, list_transform(range(num_nodes), lambda k: (pg_id + 7 * k) % m + 1) AS node_ids FROM ngons""")
+
+
+@query("element_polygons_ngon", with_views(["ngon_ids", "nodes"], f"""
+SELECT pg_id, num_nodes, array_to_string(node_ids, ' ') AS node_ids, {rnd('avg(wse)', 'mean_wse')}
+FROM (SELECT pg_id, num_nodes, node_ids, unnest(node_ids) AS node_id FROM ngon_ids) JOIN nodes USING (node_id)
+GROUP BY pg_id, num_nodes, array_to_string(node_ids, ' ')"""))
+def _(spark, sf):
+    customers = v.table(spark, sf, "customer")
+    top = customers.agg(F.max("c_custkey")).first()[0]
+    ngons = customers.selectExpr("c_custkey AS pg_id", "3 + c_custkey % 4 AS num_nodes").withColumn(
+        "node_ids", F.transform(F.sequence(F.lit(0).cast("long"), F.col("num_nodes") - 1),
+                                lambda k: (F.col("pg_id") + 7 * k) % top + 1))
+    polygons = el.element_polygons(ngons, v.nodes(spark, sf))
+    return rounded(polygons.select("pg_id", "num_nodes", F.array_join(F.col("node_ids").cast("array<string>"), " ").alias("node_ids"), "mean_wse"))
+
+
 @query("element_mean_wse", with_views(["elements", "nodes"], f"""
 SELECT e.pg_id, e.num_nodes, e.node_id_1, e.node_id_2, e.node_id_3, NULL::bigint AS node_id_4,
   {rnd('(a.wse + b.wse + c.wse) / 3', 'mean_wse')}
@@ -569,4 +591,4 @@ def _(spark, sf):
     lists = v.elements(spark, sf).select(
         "pg_id", "num_nodes", F.array("node_id_1", "node_id_2", "node_id_3").alias("node_ids"))
     polygons = el.element_polygons(lists, v.nodes(spark, sf))
-    return rounded(polygons.drop("ring"))
+    return rounded(polygons.drop("ring", "node_ids"))

@@ -8,11 +8,11 @@ from fixtures import views as v
 from fixtures.oracle_views import rnd, view, with_views
 from fixtures.queries_core import COV_OUT, DEPTH_OUT, NODE_OUT, cheap_masked
 from fixtures.registry import query, rounded, vertices
+from fixtures.scratch import scratch_dir
 from tidegrid.functions.geometry import ring_wkt
 from tidegrid.operators import positions as ps
 from tidegrid.operators import tiles as tl
 from tidegrid.operators import zonal as zo
-from tidegrid.session import scratch_dir
 from tidegrid.sinks import rasters as rs
 from tidegrid.sinks import store as st
 from tidegrid.sources import layers as ly

@@ -9,6 +9,7 @@ from fixtures.oracle_views import barycentric_view, depth_view, rnd, view, with_
 from fixtures.queries_core import DEPTH_OUT, WEIGHT_OUT, ready_nodes, slope_weights
 from fixtures.queries_io import RASTER
 from fixtures.registry import query, rounded
+from fixtures.scratch import scratch_dir
 from tidegrid.functions.geometry import ring_wkt
 from tidegrid.operators import masks as mk
 from tidegrid.operators import tiles as tl
@@ -16,7 +17,6 @@ from tidegrid.operators import zonal as zo
 from tidegrid.operators.weights import triangle_barycentric
 from tidegrid.plans import domain, forecast
 from tidegrid.plans.config import JobConfig
-from tidegrid.session import scratch_dir
 from tidegrid.sinks import rasters as rs
 from tidegrid.sinks.store import TableStore, export_node_ids
 from tidegrid.sources.filesystem import validate_inputs

@@ -101,6 +101,9 @@ def test_store_replaces_what_it_reads(spark, tmp_path):
     store.write(spark.range(10), "t")
     for limit in (8, 5, 2):
         store.write(store.read("t").where(F.col("id") < limit), "t")
+    # Older versions stay for those who still read them, until they are dropped explicitly.
+    assert store.read("t").count() == 2 and len(store._versions("t")) == 4
+    store.vacuum("t", keep=2)
     assert store.read("t").count() == 2 and len(store._versions("t")) == 2
     os.makedirs(tmp_path / "t" / "v000099")  # a write that never finished
     assert store.read("t").count() == 2
@@ -122,7 +125,7 @@ def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
     stored = store.write_bucketed(rows, "b", ["pg_id", "_salt"], 4, ["id"])
     assert stored.count() == 5000 and store.path("b").endswith(".b4.k2.pg_id._salt.id")
     small = spark.range(700).select(F.col("id").alias("pg_id"), F.rand(3).alias("x"))
-    small = salt_copies(small, "pg_id", spark.createDataFrame([(3, 1)], "pg_id bigint, salts int"))
+    small = store.write(salt_copies(small, "pg_id", spark.createDataFrame([(3, 1)], "pg_id bigint, salts int")), "small")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = store.read("b").join(small, ["pg_id", "_salt"], "left")

@@ -86,12 +86,12 @@ def top_failures(bad: DataFrame, n: int = 15) -> DataFrame:
     return bad.orderBy("index").limit(n)
 
 
-def element_polygons(elements: DataFrame, nodes: DataFrame, max_vertices: int = 4) -> DataFrame:
+def element_polygons(elements: DataFrame, nodes: DataFrame, flat_columns: int = 4) -> DataFrame:
     """Element polygons from ordered vertices, with the mean vertex value.
 
-    ``elements``: pg_id, num_nodes, node_ids (3 or more). Result: pg_id, num_nodes,
-    node_id_1 .. node_id_{max_vertices}, ring, mean_wse. The grouped list is one element's
-    vertices, so its size is the element's arity.
+    ``elements``: pg_id, num_nodes, node_ids (3 or more). Result: pg_id, num_nodes, node_ids
+    (all of them), node_id_1 .. node_id_{flat_columns} besides, ring, mean_wse. The grouped
+    list is one element's vertices, so its size is the element's arity.
     """
     uses = elements.select("pg_id", "num_nodes", F.posexplode("node_ids").alias("pos", "node_id"))
     placed = uses.join(nodes.select("node_id", "long", "lat", "wse"), "node_id")
@@ -102,9 +102,9 @@ def element_polygons(elements: DataFrame, nodes: DataFrame, max_vertices: int =
         )).alias("v"),
         F.avg("wse").alias("mean_wse"),
     )
-    ids = [F.get(F.col("v.node_id"), i).alias(f"node_id_{i + 1}") for i in range(max_vertices)]
+    ids = [F.get(F.col("v.node_id"), i).alias(f"node_id_{i + 1}") for i in range(flat_columns)]
     ring = F.transform("v", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
-    return grouped.select("pg_id", "num_nodes", *ids, ring.alias("ring"), "mean_wse")
+    return grouped.select("pg_id", "num_nodes", F.col("v.node_id").alias("node_ids"), *ids, ring.alias("ring"), "mean_wse")
 
 
 def triangle_rings(elements: DataFrame, nodes: DataFrame) -> DataFrame:

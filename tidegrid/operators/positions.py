@@ -22,7 +22,7 @@ def _number(parts: DataFrame, split: list[str], out: str) -> DataFrame:
     starts = sizes.select(
         *split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")).alias("_before")
     )
-    numbered = parts.join(F.broadcast(starts), split)
+    numbered = parts.join(starts, split)
     position = F.col("_before") + F.col("_mid") - F.col("_first")
     kept = [c for c in parts.columns if c not in split and c != "_mid"]
     return numbered.select(*kept, position.alias(out))

@@ -13,8 +13,8 @@ SALT, HOT = "_salt", "_hot"
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
     """Keys holding more than ``min_rows`` rows, with the number of salts each one needs.
 
-    The result has fewer than rows / min_rows entries (2e5 for 1e12 rows), which is the
-    size bound the broadcasts below rely on. Salts grow with the key, so a key holding a
+    The result has fewer than rows / min_rows entries (2e5 for 1e12 rows at the default), so
+    that Spark broadcasts it by its size; nothing here forces that. Salts grow with the key, so a key holding a
     third of everything still leaves no more than ``min_rows`` rows per salt.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_rows)
@@ -23,14 +23,14 @@ def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
 
 def add_salt(df: DataFrame, key: str, hot: DataFrame, spread_by: str) -> DataFrame:
     """The large side with a salt (spread over the key's salts if hot, else 0) and a hot flag."""
-    flagged = df.join(F.broadcast(hot.select(key, "salts")), key, "left")
+    flagged = df.join(hot.select(key, "salts"), key, "left")
     salt = F.coalesce(F.pmod(F.hash(spread_by), F.col("salts")), F.lit(0))
     return flagged.select(*df.columns, salt.alias(SALT), F.col("salts").isNotNull().alias(HOT))
 
 
 def salt_copies(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """The small side, one copy per salt of a hot key and one copy of everything else."""
-    flagged = df.join(F.broadcast(hot.select(key, "salts")), key, "left")
+    flagged = df.join(hot.select(key, "salts"), key, "left")
     salts = F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)
     return flagged.select(*df.columns, F.explode(salts).alias(SALT))
 

@@ -219,6 +219,7 @@ def depth_by_tile(
     tri: DataFrame,
     threshold: float | None = None,
     renormalize: bool = False,
+    bounded_buckets: bool = True,
 ) -> DataFrame:
     """Depth per cell (and run) from coverage laid out by raster tile, without moving it.
 
@@ -230,12 +231,15 @@ def depth_by_tile(
 
     A triangle without a level adds nothing to a numerator and the denominator is static,
     so an inner join gives what a left join and the depth filter would.
+
+    ``bounded_buckets`` says that a bucket's triangles fit a task's memory (the store knows the
+    bytes per bucket): they are then hashed, and the stored order of the coverage serves the
+    sums. Otherwise Spark picks a join that can spill. The result is the same.
     """
     run = [c for c in ("run_id",) if c in tri.columns]
     known = tri.where("wse_weighted_average IS NOT NULL").select(*run, "pg_id", "wse_weighted_average")
     placed = places.select("pg_id", "tile", SALT).join(known, "pg_id")
-    if not run:
-        # A bucket holds a bounded number of coverage rows, and so of triangles to hash.
+    if not run and bounded_buckets:
         placed = placed.hint("shuffle_hash")
 
     def sums(part: Column) -> DataFrame:

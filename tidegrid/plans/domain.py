@@ -13,7 +13,7 @@ from tidegrid.operators import elements as el
 from tidegrid.operators import masks as mk
 from tidegrid.operators import nodes as nd
 from tidegrid.operators.overlay import attach_cell_attributes, coverage_fraction
-from tidegrid.operators.quality import null_report, warn_on_nulls
+from tidegrid.operators.quality import null_report, observed_nan_points, warn_on_nulls
 from tidegrid.operators.skew import HOT_ROWS, SALT, add_salt, hot_keys
 from tidegrid.operators.weights import barycentric_weights
 from tidegrid.operators.zonal import filter_masked, with_coverage_sum, with_tile
@@ -58,18 +58,27 @@ def build_coverage(
         cells = dem.join(masked, "cell", "left")
     # Stored first: counting the rows per cell would otherwise compute the overlay again.
     overlay = store.write(coverage_fraction(rings, meta), "overlay")
-    hot_cells = hot_keys(overlay, "cell")
+    # Stored as well: lazy, its count over the whole overlay would run on both sides of the join.
+    hot_cells = store.write(hot_keys(overlay, "cell"), "hot_overlay_cells")
     return store.write(attach_cell_attributes(overlay, cells, hot_cells), "coverage_fraction")
 
 
 def convert_mesh(
-    spark: SparkSession, mesh_path: str, nodes_path: str, elements_path: str, max_vertices: int = 4
-) -> tuple[DataFrame, list[str]]:
-    """Mesh text to element polygons and node points in Parquet; returns failures, paths."""
+    spark: SparkSession, mesh_path: str, nodes_path: str, elements_path: str
+) -> tuple[DataFrame, list[str], int]:
+    """Mesh text to element polygons and node points in Parquet.
+
+    Returns the failures, the paths written, and the number of nodes with a NaN coordinate,
+    which is also reported.
+    """
     nodes, raw = read_mesh_strict(spark, mesh_path)
     good, bad = el.validate_elements(raw, nodes)
-    polygons = el.element_polygons(good, nodes, max_vertices)
-    return bad, export_mesh(nd.node_points(nodes), polygons, nodes_path, elements_path)
+    watched, seen = observed_nan_points(nodes, "mesh nodes")
+    paths = export_mesh(nd.node_points(watched), el.element_polygons(good, nodes), nodes_path, elements_path)
+    nan_points = seen.get["nan_points"] or 0
+    if nan_points:
+        print(f"{nan_points} nodes have a NaN coordinate")
+    return bad, paths, nan_points
 
 
 def build_crosswalk(land_mask: DataFrame, mask_path: str, ids_path: str, filter_value: int = 0) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidegrid.functions.grid import GridMeta
-from tidegrid.functions.scalars import run_name
 from tidegrid.operators import nodes as nd
 from tidegrid.operators import zonal as zo
 from tidegrid.operators.weights import triangle_barycentric
@@ -19,6 +20,10 @@ from tidegrid.sources.mesh_text import read_mesh_text
 from tidegrid.sources.tables import load_dem_metadata, load_result, load_table, normalize_node_wse
 
 
+#: Largest mean bucket, in stored bytes, whose triangles a task may hash.
+BUCKET_BYTES = 64 << 20
+
+
 def forecast_nodes(spark: SparkSession, cfg: JobConfig, store: TableStore) -> DataFrame:
     """Node water levels of one run, inside the domain.
 
@@ -40,11 +45,13 @@ def compute_depth(store: TableStore, triangles: DataFrame, cfg: JobConfig) -> Da
     return zo.depth_by_tile(
         store.read("masked_coverage_fraction"), store.read("triangle_tiles"), triangles,
         cfg.depth_threshold if cfg.low_memory else 0.0, cfg.renormalize,
+        bounded_buckets=store.bytes_per_bucket("masked_coverage_fraction") <= BUCKET_BYTES,
     )
 
 
-def base_name(spark: SparkSession, source: str) -> str:
-    return spark.range(1).select(run_name(F.lit(source)).alias("n")).first()["n"]
+def base_name(source: str) -> str:
+    """File name of a source without folder and extension (the string form of ``run_name``)."""
+    return os.path.splitext(os.path.basename(source.rstrip("/")))[0]
 
 
 def rasterize(
@@ -56,7 +63,7 @@ def rasterize(
     wanted = [name for name, on in flags.items() if on]
     if chosen == "IN_MEMORY":
         return tiles_in_memory(df, meta, cfg.generate_wse, cfg.generate_depth)
-    name = base_name(df.sparkSession, source)
+    name = base_name(source)
     for variable in wanted:
         column = VARIABLES[variable]
         if chosen == "ZARR":
@@ -69,7 +76,7 @@ def rasterize(
 
 def rasterize_legacy(df: DataFrame, meta: GridMeta, cfg: JobConfig, source: str) -> None:
     """Older layout: 1000 x 1000 tiles, NaN nodata, threshold on the depth raster only."""
-    name = base_name(df.sparkSession, source)
+    name = base_name(source)
     if cfg.generate_depth:
         write_tiles(df, meta, "depth", f"{cfg.output_path}/{name}_depth", 1000, float("nan"),
                     cfg.depth_threshold, unique=True)
@@ -79,9 +86,9 @@ def rasterize_legacy(df: DataFrame, meta: GridMeta, cfg: JobConfig, source: str)
 
 
 def interpolate_and_rasterize(
-    spark: SparkSession, cfg: JobConfig, source: str
+    spark: SparkSession, cfg: JobConfig, source: str, triangles: DataFrame | None = None
 ) -> tuple[int, dict[str, DataFrame] | None]:
-    """Depth from a stored ``triangle_barycentric`` table, materialised and rasterised.
+    """Depth from triangle levels (default: the stored ``triangle_barycentric`` table), materialised and rasterised.
 
     Returns the number of result cells and, for IN_MEMORY, the cached tiles.
     """
@@ -89,9 +96,11 @@ def interpolate_and_rasterize(
     if not cfg.generate_wse and not cfg.generate_depth:
         return 0, None
     store = TableStore(spark, cfg.store)
-    cells = compute_depth(store, store.read("triangle_barycentric"), cfg)
+    if triangles is None:
+        triangles = store.read("triangle_barycentric")
+    cells = compute_depth(store, triangles, cfg)
     result = zo.select_outputs(cells, cfg.generate_wse, cfg.generate_depth)
-    path = f"{cfg.store}/result/{base_name(spark, source)}"
+    path = f"{cfg.store}/result/{base_name(source)}"
     with colocated_joins(spark):
         count = materialize_result(result, path)
     meta = load_dem_metadata(store.read("dem_metadata"))
@@ -105,10 +114,12 @@ def execute(spark: SparkSession, cfg: JobConfig) -> tuple[int, dict[str, DataFra
     source = cfg.snapshot_path or cfg.mesh_path
     nodes = forecast_nodes(spark, cfg, store)
     if cfg.low_memory:
-        store.write(triangle_barycentric(store.read("triangle_weights"), nodes), "triangle_barycentric")
-        return interpolate_and_rasterize(spark, cfg, source)
+        # A table per run: runs side by side never read each other's levels.
+        levels = triangle_barycentric(store.read("triangle_weights"), nodes)
+        run = f"triangle_barycentric/run={base_name(source)}-{uuid.uuid4().hex}"
+        return interpolate_and_rasterize(spark, cfg, source, store.write(levels, run))
     cells = compute_depth(store, triangle_barycentric(store.read("triangle_weights"), nodes), cfg)
-    path = f"{cfg.store}/result/{base_name(spark, source)}"
+    path = f"{cfg.store}/result/{base_name(source)}"
     with colocated_joins(spark):
         count = materialize_result(cells, path)
     meta = load_dem_metadata(store.read("dem_metadata"))

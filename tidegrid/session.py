@@ -66,14 +66,14 @@ def colocated_joins(spark: SparkSession) -> Iterator[None]:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+    """A fresh folder under the cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only when the session names no shared one (tests).
+    There is no fallback: a folder of one machine would be invisible to the others.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.grid import GridMeta
 from tidegrid.operators.tiles import build_tiles, overviews, tiles_to_cells
+from tidegrid.session import ship_package
+from tidegrid.sources.filesystem import qualify
 
 VARIABLES = {"wse": "wse_cell_weighted_average", "depth": "depth"}
 
@@ -48,7 +50,10 @@ def write_overviews(df: DataFrame, meta: GridMeta, col: str, path: str, levels:
 def tiles_in_memory(
     df: DataFrame, meta: GridMeta, generate_wse: bool = False, generate_depth: bool = True
 ) -> dict[str, DataFrame]:
-    """Tiles per variable, kept by the executors (spilling to disk), by name ``wse``/``depth``."""
+    """Tiles per variable, kept by the executors (spilling to disk), by name ``wse``/``depth``.
+
+    They stay until ``release_tiles`` gives them back.
+    """
     wanted = [n for n, on in (("wse", generate_wse), ("depth", generate_depth)) if on]
     return {
         name: build_tiles(df, meta, VARIABLES[name], unique=True).persist(StorageLevel.MEMORY_AND_DISK)
@@ -56,21 +61,26 @@ def tiles_in_memory(
     }
 
 
+def release_tiles(tiles: dict[str, DataFrame] | None) -> None:
+    """Give back what ``tiles_in_memory`` keeps."""
+    for frame in (tiles or {}).values():
+        frame.unpersist()
+
+
 # --- chunk store ----------------------------------------------------------------------
 # Layout: <store>/.zgroup, <store>/<array>/.zarray, .zattrs and one raw file per chunk.
 
 
-def _open_fs(store: str):
+def _open_fs(uri: str):
+    """File system and folder of a qualified URI (see ``qualify``)."""
     from pyarrow import fs as pafs
 
-    if "://" in store or store.startswith("file:"):
-        return pafs.FileSystem.from_uri(store)
-    return pafs.LocalFileSystem(), store
+    return pafs.FileSystem.from_uri(uri)
 
 
-def _put(fs, path: str, payload: bytes) -> None:
-    """Write a whole file or nothing: a killed or duplicate task never leaves half a chunk."""
-    part = f"{path}.{uuid.uuid4().hex}.part"
+def _put(fs, path: str, parts: str, payload: bytes) -> None:
+    """Write a whole file or nothing: the bytes go to a file in ``parts``, which is then moved."""
+    part = f"{parts}/{uuid.uuid4().hex}"
     with fs.open_output_stream(part) as out:
         out.write(payload)
     fs.move(part, path)
@@ -88,14 +98,20 @@ def write_chunk_store(
 ) -> int:
     """Write one variable as an array of a shared chunk store; returns chunks written.
 
-    Chunks are written by the tasks that build them, whole and under a fixed name, so a
-    repeated task rewrites the same bytes. A re-run replaces this array only. Edge chunks
-    are padded to full size. No rows gives an array without chunks, which reads as nodata.
+    The array is built in a hidden folder beside it and takes the old one's place when all
+    its chunks are there, so a job that fails leaves the last good array. Chunks are written
+    by the tasks that build them, whole and under a fixed name; a repeated task rewrites the
+    same bytes, and what a killed task leaves never comes into the array's folder. Edge
+    chunks are padded to full size. No rows gives an array without chunks, which reads as
+    nodata.
     """
-    fs, root = _open_fs(store)
-    base = f"{root}/{array_name}"
+    uri = qualify(df.sparkSession, store).rstrip("/")
+    fs, root = _open_fs(uri)
+    building = f"_building-{array_name}-{uuid.uuid4().hex}"
+    base, parts = f"{root}/{building}/array", f"{root}/{building}/parts"
     fs.create_dir(base, recursive=True)
-    fs.delete_dir_contents(base)
+    fs.create_dir(parts, recursive=True)
+    # Keys and encodings that readers of the format expect.
     array_info = {
         "zarr_format": 2, "shape": [meta.height, meta.width], "chunks": [chunk, chunk],
         "dtype": "<f4", "compressor": None, "fill_value": nodata if not math.isnan(nodata) else "NaN",
@@ -105,46 +121,65 @@ def write_chunk_store(
         "geotransform": list(meta.transform), "crs": meta.crs, "nodata": nodata,
         "_ARRAY_DIMENSIONS": ["lat", "lon"],
     }
-    _put(fs, f"{root}/.zgroup", json.dumps({"zarr_format": 2}).encode())
-    _put(fs, f"{base}/.zarray", json.dumps(array_info).encode())
-    _put(fs, f"{base}/.zattrs", json.dumps(attributes).encode())
+    _put(fs, f"{base}/.zarray", parts, json.dumps(array_info).encode())
+    _put(fs, f"{base}/.zattrs", parts, json.dumps(attributes).encode())
+    ship_package(df.sparkSession)
 
     def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target, folder = _open_fs(store)
+        target, folder = _open_fs(uri)
         for batch in batches:
             for t in batch.itertuples(index=False):
                 block = np.full((chunk, chunk), nodata, dtype="<f4")
                 block[: t.n_rows, : t.n_cols] = np.frombuffer(t.data, dtype="<f4").reshape(t.n_rows, t.n_cols)
-                _put(target, f"{folder}/{array_name}/{t.tile_row}.{t.tile_col}", block.tobytes())
+                _put(target, f"{folder}/{building}/array/{t.tile_row}.{t.tile_col}", f"{folder}/{building}/parts", block.tobytes())
             yield pd.DataFrame({"written": [len(batch)]})
 
-    tiles = build_tiles(df, meta, col, chunk, nodata, unique=unique)
-    written = tiles.mapInPandas(save, "written bigint").agg(F.sum("written").alias("n")).first()["n"] or 0
-    consolidate_store(store)
+    try:
+        tiles = build_tiles(df, meta, col, chunk, nodata, unique=unique)
+        written = tiles.mapInPandas(save, "written bigint").agg(F.sum("written").alias("n")).first()["n"] or 0
+        _swap(fs, f"{root}/{array_name}", base, f"{root}/{building}/old")
+        _put(fs, f"{root}/.zgroup", parts, json.dumps({"zarr_format": 2}).encode())
+    finally:
+        fs.delete_dir(f"{root}/{building}")
+    consolidate_store(df.sparkSession, store)
     return written
 
 
-def consolidate_store(store: str) -> None:
+def _swap(fs, path: str, new: str, aside: str) -> None:
+    """Put a finished folder in the place of an old one, if there is one."""
+    from pyarrow import fs as pafs
+
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        fs.move(path, aside)
+    fs.move(new, path)
+
+
+def consolidate_store(spark: SparkSession, store: str) -> None:
     """Write the store-level metadata file listing every array."""
     from pyarrow import fs as pafs
 
-    fs, root = _open_fs(store)
+    fs, root = _open_fs(qualify(spark, store).rstrip("/"))
     documents = {".zgroup": {"zarr_format": 2}}
     for entry in fs.get_file_info(pafs.FileSelector(root)):
         if entry.type != pafs.FileType.Directory:
             continue
         name = entry.path.rstrip("/").rsplit("/", 1)[-1]
+        if name.startswith("_"):
+            continue
         for part in (".zarray", ".zattrs"):
             if fs.get_file_info(f"{entry.path}/{part}").type == pafs.FileType.File:
                 with fs.open_input_stream(f"{entry.path}/{part}") as stream:
                     documents[f"{name}/{part}"] = json.loads(stream.read())
     payload = {"zarr_consolidated_format": 1, "metadata": documents}
-    _put(fs, f"{root}/.zmetadata", json.dumps(payload).encode())
+    parts = f"{root}/_metadata-{uuid.uuid4().hex}"
+    fs.create_dir(parts, recursive=True)
+    _put(fs, f"{root}/.zmetadata", parts, json.dumps(payload).encode())
+    fs.delete_dir(parts)
 
 
 def store_attributes(store: str, array_name: str) -> tuple[dict, dict]:
     """Array description and attributes of one array of a store."""
-    fs, root = _open_fs(store)
+    fs, root = _open_fs(qualify(SparkSession.active(), store).rstrip("/"))
     out = []
     for part in (".zarray", ".zattrs"):
         with fs.open_input_stream(f"{root}/{array_name}/{part}") as stream:
@@ -160,12 +195,14 @@ def read_chunk_store(spark: SparkSession, store: str, array_name: str) -> DataFr
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = (
         spark.read.format("binaryFile").schema(schema)
-        .option("pathGlobFilter", "[0-9]*.[0-9]*").load(f"{store.rstrip('/')}/{array_name}")
+        .load(f"{qualify(spark, store).rstrip('/')}/{array_name}")
     )
+    # Anything that is not named like a chunk is none.
+    files = files.where(F.col("path").rlike(r"/\d+\.\d+$"))
     name = F.regexp_extract("path", r"(\d+\.\d+)$", 1)
     tiles = files.select(
-        (F.split(name, r"\.")[0].cast("long") * chunk).alias("row_off"),
-        (F.split(name, r"\.")[1].cast("long") * chunk).alias("col_off"),
+        (F.split(name, r"\.")[0].try_cast("long") * chunk).alias("row_off"),
+        (F.split(name, r"\.")[1].try_cast("long") * chunk).alias("col_off"),
         F.lit(chunk).alias("n_rows"), F.lit(chunk).alias("n_cols"), F.col("content").alias("data"),
     )
     return tiles_to_cells(tiles, meta, float(attributes["nodata"]))

@@ -48,7 +48,8 @@ class TableStore:
         taken = self._versions(name, complete=False)
         return f"v{(int(taken[-1][1:7]) + 1 if taken else 1):06d}"
 
-    def _drop_old(self, name: str, keep: int) -> None:
+    def vacuum(self, name: str, keep: int = 1) -> None:
+        """Delete all but the newest versions. Only the caller knows that no job reads them any more."""
         for label in self._versions(name)[:-keep]:
             path = f"{self.root}/{name}/{label}"
             self.spark.sql(f"DROP TABLE IF EXISTS {_entry(path)}")
@@ -83,14 +84,14 @@ class TableStore:
         )
         return self.spark.table(entry)
 
-    def write(self, df: DataFrame, name: str, keep: int = 2) -> DataFrame:
-        """Create or replace a table and return it as stored; older versions are dropped."""
-        df.write.parquet(f"{self.root}/{name}/{self._next(name)}")
-        self._drop_old(name, keep)
-        return self.read(name)
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """Create or replace a table and return it as stored; ``vacuum`` drops older versions."""
+        path = f"{self.root}/{name}/{self._next(name)}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def write_bucketed(
-        self, df: DataFrame, name: str, keys: list[str], buckets: int, order: list[str] | None = None, keep: int = 2
+        self, df: DataFrame, name: str, keys: list[str], buckets: int, order: list[str] | None = None
     ) -> DataFrame:
         """Create or replace a table bucketed by keys and sorted by keys and ``order``.
 
@@ -103,9 +104,15 @@ class TableStore:
         writer = df.repartition(buckets, *keys).write.format("parquet").option("path", target)
         writer.bucketBy(buckets, *keys).sortBy(*by).saveAsTable(entry)
         self.spark.sql(f"DROP TABLE {entry}")  # an external table: its files stay
-        self._drop_old(name, keep)
         return self.read(name)
 
+    def bytes_per_bucket(self, name: str) -> float:
+        """Stored bytes of a bucketed table over its number of buckets."""
+        path = self.path(name)
+        fs, folder = _resolve(self.spark, path)
+        buckets = int(path.rsplit("/", 1)[-1].split(".")[1][1:])
+        return fs.getContentSummary(folder).getLength() / buckets
+
     def upsert(self, rows: DataFrame, name: str, key: str) -> DataFrame:
         """Add rows to a small table, replacing rows with the same key."""
         if self.exists(name):
@@ -150,10 +157,21 @@ def export_land_mask(df: DataFrame, path: str, order: str = "pos") -> None:
 
 
 def export_mesh(nodes: DataFrame, elements: DataFrame, nodes_path: str, elements_path: str) -> list[str]:
-    """Node and element tables as Parquet; an empty table is skipped. Returns paths written."""
+    """Node and element tables as Parquet; an empty table is skipped. Returns paths written.
+
+    Each table is computed once: its rows are counted while they are written.
+    """
+    from tidegrid.operators.quality import observed_count
+
     written = []
     for df, path in ((elements, elements_path), (nodes, nodes_path)):
-        if path and not df.isEmpty():
-            df.write.mode("overwrite").parquet(path)
+        if not path:
+            continue
+        counted, seen = observed_count(df, "exported")
+        counted.write.mode("overwrite").parquet(path)
+        if seen.get["rows"]:
             written.append(path)
+        else:
+            fs, folder = _resolve(df.sparkSession, path)
+            fs.delete(folder, True)
     return written

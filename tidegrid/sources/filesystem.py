@@ -11,6 +11,13 @@ def _resolve(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def qualify(spark: SparkSession, path: str) -> str:
+    """A path as the one URI that the driver, all executors and Spark's readers agree on."""
+    fs, hadoop_path = _resolve(spark, path)
+    uri = fs.makeQualified(hadoop_path).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _resolve(spark, path)
     return bool(fs.exists(hadoop_path))

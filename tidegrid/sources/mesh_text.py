@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.functions.scalars import nan_to_null
 from tidegrid.operators.positions import numbered_lines
 
 
@@ -21,7 +22,7 @@ def _node_columns(t: str = "t") -> list[Column]:
     tok = lambda i: F.element_at(t, i)
     return [
         _whole(tok(1)).alias("node_id"), tok(2).try_cast("double").alias("long"),
-        tok(3).try_cast("double").alias("lat"), tok(4).try_cast("double").alias("wse"),
+        tok(3).try_cast("double").alias("lat"), nan_to_null(tok(4).try_cast("double")).alias("wse"),
     ]
 
 
