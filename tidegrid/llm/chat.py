@@ -61,18 +61,19 @@ def best_paths(messages: DataFrame, branches: int | None = 1) -> DataFrame:
     rounds = math.ceil(math.log2(max(nodes.count(), 1))) + 1
     state = nodes.select("tree", "node", F.col("parent").alias("jump"), F.coalesce("score", F.lit(0.0)).cast("double").alias("sum"),
                          F.lit(1).cast("long").alias("depth"))
+    # Nodes whose jump has reached the root are settled; only the others are joined again.
+    rooted, going = state.filter("jump is null"), state.filter("jump is not null")
     jumps = []
     for _ in range(rounds):
-        open_ends = state.filter("jump is not null")
-        if open_ends.isEmpty():
+        if going.isEmpty():
             break
-        jumps.append(open_ends.select("tree", "node", "jump"))
-        to = state.select("tree", F.col("node").alias("jump"), F.col("jump").alias("next"), F.col("sum").alias("more"),
-                          F.col("depth").alias("further"))
-        state = store(state.join(to, ["tree", "jump"], "left").select(
-            "tree", "node", F.col("next").alias("jump"), (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum"),
-            (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth")))
-    rooted = state.filter("jump is null")
+        jumps.append(going.select("tree", "node", "jump"))
+        to = rooted.unionByName(going).select("tree", F.col("node").alias("jump"), F.col("jump").alias("next"),
+                                              F.col("sum").alias("more"), F.col("depth").alias("further"))
+        moved = store(going.join(to, ["tree", "jump"]).select(
+            "tree", "node", F.col("next").alias("jump"), (F.col("sum") + F.col("more")).alias("sum"),
+            (F.col("depth") + F.col("further")).alias("depth")))
+        rooted, going = rooted.unionByName(moved.filter("jump is null")), moved.filter("jump is not null")
     leaves = rooted.join(nodes.select("tree", F.col("parent").alias("node")), ["tree", "node"], "left_anti")
     if branches is not None:
         ranked = Window.partitionBy("tree").orderBy(F.desc("sum"), "node")
