@@ -112,14 +112,18 @@ def _(spark, sf):
     return rounded(t.select("pg_id", wt.vertex_slope(corner(1), corner(2), corner(3)).alias("slope")))
 
 
-@query("geotransform", with_views(["grid"], """
-SELECT 'DEM' AS dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, 150 AS width,
-  -82.005::double AS gt_origin_x, 0.002::double AS gt_pixel_w, 0.0::double AS gt_row_rot,
-  30.0025::double AS gt_origin_y, 0.0::double AS gt_col_rot, -0.005::double AS gt_pixel_h FROM grid"""))
-def _(spark, sf):
-    from tidegrid.sources.tables import metadata_row
+# One grid per user of the events: as many rows as events, its corner from their values.
+view("user_grids", [], """
+SELECT 'user' || user_id AS dem_metadata, count(*) AS height, CAST(max(event_id) AS BIGINT) AS width,
+  round(min(value), 2) AS x, round(max(value), 2) AS y FROM events GROUP BY user_id""")
+
 
-    return grid.geotransform(metadata_row(spark, v.grid(spark, sf)))
+@query("geotransform", with_views(["user_grids"], """
+SELECT dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, CAST(width AS INTEGER) AS width,
+  x AS gt_origin_x, 0.5::double AS gt_pixel_w, 0.0::double AS gt_row_rot,
+  y AS gt_origin_y, 0.0::double AS gt_col_rot, -0.25::double AS gt_pixel_h FROM user_grids"""))
+def _(spark, sf):
+    return grid.geotransform(v.user_grids(spark, sf))
 
 
 @query("to_crs_mercator", with_views(["nodes"], f"""
@@ -437,18 +441,18 @@ def _(spark, sf):
 
 
 @query("first_per_key", """
-SELECT l_orderkey, arg_min(l_partkey, l_linenumber) AS l_partkey, min(l_linenumber) AS l_linenumber,
-  arg_min(l_shipmode, l_linenumber) AS l_shipmode
+SELECT l_orderkey, arg_min(l_partkey, o) AS l_partkey, arg_min(l_linenumber, o) AS l_linenumber, min(o) AS o,
+  arg_min(l_shipmode, o) AS l_shipmode
 FROM (SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_linestatus END AS l_shipmode,
-  count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies FROM lineitem) WHERE copies = 1 GROUP BY l_orderkey""")
+  l_linenumber * 1000000000::bigint + l_partkey * 1000 + l_suppkey % 1000 AS o FROM lineitem) GROUP BY l_orderkey""")
 def _(spark, sf):
-    items = v.table(spark, sf, "lineitem")
-    unique = items.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("copies")).where("copies = 1")
-    items = items.join(unique, ["l_orderkey", "l_linenumber"], "left_semi").select(
+    # Line numbers repeat within an order; part and supplier make the order complete.
+    items = v.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber",
         F.when(F.col("l_returnflag") != "N", F.col("l_linestatus")).alias("l_shipmode"),
+        F.expr("l_linenumber * 1000000000L + l_partkey * 1000 + l_suppkey % 1000").alias("o"),
     )
-    return zo.first_per_key(items, "l_orderkey", "l_linenumber")
+    return zo.first_per_key(items, "l_orderkey", "o")
 
 
 view("run_depth", ["runs", "weights", "masked_coverage"], """
@@ -482,9 +486,9 @@ def _(spark, sf):
 
 @query("mesh_profile", with_views(["nodes", "elements"], """
 SELECT max(node_id) AS max_node_id, count(*) AS node_count, (SELECT count(*) FROM elements) AS element_count,
-  0::bigint AS extra_count FROM nodes"""))
+  (SELECT count(*) FROM lineitem) AS extra_count FROM nodes"""))
 def _(spark, sf):
-    return ql.mesh_profile(v.nodes(spark, sf), v.elements(spark, sf))
+    return ql.mesh_profile(v.nodes(spark, sf), v.elements(spark, sf), v.table(spark, sf, "lineitem"))
 
 
 @query("extent", with_views(["diamonds"], "SELECT " + ", ".join([
@@ -569,7 +573,7 @@ SELECT pg_id, num_nodes, list_transform(range(num_nodes), lambda k: (pg_id + 7 *
 
 
 @query("element_polygons_ngon", with_views(["ngon_ids", "nodes"], f"""
-SELECT pg_id, num_nodes, array_to_string(node_ids, ' ') AS node_ids, {rnd('avg(wse)', 'mean_wse')}
+SELECT pg_id, num_nodes, array_to_string(node_ids, ' ') AS node_ids, {rnd('avg(wse)', 'mean_wse', 3)}
 FROM (SELECT pg_id, num_nodes, node_ids, unnest(node_ids) AS node_id FROM ngon_ids) JOIN nodes USING (node_id)
 GROUP BY pg_id, num_nodes, array_to_string(node_ids, ' ')"""))
 def _(spark, sf):
@@ -579,7 +583,7 @@ def _(spark, sf):
         "node_ids", F.transform(F.sequence(F.lit(0).cast("long"), F.col("num_nodes") - 1),
                                 lambda k: (F.col("pg_id") + 7 * k) % top + 1))
     polygons = el.element_polygons(ngons, v.nodes(spark, sf))
-    return rounded(polygons.select("pg_id", "num_nodes", F.array_join(F.col("node_ids").cast("array<string>"), " ").alias("node_ids"), "mean_wse"))
+    return rounded(polygons.select("pg_id", "num_nodes", F.array_join(F.col("node_ids").cast("array<string>"), " ").alias("node_ids"), "mean_wse"), 3)
 
 
 @query("element_mean_wse", with_views(["elements", "nodes"], f"""

@@ -125,10 +125,14 @@ def _(spark, sf):
     return rounded(flat.select("layer", "feature_id", "pos", F.col("p.x").alias("x"), F.col("p.y").alias("y")), 5)
 
 
-@query("convert_elements", with_views(["elements"], "SELECT pg_id, node_id_1 AS geometry FROM elements"))
+@query("convert_elements", with_views(["elements", "nodes"], f"""
+SELECT pg_id, pos, {rnd('long', 'x')}, {rnd('lat', 'y')} FROM (
+  SELECT pg_id, 0 AS pos, node_id_1 AS node_id FROM elements
+  UNION ALL SELECT pg_id, 1, node_id_2 FROM elements UNION ALL SELECT pg_id, 2, node_id_3 FROM elements) e
+JOIN nodes USING (node_id)"""))
 def _(spark, sf):
-    raw = v.elements(spark, sf).selectExpr("pg_id AS elementID", "node_id_1 AS geometry", "num_nodes")
-    return tb.convert_elements(raw)
+    raw = v.rings(spark, sf).selectExpr("pg_id AS elementID", "ring AS geometry", "1 AS num_nodes")
+    return vertices(tb.convert_elements(raw), ["pg_id"], "geometry")
 
 
 @query("dem_cells", with_views(["dem"], f"SELECT cell, {rnd('elevation', 'elevation')} FROM dem"))
@@ -136,23 +140,33 @@ def _(spark, sf):
     return rounded(tl.dem_cells(v.dem_tiles(spark, sf), v.grid(spark, sf), -9999.0))
 
 
-META_SQL = with_views(["grid"], """
-SELECT 'DEM' AS dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, 150 AS width,
-  -9999.0::double AS nodata, '[0.002, 0.0, -82.005, 0.0, -0.005, 30.0025]' AS transform FROM grid""")
+META_SQL = with_views(["user_grids"], """
+SELECT dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, CAST(width AS INTEGER) AS width,
+  x, y FROM user_grids""")
+
+
+def _corner(df):
+    parsed = df.withColumn("t", F.from_json("transform", "array<double>"))
+    return parsed.select("dem_metadata", "crs", "height", "width", F.col("t")[2].alias("x"), F.col("t")[5].alias("y"))
 
 
 @query("store_dem_metadata", META_SQL)
 def _(spark, sf):
     store = st.TableStore(spark, scratch_dir(spark, "meta"))
-    for _ in range(2):  # storing again replaces the record
-        store.upsert(tb.metadata_row(spark, v.grid(spark, sf)), "dem_metadata", "dem_metadata")
-    return store.read("dem_metadata").withColumn("nodata", F.col("nodata").cast("double"))
+    for _ in range(2):  # storing again replaces the records
+        store.upsert(v.user_grids(spark, sf), "dem_metadata", "dem_metadata")
+    return _corner(store.read("dem_metadata"))
 
 
-@query("load_dem_metadata", META_SQL)
+@query("load_dem_metadata", META_SQL + " QUALIFY row_number() OVER (ORDER BY dem_metadata) <= 2")
 def _(spark, sf):
-    meta = tb.load_dem_metadata(tb.metadata_row(spark, v.grid(spark, sf)))
-    return tb.metadata_row(spark, meta).withColumn("nodata", F.col("nodata").cast("double"))
+    stored = v.user_grids(spark, sf)
+    keys = [r[0] for r in stored.select("dem_metadata").orderBy("dem_metadata").limit(2).collect()]
+    metas = [tb.load_dem_metadata(stored, key) for key in keys]  # a lookup by key is the feature
+    first, *rest = [tb.metadata_row(spark, m, k) for m, k in zip(metas, keys)]
+    for more in rest:
+        first = first.unionByName(more)
+    return _corner(first)
 
 
 # --- table sinks ------------------------------------------------------------------------
@@ -216,11 +230,27 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("export_mesh", with_views(["nodes"], f"SELECT {NODE_OUT} FROM nodes"))
+@query("export_mesh", with_views(["nodes", "elements"], f"""
+SELECT 'node' AS kind, node_id AS id, {rnd('long', 'a')}, {rnd('lat', 'b')}, {rnd('wse', 'c')} FROM nodes
+UNION ALL SELECT 'element', pg_id, node_id_1, node_id_2, node_id_3 FROM elements"""))
 def _(spark, sf):
     base = scratch_dir(spark, "export")
     st.export_mesh(v.nodes(spark, sf), v.elements(spark, sf), f"{base}/nodes", f"{base}/elements")
-    return rounded(spark.read.parquet(f"{base}/nodes"))
+    nodes = spark.read.parquet(f"{base}/nodes").selectExpr("'node' AS kind", "node_id AS id", "long AS a", "lat AS b", "wse AS c")
+    ids = [f"CAST(node_id_{k} AS double) AS {c}" for k, c in ((1, "a"), (2, "b"), (3, "c"))]
+    return rounded(nodes.unionByName(spark.read.parquet(f"{base}/elements").selectExpr("'element' AS kind", "pg_id AS id", *ids)))
+
+
+@query("read_mesh_text_nan", with_views(["nodes"], f"""
+SELECT node_id, {rnd('long', 'long')}, {rnd('lat', 'lat')}, CASE WHEN node_id % 5 <> 2 THEN {rnd('wse', 'wse').rsplit(' AS ', 1)[0]} END AS wse
+FROM nodes"""))
+def _(spark, sf):
+    path = scratch_dir(spark, "nan")
+    level = F.when(F.col("node_id") % 5 == 2, F.lit("NaN")).otherwise(F.col("wse").cast("string"))
+    lines = v.nodes(spark, sf).select(F.concat_ws(" ", "node_id", "long", "lat", level).alias("value"), F.col("node_id").alias("i"))
+    header = lines.limit(1).select(F.lit("a header").alias("value"), F.lit(-1).cast("long").alias("i"))
+    header.unionByName(lines).orderBy("i").select("value").write.text(path)
+    return rounded(mt.read_mesh_text(spark, path)[0])
 
 
 # --- raster sinks -----------------------------------------------------------------------

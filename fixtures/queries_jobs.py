@@ -64,7 +64,7 @@ def _(spark, sf):
 def _(spark, sf):
     cfg = prepared(spark, sf, output_format="ZARR")
     forecast.execute(spark, cfg)
-    cells = rs.read_chunk_store(spark, f"{cfg.output_path}/atlgulf_fim.zarr", "run_0600z_depth")
+    cells = rs.read_chunk_store(spark, f"{cfg.output_path}/depth.zarr", "run_0600z_depth")
     return rounded(cells, 3)
 
 
@@ -145,10 +145,33 @@ def _(spark, sf):
     return domain.build_crosswalk(v.land_mask(spark, sf), f"{root}/mask", f"{root}/ids")
 
 
-@query("validate_inputs", "SELECT o_orderkey FROM orders")
+@query("validate_inputs", """
+SELECT 'orders' AS name, true AS found, count(*) AS rows FROM orders UNION ALL SELECT 'lineitem', true, count(*) FROM lineitem
+UNION ALL SELECT 'events', true, count(*) FROM events UNION ALL SELECT 'no such table', false, 0""")
 def _(spark, sf):
-    validate_inputs(spark, f"{sf}/orders.parquet")
-    return v.table(spark, sf, "orders").select("o_orderkey")
+    rows = []
+    for name in ("orders", "lineitem", "events", "no such table"):
+        path = f"{sf}/{name}.parquet"
+        try:
+            validate_inputs(spark, path)
+            rows.append(v.table(spark, sf, name).agg(F.lit(name).alias("name"), F.lit(True).alias("found"), F.count(F.lit(1)).alias("rows")))
+        except FileNotFoundError:
+            rows.append(spark.range(1).select(F.lit(name).alias("name"), F.lit(False).alias("found"), F.lit(0).cast("long").alias("rows")))
+    first, *rest = rows
+    for more in rest:
+        first = first.unionByName(more)
+    return first
+
+
+@query("execute_overviews", with_views(["job_depth"], f"""
+, l0 AS (SELECT (cell-1)//150 AS row, (cell-1)%150 AS col, depth AS value FROM job_depth WHERE depth >= 0),
+l1 AS (SELECT row//2 AS row, col//2 AS col, avg(value) AS value FROM l0 GROUP BY 1, 2)
+SELECT 1 AS level, row, col, {rnd('value', 'value')} FROM l1"""))
+def _(spark, sf):
+    cfg = prepared(spark, sf, overview_levels=1)  # a raster of one tile has none by default
+    forecast.execute(spark, cfg)
+    stored = spark.read.parquet(f"{cfg.output_path}/run_0600z_depth_overviews")
+    return rounded(stored.select("level", "row", "col", "value"))
 
 
 # --- incremental runs -------------------------------------------------------------------

@@ -68,10 +68,10 @@ def _(spark, sf):
 
 
 @query("interior_mask", with_views(["dem", "diamond_cells"], """
-SELECT cell, cell IN (SELECT cell FROM diamond_cells WHERE layer <> 'water') AS mask FROM dem"""))
+SELECT cell, cell IN (SELECT cell FROM diamond_cells) AS mask FROM dem"""))
 def _(spark, sf):
     layers = v.interior_layers(spark, sf)
-    chosen = [layers.where(F.col("layer") == name) for name in ("levee", "lakes")]
+    chosen = [layers.where(F.col("layer") == name) for name in v.LAYERS]
     return mk.interior_mask(v.dem(spark, sf).select("cell"), chosen, v.grid(spark, sf))
 
 
@@ -85,15 +85,14 @@ view("mask_extent", ["diamonds", "grid"], """
 SELECT greatest(CAST(floor((min(cx) - 0.01035::double + 82.005::double) / 0.002::double) AS BIGINT), 0) AS c0,
   least(CAST(ceil((max(cx) + 0.01035::double + 82.005::double) / 0.002::double) AS BIGINT), 150) AS c1,
   greatest(CAST(floor((max(cy) + 0.01035::double - 30.0025::double) / -0.005::double) AS BIGINT), 0) AS r0
-FROM diamonds WHERE layer = 'lakes'""")
+FROM diamonds""")
 
 
 @query("mask_raster", with_views(["mask_extent", "diamond_cells", "dem"], f"""
 SELECT (((d.cell - 1) // 150) - r0) * (c1 - c0) + ((d.cell - 1) % 150) - c0 + 1 AS cell, {rnd('elevation', 'elevation')}
-FROM dem d, mask_extent WHERE d.cell IN (SELECT cell FROM diamond_cells WHERE layer = 'lakes')"""))
+FROM dem d, mask_extent WHERE d.cell IN (SELECT cell FROM diamond_cells)"""))
 def _(spark, sf):
-    layer = v.interior_layers(spark, sf).where("layer = 'lakes'")
-    masked, _ = mk.mask_raster(v.dem(spark, sf), layer, v.grid(spark, sf))
+    masked, _ = mk.mask_raster(v.dem(spark, sf), v.interior_layers(spark, sf), v.grid(spark, sf))
     return rounded(masked)
 
 
@@ -116,9 +115,13 @@ def _(spark, sf):
     ])
 
 
-@query("extract_mask", "SELECT s_suppkey AS feature_id FROM supplier")
+@query("extract_mask", with_views(["diamonds"], f"""
+SELECT {rnd('cx - 0.01035::double', 'x0', 5)}, {rnd('cx + 0.01035::double', 'x1', 5)},
+  {rnd('cy - 0.01035::double', 'y0', 5)}, {rnd('cy + 0.01035::double', 'y1', 5)} FROM diamonds"""))
 def _(spark, sf):
     from tidegrid.sources.tables import extract_mask
 
-    layer = v.interior_layers(spark, sf).select(F.col("feature_id").cast("string").alias("geometry"), "layer")
-    return extract_mask(layer).select(F.col("geometry").cast("long").alias("feature_id"))
+    layer = v.interior_layers(spark, sf).select(F.col("ring").alias("geometry"), "layer", "feature_id")
+    least, most = (lambda c: F.array_min(f"geometry.{c}")), (lambda c: F.array_max(f"geometry.{c}"))
+    return rounded(extract_mask(layer).select(
+        least("x").alias("x0"), most("x").alias("x1"), least("y").alias("y0"), most("y").alias("y1")), 5)

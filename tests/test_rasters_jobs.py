@@ -270,3 +270,60 @@ def test_stored_coverage_gives_the_plain_depth(spark, sf, domain_cfg):
     plain = zo.filter_masked(v.coverage(spark, sf))
     stored = store.read("masked_coverage_fraction")
     assert stored.select(plain.columns).exceptAll(plain).count() == 0 and stored.count() == plain.count()
+
+
+def test_chunk_store_by_bare_and_by_uri_path(spark, sparse, tmp_path):
+    bare, uri = str(tmp_path / "a.zarr"), f"file:{tmp_path}/b.zarr"
+    rs.write_chunk_store(sparse, META, "depth", bare, "x")
+    rs.write_chunk_store(sparse, META, "depth", uri, "x")
+    assert rs.read_chunk_store(spark, f"file:{bare}", "x").count() == 6
+    assert rs.read_chunk_store(spark, str(tmp_path / "b.zarr"), "x").count() == 6
+
+
+def test_leftovers_and_failures_leave_the_array_whole(spark, sparse, tmp_path):
+    store = str(tmp_path / "fim.zarr")
+    rs.write_chunk_store(sparse, META, "depth", store, "x")
+    (tmp_path / "fim.zarr" / "x" / "0.0.1234abcd.part").write_bytes(b"half a chunk")
+    assert rs.read_chunk_store(spark, store, "x").count() == 6
+    broken = sparse.withColumn("depth", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        rs.write_chunk_store(broken, META, "depth", store, "x")
+    assert rs.read_chunk_store(spark, store, "x").count() == 6
+    assert not [n for n in os.listdir(store) if n.startswith("_")]
+
+
+def test_cached_tiles_are_released(spark, sparse):
+    tiles = rs.tiles_in_memory(sparse, META)
+    assert tiles["depth"].count() > 0 and tiles["depth"].storageLevel.useMemory
+    rs.release_tiles(tiles)
+    assert not tiles["depth"].storageLevel.useMemory
+
+
+def test_deep_overviews_equal_plain_halving(spark):
+    """More levels than one square holds."""
+    meta = GridMeta(3000, 2000, (1.0, 0.0, 0.0, 0.0, -1.0, 2000.0))
+    df = spark.range(4000).select((F.col("id") * 1499 % 6_000_000 + 1).alias("cell"), (F.col("id") % 17).cast("double").alias("depth"))
+    got = {(r["level"], r["row"], r["col"]): r["value"] for r in tl.overviews(df, meta, "depth", 11).collect()}
+    level = {((c - 1) // 3000, (c - 1) % 3000): d for c, d in df.collect()}
+    want = {}
+    for k in range(1, 12):
+        groups = {}
+        for (r, c), d in level.items():
+            groups.setdefault((r // 2, c // 2), []).append(d)
+        level = {rc: sum(d) / len(d) for rc, d in groups.items()}
+        want.update({(k, *rc): d for rc, d in level.items()})
+    assert got == pytest.approx(want)
+
+
+def test_tasks_follow_the_rows_a_row_stands_for(spark):
+    from tidegrid.operators.skew import spread
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        runs = spark.range(1000).select(F.col("id").alias("row"), F.lit(0).alias("lo"))
+        assert spread(runs, "row", stands_for=F.lit(100_000)).rdd.getNumPartitions() == 50
+        assert spread(runs, "row", stands_for=F.lit(1)).rdd.getNumPartitions() == 1
+        assert spread(runs, "row").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

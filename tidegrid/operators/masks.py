@@ -224,7 +224,8 @@ def general_mask_runs(
 
 def run_cells(runs: DataFrame, meta: GridMeta) -> DataFrame:
     """The cells of disjoint runs, one row per cell."""
-    cells = spread(runs, "row").select("row", F.explode(F.sequence("col_lo", "col_hi")).alias("col"))
+    long = F.col("col_hi") - F.col("col_lo") + 1
+    cells = spread(runs, "row", stands_for=long).select("row", F.explode(F.sequence("col_lo", "col_hi")).alias("col"))
     return cells.select(cell_id("row", "col", meta.width).alias("cell"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key a task should handle; keys with more are spread over several tasks.
@@ -35,13 +35,24 @@ def salt_copies(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return flagged.select(*df.columns, F.explode(salts).alias(SALT))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash the rows over all shuffle partitions, ahead of a step that multiplies them.
+#: Rows a task should make, and tasks per core at most where the number of rows is not known.
+TASK_ROWS = 2_000_000
+TASKS_PER_CORE = 4
+
+
+def spread(df: DataFrame, *keys: str, stands_for: Column | None = None) -> DataFrame:
+    """Hash the rows over many tasks, ahead of a step that multiplies them.
 
     The count is explicit because adaptive coalescing goes by bytes: a few kilobytes of
-    runs or edges that stand for millions of cells would otherwise end up in one task.
+    runs or edges that stand for millions of cells would otherwise end up in one task. It
+    follows the rows that a row ``stands_for`` (summed up, one row) where the caller can
+    tell, and the cores of the cluster in any case.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if stands_for is not None:
+        rows = df.agg(F.sum(stands_for)).first()[0] or 0
+        tasks = max(min(tasks * TASKS_PER_CORE, rows * TASKS_PER_CORE // TASK_ROWS), -(-rows // TASK_ROWS), 1)
+    return df.repartition(int(tasks), *keys)
 
 
 def salted_join(

@@ -109,28 +109,51 @@ def overview_levels(meta: GridMeta, tile: int = 512) -> int:
     return levels
 
 
+#: Halvings that stay inside one aligned square of 512 pixels.
+LEVELS_PER_SHUFFLE = 9
+
+
 def overviews(df: DataFrame, meta: GridMeta, col: str, levels: int | None = None, tile: int = 512) -> DataFrame:
     """Overview pyramid by averaging 2 x 2 blocks of valid pixels: level, row, col, value.
 
-    Each level averages the level below it. The levels share their shuffles: the exchange
-    that feeds level k is reused by every coarser level.
+    Each level averages the level below it. Nine halvings stay inside an aligned square of
+    512 pixels, so one shuffle by square serves nine levels; what a square leaves for the
+    coarser levels is one pixel.
     """
     levels = overview_levels(meta, tile) if levels is None else levels
     base = cell_to_rowcol(df.select("cell", F.col(col).alias("value")), meta.width)
-    current = base.where("value IS NOT NULL AND NOT isnan(value)").select("row", "col", "value")
+    current = base.where("value IS NOT NULL AND NOT isnan(value)").select("row", "col", F.col("value").cast("double").alias("value"))
     pyramid = None
-    half = lambda c: F.call_function("div", F.col(c), F.lit(2).cast("long"))
-    for level in range(1, levels + 1):
-        current = current.groupBy(half("row").alias("row"), half("col").alias("col")).agg(
-            F.avg("value").alias("value")
-        )
-        tagged = current.select(F.lit(level).alias("level"), "row", "col", "value")
-        pyramid = tagged if pyramid is None else pyramid.unionByName(tagged)
+    for done in range(0, levels, LEVELS_PER_SHUFFLE):
+        part = _halvings(current, done, min(LEVELS_PER_SHUFFLE, levels - done))
+        pyramid = part if pyramid is None else pyramid.unionByName(part)
+        current = part.where(F.col("level") == done + LEVELS_PER_SHUFFLE).select("row", "col", "value")
     if pyramid is None:
         pyramid = current.select(F.lit(0).alias("level"), "row", "col", "value").where(F.lit(False))
     return pyramid
 
 
+def _halvings(pixels: DataFrame, done: int, levels: int) -> DataFrame:
+    """The next ``levels`` of a pyramid of which ``done`` exist, square by square."""
+    side = 1 << levels
+
+    def halve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        top, left = int(key[0]) * side, int(key[1]) * side
+        r, c, value = (rows["row"].to_numpy() - top), (rows["col"].to_numpy() - left), rows["value"].to_numpy()
+        out = []
+        for level in range(1, levels + 1):
+            r, c, width = r >> 1, c >> 1, side >> level
+            cell, which = np.unique(r * width + c, return_inverse=True)
+            value = np.bincount(which, value) / np.bincount(which)
+            r, c = cell // width, cell % width
+            out.append(pd.DataFrame({"level": done + level, "row": r + (top >> level), "col": c + (left >> level), "value": value}))
+        return pd.concat(out)
+
+    square = lambda c: F.call_function("div", F.col(c), F.lit(side).cast("long")).alias(f"{c}_square")
+    squares = pixels.select(square("row"), square("col"), "row", "col", "value")
+    return squares.groupBy("row_square", "col_square").applyInPandas(halve, "level int, row bigint, col bigint, value double")
+
+
 def ordered_result(df: DataFrame) -> DataFrame:
     """Total order by cell (a range-partitioned sort, no single task)."""
     return df.orderBy("cell")

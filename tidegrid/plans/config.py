@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 OUTPUT_FORMATS = ("COG", "ZARR", "IN_MEMORY")
-# Fixed value: name of the shared chunk store.
-CHUNK_STORE = "atlgulf_fim.zarr"
 
 
 @dataclass(frozen=True)
@@ -34,7 +32,8 @@ class JobConfig:
     exterior_layers: tuple[str, ...] = ()
     interior_layers: tuple[str, ...] = ()
     ring_deg: float = 10.0
-    extra: dict = field(default_factory=dict)
+    overview_levels: int | None = None
+    chunk_store: str = "depth.zarr"
 
     def format(self) -> str:
         chosen = self.output_format.upper()

@@ -11,10 +11,10 @@ from tidegrid.functions.grid import GridMeta
 from tidegrid.operators import nodes as nd
 from tidegrid.operators import zonal as zo
 from tidegrid.operators.weights import triangle_barycentric
-from tidegrid.plans.config import CHUNK_STORE, JobConfig
+from tidegrid.plans.config import JobConfig
 from tidegrid.plans.domain import build_mask, domain_nodes, preprocess
 from tidegrid.session import colocated_joins
-from tidegrid.sinks.rasters import VARIABLES, tiles_in_memory, write_chunk_store, write_tiles
+from tidegrid.sinks.rasters import VARIABLES, tiles_in_memory, write_chunk_store, write_overviews, write_tiles
 from tidegrid.sinks.store import TableStore, materialize_result
 from tidegrid.sources.mesh_text import read_mesh_text
 from tidegrid.sources.tables import load_dem_metadata, load_result, load_table, normalize_node_wse
@@ -57,7 +57,7 @@ def base_name(source: str) -> str:
 def rasterize(
     df: DataFrame, meta: GridMeta, cfg: JobConfig, source: str
 ) -> dict[str, DataFrame] | None:
-    """Tiles (COG switch), chunk store (ZARR) or cached tiles (IN_MEMORY) of a stored result."""
+    """Tiles with overviews (COG switch), chunk store (ZARR) or cached tiles (IN_MEMORY) of a stored result."""
     chosen = cfg.format()
     flags = {"wse": cfg.generate_wse, "depth": cfg.generate_depth}
     wanted = [name for name, on in flags.items() if on]
@@ -67,10 +67,11 @@ def rasterize(
     for variable in wanted:
         column = VARIABLES[variable]
         if chosen == "ZARR":
-            target = cfg.output_path if cfg.output_path.endswith(".zarr") else f"{cfg.output_path}/{CHUNK_STORE}"
+            target = cfg.output_path if cfg.output_path.endswith(".zarr") else f"{cfg.output_path}/{cfg.chunk_store}"
             write_chunk_store(df, meta, column, target, f"{name}_{variable}", unique=True)
         else:
             write_tiles(df, meta, column, f"{cfg.output_path}/{name}_{variable}", unique=True)
+            write_overviews(df, meta, column, f"{cfg.output_path}/{name}_{variable}_overviews", cfg.overview_levels)
     return None
 
 

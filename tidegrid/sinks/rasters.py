@@ -43,8 +43,9 @@ def write_tiles(
 
 def write_overviews(df: DataFrame, meta: GridMeta, col: str, path: str, levels: int | None = None) -> DataFrame:
     """Write the overview pyramid of one variable, partitioned by level."""
-    overviews(df, meta, col, levels).write.mode("overwrite").partitionBy("level").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    pyramid = overviews(df, meta, col, levels)
+    pyramid.write.mode("overwrite").partitionBy("level").parquet(path)
+    return df.sparkSession.read.schema(pyramid.schema).parquet(path)
 
 
 def tiles_in_memory(
