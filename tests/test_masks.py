@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,29 @@ def test_clean_and_stack(spark):
     b = spark.createDataFrame([(4, "r")], "id int, geom string")
     stacked = mk.stack_layers([mk.clean_layer(a), mk.clean_layer(b)])
     assert stacked.count() == 3 and stacked.columns == ["id", "geometry"]
+
+
+def test_a_long_coastline_makes_few_pairs(spark):
+    """100,000 edges, first with a ring wider than the grid, then with a rim inside it."""
+    meta = GridMeta(300, 400, (0.01, 0.0, 0.0, 0.0, -0.01, 4.0))
+    n = 100_000
+    angle = F.col("id") * (2 * math.pi / n)
+    wobble = 1 + 0.02 * F.sin(angle * 977)
+    ring = spark.range(n).select("id", F.struct((1.5 + wobble * F.cos(angle)).alias("x"), (2 + wobble * F.sin(angle)).alias("y")).alias("p"))
+    ring = ring.agg(F.array_sort(F.collect_list(F.struct("id", "p"))).alias("v")).select(F.col("v.p").alias("ring"))
+    layer = ring.select(F.lit("coast").alias("layer"), F.lit(1).alias("feature_id"), F.concat("ring", F.slice("ring", 1, 1)).alias("ring"))
+    layer = layer.cache()
+    points = np.array([(p["x"], p["y"]) for p in layer.first()["ring"]])
+    rows, cols = np.meshgrid(np.arange(0, 400, 7), np.arange(0, 300, 7), indexing="ij")
+    x, y = (cols.ravel() + 0.5) * 0.01, 4.0 - (rows.ravel() + 0.5) * 0.01
+    distance = np.array([np.hypot(points[:, 0] - a, points[:, 1] - b).min() for a, b in zip(x, y)])
+    for radius, share in ((10.0, 0.0), (0.5, 0.2)):
+        _, pairs = mk.near_edge_work(layer, meta, radius)
+        assert pairs.count() <= share * n * 400
+        runs = mk.near_edge_runs(layer, meta, radius)
+        near = {(r["row"], r["col"]) for r in runs.where("row % 7 = 0").select(
+            "row", F.explode(F.sequence("col_lo", "col_hi")).alias("col")).collect()}
+        for a, b, d in zip(rows.ravel().tolist(), cols.ravel().tolist(), distance):
+            if abs(d - radius) > 1e-3:  # the edges between the points come a little closer
+                assert ((a, b) in near) == (d < radius)
+    layer.unpersist()

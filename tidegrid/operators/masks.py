@@ -87,8 +87,53 @@ def rasterize_mask(layers: DataFrame, meta: GridMeta) -> DataFrame:
     return _clip_runs(runs, FEATURE, meta)
 
 
+#: Bins of edges per radius, along each axis.
+BINS_PER_RADIUS = 16
+
+
+def _columns_between(x_lo: Column, x_hi: Column, meta: GridMeta, widen: int) -> list[Column]:
+    """First and last column whose centre lies between two x, each moved out by ``widen`` cells and clipped."""
+    w = lambda x: (x - F.lit(meta.c)) / F.lit(meta.a) - F.lit(0.5)
+    left, right = (x_lo, x_hi) if meta.a > 0 else (x_hi, x_lo)
+    return [F.greatest(F.ceil(w(left)) - widen, F.lit(0)).alias("col_lo"),
+            F.least(F.floor(w(right)) + widen, F.lit(meta.width - 1)).alias("col_hi")]
+
+
+def near_edge_work(layers: DataFrame, meta: GridMeta, radius: float) -> tuple[DataFrame, DataFrame]:
+    """Columns that are near whatever a bin's edges are, and the (edge, row) pairs that are still open.
+
+    Edges are put into square bins. On a grid row, the cells within the radius of the whole
+    box of a bin are certain, and those within the radius of any point of it are possible.
+    Where the certain cells of all bins together hold what a bin makes possible, its edges
+    are not looked at. So the work is bins x rows, and edges x rows at the rim only. Certain
+    runs are a cell short at either end and possible ones a cell longer, so that rounding
+    never decides; the rim is settled by the edges themselves.
+    """
+    side = radius / BINS_PER_RADIUS
+    edges = explode_edges(layers, []).withColumns({
+        "bin_x": F.floor((F.col("x1") + F.col("x2")) / (2 * side)), "bin_y": F.floor((F.col("y1") + F.col("y2")) / (2 * side))})
+    boxes = edges.groupBy("bin_x", "bin_y").agg(
+        F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"),
+        F.min(F.least("y1", "y2")).alias("y1"), F.max(F.greatest("y1", "y2")).alias("y2"))
+    r = F.lit(float(radius))
+    rows = _candidate_rows(spread(boxes, "bin_x", "bin_y"), meta, pad=radius).select(
+        "bin_x", "bin_y", "row", "yc", "x_lo", "x_hi",
+        F.greatest(F.abs(F.col("yc") - F.col("y1")), F.abs(F.col("yc") - F.col("y2"))).alias("far"),
+        F.greatest(F.col("y1") - F.col("yc"), F.col("yc") - F.col("y2"), F.lit(0.0)).alias("close"))
+    half = lambda d: F.sqrt(F.greatest(r * r - F.col(d) * F.col(d), F.lit(0.0)))
+    certain = rows.where(F.col("far") <= r).select(
+        "row", *_columns_between(F.col("x_hi") - half("far"), F.col("x_lo") + half("far"), meta, -1)).where("col_lo <= col_hi")
+    certain = merge_runs(certain)
+    possible = rows.select(
+        "bin_x", "bin_y", "row", "yc", *_columns_between(F.col("x_lo") - half("close"), F.col("x_hi") + half("close"), meta, 1))
+    possible = possible.where("col_lo <= col_hi").alias("p")
+    held = (F.col("c.row") == F.col("p.row")) & (F.col("c.col_lo") <= F.col("p.col_lo")) & (F.col("c.col_hi") >= F.col("p.col_hi"))
+    rim = possible.join(certain.alias("c"), held, "left_anti").select("bin_x", "bin_y", "row", "yc")
+    return certain, edges.join(rim, ["bin_x", "bin_y"]).select("row", "yc", "x1", "y1", "x2", "y2")
+
+
 def _near_edge_spans(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
-    """Per edge and grid row, the columns within ``radius`` of the edge: row, col_lo, col_hi.
+    """Per grid row, columns within ``radius`` of an edge: row, col_lo, col_hi (overlapping).
 
     All points within a radius of a segment form a convex capsule, so an edge contributes
     one span per grid row, in closed form; no cell is ever paired with an edge. A span
@@ -96,9 +141,7 @@ def _near_edge_spans(layers: DataFrame, meta: GridMeta, radius: float) -> DataFr
     not filtered here: the optimizer would inline the whole formula into the filter.
     """
     r = F.lit(float(radius))
-    # A long boundary is one row until here, and each edge meets every row in reach.
-    edges = spread(explode_edges(layers, []), "x1", "y1", "x2", "y2")
-    near = _candidate_rows(edges, meta, pad=radius)
+    certain, near = near_edge_work(layers, meta, radius)
     near = near.where(
         (F.abs(F.col("yc") - F.col("y1")) <= r) | (F.abs(F.col("yc") - F.col("y2")) <= r)
         | F.col("yc").between(F.least("y1", "y2"), F.greatest("y1", "y2"))
@@ -151,7 +194,8 @@ def _near_edge_spans(layers: DataFrame, meta: GridMeta, radius: float) -> DataFr
         F.greatest(F.least(F.ceil(w(left)), F.lit(meta.width)), F.lit(0)).alias("col_lo"),
         F.least(F.floor(w(right)), F.lit(meta.width - 1)).alias("col_hi"),
     )
-    return cols.withColumn("col_hi", F.greatest(F.col("col_hi"), F.col("col_lo") - 1))
+    cols = cols.withColumn("col_hi", F.greatest(F.col("col_hi"), F.col("col_lo") - 1))
+    return certain.select("row", "col_lo", "col_hi").unionByName(cols.select("row", "col_lo", "col_hi"))
 
 
 def near_edge_runs(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:

@@ -35,9 +35,9 @@ def salt_copies(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     return flagged.select(*df.columns, F.explode(salts).alias(SALT))
 
 
-#: Rows a task should make, and tasks per core at most where the number of rows is not known.
+#: Rows a task should make at most, and at least while there are idle cores.
 TASK_ROWS = 2_000_000
-TASKS_PER_CORE = 4
+LEAST_TASK_ROWS = 20_000
 
 
 def spread(df: DataFrame, *keys: str, stands_for: Column | None = None) -> DataFrame:
@@ -51,7 +51,7 @@ def spread(df: DataFrame, *keys: str, stands_for: Column | None = None) -> DataF
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if stands_for is not None:
         rows = df.agg(F.sum(stands_for)).first()[0] or 0
-        tasks = max(min(tasks * TASKS_PER_CORE, rows * TASKS_PER_CORE // TASK_ROWS), -(-rows // TASK_ROWS), 1)
+        tasks = max(min(tasks, rows // LEAST_TASK_ROWS), -(-rows // TASK_ROWS), 1)
     return df.repartition(int(tasks), *keys)
 
 
