@@ -177,6 +177,45 @@ def _(spark, sf):
 # --- incremental runs -------------------------------------------------------------------
 
 
+# Runs as the model writes them: positions from 0, of the nodes that the crosswalk knows.
+view("known_runs", ["runs", "crosswalk"], "SELECT * FROM runs WHERE node_id IN (SELECT node_id_gr3 FROM crosswalk)")
+view("known_run_depth", ["known_runs", "weights", "masked_coverage"], """
+SELECT w.run_id, w.cell, w.wse - e.elevation AS depth FROM (
+  SELECT r1.run_id, c.cell, sum((w.node1_weight * r1.wse + w.node2_weight * r2.wse + w.node3_weight * r3.wse) * c.coverage_fraction)
+    / any_value(t.total) AS wse
+  FROM weights w JOIN known_runs r1 ON w.node_id_1 = r1.node_id
+  JOIN known_runs r2 ON w.node_id_2 = r2.node_id AND r2.run_id = r1.run_id
+  JOIN known_runs r3 ON w.node_id_3 = r3.node_id AND r3.run_id = r1.run_id
+  JOIN masked_coverage c ON c.pg_id = w.pg_id
+  JOIN (SELECT cell, sum(coverage_fraction) AS total FROM masked_coverage GROUP BY cell) t ON t.cell = c.cell
+  GROUP BY r1.run_id, c.cell) w
+JOIN (SELECT cell, max(elevation) AS elevation FROM masked_coverage GROUP BY cell) e ON w.cell = e.cell
+WHERE w.wse - e.elevation >= 0""")
+
+
+@query("stream_runs_rasters", with_views(["known_run_depth"], """
+SELECT run_id, cell, round(CAST(CAST(depth AS FLOAT) AS DOUBLE), 3) + 0.0::double AS value FROM known_run_depth"""))
+def _(spark, sf):
+    cfg = prepared(spark, sf)
+    root = scratch_dir(spark, "snapshots")
+    known = v.runs(spark, sf).join(v.crosswalk(spark, sf), F.col("node_id") == F.col("node_id_gr3"))
+    landed = known.select("run_id", (F.col("node_id_nc") - 1).alias("nSCHISM_hgrid_node"), F.col("wse").alias("elevation"))
+    landed.write.partitionBy("run_id").parquet(f"{root}/landed")
+    job = stream_runs(spark, f"{root}/landed", cfg.store, f"{root}/depth", f"{root}/progress", snapshots=True,
+                      chunk_store=f"{root}/depth.zarr")
+    job.awaitTermination()
+    if job.exception() is not None:
+        raise job.exception()
+    runs = sorted(r["run_id"] for r in landed.select("run_id").distinct().collect())  # one per day of events
+    parts = [rs.read_chunk_store(spark, f"{root}/depth.zarr", f"{run}_depth").withColumn("run_id", F.lit(run)) for run in runs]
+    if not parts:
+        return spark.createDataFrame([], "run_id string, cell bigint, value double")
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return rounded(whole.select("run_id", "cell", "value"), 3)
+
+
 @query("stream_runs", with_views(["run_depth"], f"SELECT run_id, {DEPTH_OUT} FROM run_depth"))
 def _(spark, sf):
     cfg = prepared(spark, sf)

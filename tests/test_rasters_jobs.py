@@ -327,3 +327,27 @@ def test_tasks_follow_the_rows_a_row_stands_for(spark):
         assert spread(runs, "row").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_run_that_turns_dry_leaves_empty_arrays(spark, sf, domain_cfg, tmp_path):
+    """Snapshots land as the model writes them; the second landing of a run takes its water away."""
+    landing, out, zarr = (str(tmp_path / n) for n in ("landing", "out", "runs.zarr"))
+    snapshot = v.snapshot(spark, sf).select("nSCHISM_hgrid_node", F.col("elevation") + 50.0)
+    snapshot = snapshot.toDF("nSCHISM_hgrid_node", "elevation")
+
+    def drain():
+        job = stream_runs(spark, landing, domain_cfg.store, out, str(tmp_path / "progress"), snapshots=True, chunk_store=zarr)
+        job.awaitTermination()
+        assert job.exception() is None
+
+    for run in ("r1", "r2"):
+        snapshot.write.parquet(f"{landing}/run_id={run}")
+    drain()
+    wet = rs.read_chunk_store(spark, zarr, "r1_depth").count()
+    assert wet > 0 and rs.read_chunk_store(spark, zarr, "r2_depth").count() == wet
+    assert spark.read.parquet(out).where("run_id = 'r1'").count() == wet
+    snapshot.withColumn("elevation", F.lit(-1e6)).write.mode("overwrite").parquet(f"{landing}/run_id=r1")
+    drain()
+    assert rs.read_chunk_store(spark, zarr, "r1_depth").count() == 0
+    assert rs.read_chunk_store(spark, zarr, "r2_depth").count() == wet
+    assert spark.read.parquet(out).where("run_id = 'r1'").count() == 0

@@ -96,6 +96,7 @@ def write_chunk_store(
     chunk: int = 512,
     nodata: float = -9999.0,
     unique: bool = False,
+    consolidate: bool = True,
 ) -> int:
     """Write one variable as an array of a shared chunk store; returns chunks written.
 
@@ -104,7 +105,7 @@ def write_chunk_store(
     by the tasks that build them, whole and under a fixed name; a repeated task rewrites the
     same bytes, and what a killed task leaves never comes into the array's folder. Edge
     chunks are padded to full size. No rows gives an array without chunks, which reads as
-    nodata.
+    nodata. Arrays written side by side leave ``consolidate`` to one call afterwards.
     """
     uri = qualify(df.sparkSession, store).rstrip("/")
     fs, root = _open_fs(uri)
@@ -142,7 +143,8 @@ def write_chunk_store(
         _put(fs, f"{root}/.zgroup", parts, json.dumps({"zarr_format": 2}).encode())
     finally:
         fs.delete_dir(f"{root}/{building}")
-    consolidate_store(df.sparkSession, store)
+    if consolidate:
+        consolidate_store(df.sparkSession, store)
     return written
 
 

@@ -1,12 +1,15 @@
-"""Incremental processing: each forecast run that lands gets its own depth partition.
+"""Incremental processing: each forecast run that lands gets its own depth partition and rasters.
 
 The landing folder holds one ``run_id=...`` partition per run. A micro-batch only says
 which runs have news; each of those runs is computed again from everything it has landed
-and replaces its own partition, so a repeated or split batch gives the same table.
+and replaces its own partition and arrays, so a repeated or split batch gives the same
+tables. A run without wet cells leaves no partition, and arrays without chunks.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,9 +17,24 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegrid.functions.scalars import nan_to_null
 from tidegrid.operators.zonal import depth_by_tile, triangle_wse_runs
 from tidegrid.session import colocated_joins
+from tidegrid.sinks.rasters import VARIABLES, consolidate_store, write_chunk_store
 from tidegrid.sinks.store import TableStore
+from tidegrid.sources.filesystem import _resolve
+from tidegrid.sources.tables import SNAPSHOT_NODE, load_dem_metadata
 
 NODE_WSE_SCHEMA = "node_id bigint, wse double, run_id string"
+SNAPSHOT_SCHEMA = f"{SNAPSHOT_NODE} bigint, elevation double, run_id string"
+DEPTH_SCHEMA = "cell bigint, wse_cell_weighted_average double, elevation double, depth double, run_id string"
+
+#: Arrays of one batch that are written side by side.
+WRITERS = 4
+
+
+def snapshot_levels(store: TableStore, rows: DataFrame) -> DataFrame:
+    """Levels on mesh nodes from snapshot rows of many runs: positions from 0 are renumbered through the crosswalk."""
+    numbered = rows.select("run_id", (F.col(SNAPSHOT_NODE) + 1).alias("node_id_nc"), F.col("elevation").alias("wse"))
+    joined = numbered.join(store.read("node_cross_walk"), "node_id_nc")
+    return joined.select(F.col("node_id_gr3").alias("node_id"), "wse", "run_id")
 
 
 def runs_depth(
@@ -38,26 +56,53 @@ def stream_runs(
     checkpoint_dir: str,
     threshold: float | None = None,
     max_files: int = 1000,
+    snapshots: bool = False,
+    chunk_store: str | None = None,
+    variables: tuple[str, ...] = ("depth",),
 ) -> StreamingQuery:
-    """Start the job over everything that has landed and not been processed yet."""
-    landed = (
-        spark.readStream.schema(NODE_WSE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(landing_dir)
-    )
+    """Start the job over everything that has landed and not been processed yet.
+
+    ``snapshots`` says that files land as the model writes them (positions and model names)
+    and not renumbered. With ``chunk_store``, each run's variables are written as arrays
+    ``<run_id>_<variable>``.
+    """
+    schema = SNAPSHOT_SCHEMA if snapshots else NODE_WSE_SCHEMA
+    landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing_dir)
+    landed = landed.select("run_id", F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        touched = batch.select("run_id").distinct()
-        everything = session.read.schema(NODE_WSE_SCHEMA).parquet(landing_dir)
-        # run_id is the partition column, so the semi join prunes the files of other runs.
-        nodes = everything.join(F.broadcast(touched), "run_id", "left_semi")
-        # All inputs come from the batch's own session, whose settings the plan follows.
-        result = runs_depth(TableStore(session, store_root), nodes, threshold)
+        # One row per run of the batch, so never more than files of a trigger.
+        touched = {r["run_id"]: r["folder"] for r in batch.distinct().collect()}
+        if not touched:
+            return
+        store = TableStore(session, store_root)
+        rows = session.read.schema(schema).option("basePath", landing_dir).parquet(*touched.values())
+        levels = snapshot_levels(store, rows) if snapshots else rows
+        result = runs_depth(store, levels, threshold)
+        fs, out = _resolve(session, output_dir)
+        fs.mkdirs(out)
+        for run in touched:  # a run that has become dry must not keep its old cells
+            fs.delete(_resolve(session, f"{output_dir}/run_id={run}")[1], True)
         placed = result.repartition("run_id", F.floor(F.col("cell") / F.lit(4_000_000)))
         with colocated_joins(session):
             (
                 placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("run_id").parquet(output_dir)
             )
+        if chunk_store is None:
+            return
+        meta = load_dem_metadata(store.read("dem_metadata"))
+        depth = session.read.schema(DEPTH_SCHEMA).parquet(output_dir)
+
+        def write(run: str) -> None:
+            cells = depth.where(F.col("run_id") == run)
+            for variable in variables:
+                write_chunk_store(cells, meta, VARIABLES[variable], chunk_store, f"{run}_{variable}", unique=True, consolidate=False)
+
+        with ThreadPoolExecutor(WRITERS) as pool:
+            list(pool.map(write, touched))
+        consolidate_store(session, chunk_store)
 
     return (
         landed.writeStream.foreachBatch(process)
