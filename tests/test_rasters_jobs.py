@@ -263,6 +263,11 @@ def test_a_run_does_not_shuffle_coverage(spark, domain_cfg):
         plan = df._jdf.queryExecution().executedPlan().toString()
     first = plan[plan.index("SortAggregate"):plan.index("FileScan")]
     assert "Exchange" not in first and "Sort [" not in first
+    with colocated_joins(spark):
+        once = zo.depth_by_tile(store.read("masked_coverage_fraction"), store.read("triangle_tiles"), tri, any_hot=False)
+        plan = once._jdf.queryExecution().executedPlan().toString()
+    assert sum("coverage_fraction" in line for line in plan.splitlines() if "FileScan" in line) == 1
+    assert once.exceptAll(df).count() == df.exceptAll(once).count() == 0
 
 
 def test_stored_coverage_gives_the_plain_depth(spark, sf, domain_cfg):

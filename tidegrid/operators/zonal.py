@@ -220,6 +220,7 @@ def depth_by_tile(
     threshold: float | None = None,
     renormalize: bool = False,
     bounded_buckets: bool = True,
+    any_hot: bool = True,
 ) -> DataFrame:
     """Depth per cell (and run) from coverage laid out by raster tile, without moving it.
 
@@ -234,7 +235,8 @@ def depth_by_tile(
 
     ``bounded_buckets`` says that a bucket's triangles fit a task's memory (the store knows the
     bytes per bucket): they are then hashed, and the stored order of the coverage serves the
-    sums. Otherwise Spark picks a join that can spill. The result is the same.
+    sums. Otherwise Spark picks a join that can spill. ``any_hot=False`` says that no tile is
+    salted; the coverage is then scanned once. The result is the same.
     """
     run = [c for c in ("run_id",) if c in tri.columns]
     known = tri.where("wse_weighted_average IS NOT NULL").select(*run, "pg_id", "wse_weighted_average")
@@ -249,6 +251,8 @@ def depth_by_tile(
         joined = rows.join(placed, ["tile", SALT, "pg_id"])
         return joined.groupBy("tile", SALT, "cell", *run).agg(*_cell_sums(renormalize))
 
+    if not any_hot:
+        return _depth_of_sums(sums(F.lit(True)), run, threshold)
     across = sums(F.col(HOT)).groupBy(*run, "cell").agg(
         F.sum("weighted_sum").alias("weighted_sum"),
         (F.sum("base") if renormalize else F.max("base")).alias("base"),

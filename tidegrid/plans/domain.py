@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import add_point
@@ -115,13 +115,30 @@ def store_coverage(
     raster tile of its cell, tiles with exceptionally many rows salted into several buckets.
     ``triangle_tiles`` lists the places each triangle's value has to reach; a run shuffles
     those values and leaves the coverage where it is.
+
+    A count per tile says how many buckets and salts there are. A cell lies in one tile, so
+    its total coverage is summed inside the layout; only the cells of salted tiles, which
+    lie in several buckets, are summed ahead of it.
     """
     kept = filter_masked(raw, threshold).select("pg_id", "cell", "coverage_fraction", "elevation", "mask")
     tiled = with_tile(kept, meta, tile)
-    hot = store.write(hot_keys(tiled, "tile", hot_rows), "hot_tiles")
-    buckets = bucket_count(kept.count(), store.spark.sparkContext.defaultParallelism)
-    hot_cells = store.write(hot_keys(kept, "cell", hot_rows), "hot_cells")
-    laid_out = add_salt(with_coverage_sum(tiled, hot_cells), "tile", hot, "pg_id")
+    counts = store.write(tiled.groupBy("tile").agg(F.count(F.lit(1)).alias("n")), "tile_rows")
+    salts = F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias("salts")
+    hot = store.write(counts.where(F.col("n") > hot_rows).select("tile", salts), "hot_tiles")
+    rows = counts.agg(F.sum("n")).first()[0] or 0
+    buckets = bucket_count(rows, store.spark.sparkContext.defaultParallelism)
+    total = F.lit(None).cast("double").alias("coverage_sum")
+    if hot.isEmpty():
+        summed = tiled.select("*", total)
+    else:
+        several = tiled.join(hot.select("tile"), "tile", "left_semi").select(*tiled.columns)
+        one = tiled.join(hot.select("tile"), "tile", "left_anti").select(*tiled.columns, total)
+        hot_cells = store.write(hot_keys(several, "cell", hot_rows), "hot_cells")
+        summed = one.unionByName(with_coverage_sum(several, hot_cells))
+    salted = add_salt(summed, "tile", hot, "pg_id")
+    placed = salted.repartition(buckets, "tile", SALT)
+    here = F.sum("coverage_fraction").over(Window.partitionBy("tile", SALT, "cell"))
+    laid_out = placed.withColumn("coverage_sum", F.coalesce("coverage_sum", here))
     stored = store.write_bucketed(laid_out, "masked_coverage_fraction", ["tile", SALT], buckets, ["cell"])
     store.write(stored.select("pg_id", "tile", SALT).distinct(), "triangle_tiles")
     return stored

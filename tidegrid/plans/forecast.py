@@ -46,6 +46,7 @@ def compute_depth(store: TableStore, triangles: DataFrame, cfg: JobConfig) -> Da
         store.read("masked_coverage_fraction"), store.read("triangle_tiles"), triangles,
         cfg.depth_threshold if cfg.low_memory else 0.0, cfg.renormalize,
         bounded_buckets=store.bytes_per_bucket("masked_coverage_fraction") <= BUCKET_BYTES,
+        any_hot=not store.read("hot_tiles").isEmpty(),
     )
 
 

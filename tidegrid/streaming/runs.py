@@ -8,8 +8,6 @@ tables. A run without wet cells leaves no partition, and arrays without chunks.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,10 +24,6 @@ NODE_WSE_SCHEMA = "node_id bigint, wse double, run_id string"
 SNAPSHOT_SCHEMA = f"{SNAPSHOT_NODE} bigint, elevation double, run_id string"
 DEPTH_SCHEMA = "cell bigint, wse_cell_weighted_average double, elevation double, depth double, run_id string"
 
-#: Arrays of one batch that are written side by side.
-WRITERS = 4
-
-
 def snapshot_levels(store: TableStore, rows: DataFrame) -> DataFrame:
     """Levels on mesh nodes from snapshot rows of many runs: positions from 0 are renumbered through the crosswalk."""
     numbered = rows.select("run_id", (F.col(SNAPSHOT_NODE) + 1).alias("node_id_nc"), F.col("elevation").alias("wse"))
@@ -44,7 +38,8 @@ def runs_depth(
     clean = node_wse.select("run_id", "node_id", nan_to_null("wse").alias("wse"))
     triangles = triangle_wse_runs(store.read("triangle_weights"), clean)
     return depth_by_tile(
-        store.read("masked_coverage_fraction"), store.read("triangle_tiles"), triangles, threshold
+        store.read("masked_coverage_fraction"), store.read("triangle_tiles"), triangles, threshold,
+        any_hot=not store.read("hot_tiles").isEmpty(),
     )
 
 
@@ -95,13 +90,10 @@ def stream_runs(
         meta = load_dem_metadata(store.read("dem_metadata"))
         depth = session.read.schema(DEPTH_SCHEMA).parquet(output_dir)
 
-        def write(run: str) -> None:
+        for run in touched:
             cells = depth.where(F.col("run_id") == run)
             for variable in variables:
                 write_chunk_store(cells, meta, VARIABLES[variable], chunk_store, f"{run}_{variable}", unique=True, consolidate=False)
-
-        with ThreadPoolExecutor(WRITERS) as pool:
-            list(pool.map(write, touched))
         consolidate_store(session, chunk_store)
 
     return (
