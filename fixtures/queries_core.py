@@ -114,7 +114,7 @@ def _(spark, sf):
 
 # One grid per user of the events: as many rows as events, its corner from their values.
 view("user_grids", [], """
-SELECT 'user' || user_id AS dem_metadata, count(*) AS height, CAST(max(event_id) AS BIGINT) AS width,
+SELECT 'grid ' || user_id AS dem_metadata, count(*) AS height, CAST(max(event_id) AS BIGINT) AS width,
   round(min(value), 2) AS x, round(max(value), 2) AS y FROM events GROUP BY user_id""")
 
 
@@ -123,7 +123,7 @@ SELECT dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, CAST
   x AS gt_origin_x, 0.5::double AS gt_pixel_w, 0.0::double AS gt_row_rot,
   y AS gt_origin_y, 0.0::double AS gt_col_rot, -0.25::double AS gt_pixel_h FROM user_grids"""))
 def _(spark, sf):
-    return grid.geotransform(v.user_grids(spark, sf))
+    return grid.geotransform(v.event_grids(spark, sf, "user_id"))
 
 
 @query("to_crs_mercator", with_views(["nodes"], f"""

@@ -140,9 +140,14 @@ def _(spark, sf):
     return rounded(tl.dem_cells(v.dem_tiles(spark, sf), v.grid(spark, sf), -9999.0))
 
 
-META_SQL = with_views(["user_grids"], """
-SELECT dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, CAST(width AS INTEGER) AS width,
-  x, y FROM user_grids""")
+view("type_grids", [], """
+SELECT 'grid ' || event_type AS dem_metadata, count(*) AS height, CAST(max(event_id) AS BIGINT) AS width,
+  round(min(value), 2) AS x, round(max(value), 2) AS y FROM events GROUP BY event_type""")
+
+
+def _meta_sql(grids):
+    return with_views([grids], f"""
+SELECT dem_metadata, 'EPSG:4326' AS crs, CAST(height AS INTEGER) AS height, CAST(width AS INTEGER) AS width, x, y FROM {grids}""")
 
 
 def _corner(df):
@@ -150,23 +155,23 @@ def _corner(df):
     return parsed.select("dem_metadata", "crs", "height", "width", F.col("t")[2].alias("x"), F.col("t")[5].alias("y"))
 
 
-@query("store_dem_metadata", META_SQL)
+@query("store_dem_metadata", _meta_sql("user_grids"))
 def _(spark, sf):
     store = st.TableStore(spark, scratch_dir(spark, "meta"))
     for _ in range(2):  # storing again replaces the records
-        store.upsert(v.user_grids(spark, sf), "dem_metadata", "dem_metadata")
+        store.upsert(v.event_grids(spark, sf, "user_id"), "dem_metadata", "dem_metadata")
     return _corner(store.read("dem_metadata"))
 
 
-@query("load_dem_metadata", META_SQL + " QUALIFY row_number() OVER (ORDER BY dem_metadata) <= 2")
+@query("load_dem_metadata", _meta_sql("type_grids"))
 def _(spark, sf):
-    stored = v.user_grids(spark, sf)
-    keys = [r[0] for r in stored.select("dem_metadata").orderBy("dem_metadata").limit(2).collect()]
-    metas = [tb.load_dem_metadata(stored, key) for key in keys]  # a lookup by key is the feature
-    first, *rest = [tb.metadata_row(spark, m, k) for m, k in zip(metas, keys)]
-    for more in rest:
-        first = first.unionByName(more)
-    return _corner(first)
+    stored = v.event_grids(spark, sf, "event_type")
+    keys = [r[0] for r in stored.select("dem_metadata").collect()]  # one per kind of event
+    rows = [tb.metadata_row(spark, tb.load_dem_metadata(stored, key), key) for key in keys]
+    whole = rows[0]
+    for more in rows[1:]:
+        whole = whole.unionByName(more)
+    return _corner(whole)
 
 
 # --- table sinks ------------------------------------------------------------------------

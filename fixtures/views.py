@@ -202,13 +202,13 @@ def mesh_lines(spark: SparkSession, sf: str, counts: bool = True) -> DataFrame:
     return lines.orderBy("part", "i").select("value")
 
 
-def user_grids(spark: SparkSession, sf: str) -> DataFrame:
-    """Grid metadata records, one per user of the events."""
-    return table(spark, sf, "events").groupBy("user_id").agg(
+def event_grids(spark: SparkSession, sf: str, by: str) -> DataFrame:
+    """Grid metadata records, one per value of a column of the events."""
+    return table(spark, sf, "events").groupBy(F.col(by).cast("string").alias("key")).agg(
         F.count(F.lit(1)).cast("int").alias("height"), F.max("event_id").cast("int").alias("width"),
         F.round(F.min("value"), 2).alias("x"), F.round(F.max("value"), 2).alias("y"),
     ).select(
-        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("dem_metadata"), F.lit("EPSG:4326").alias("crs"),
+        F.concat(F.lit("grid "), F.col("key")).alias("dem_metadata"), F.lit("EPSG:4326").alias("crs"),
         "height", "width", F.lit(-9999.0).alias("nodata"),
         F.to_json(F.array(F.lit(0.5), F.lit(0.0), "x", F.lit(0.0), F.lit(-0.25), "y")).alias("transform"),
     )
