@@ -135,6 +135,17 @@ def test_repeated_strings_of_a_hot_passage_in_split_shards(spark, monkeypatch):
     assert all(suffix_dedup.hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in found.collect())
 
 
+def test_windows_that_one_shard_holds_twice_and_another_once(spark, monkeypatch):
+    """Every shard has an array of its own, so only the merge sees what two of them hold."""
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", 8)
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", 1)
+    rng = random.Random(12)
+    passage = " ".join(f"p{rng.random()}" for _ in range(14))
+    rows = [(k, f"{rng.random()} {k // 3 % 20:02d}{passage}{k % 17:02d} {rng.random()}") for k in range(150)]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 200)
+    assert listed(found.collect()) == listed(repeats(rows, 200))
+
+
 def test_suffix_order_and_windows():
     rng = np.random.default_rng(6)
     for _ in range(40):

@@ -7,9 +7,10 @@
 2. Equal contexts are one context; if it occurs twice, all its windows are repeated.
 3. Contexts that differ but share an anchor go to one shard. A suffix array (Larsson-Sadakane) and
    common prefixes (Kasai) over the shard tell which windows occur more than once.
-4. The contexts of an anchor that has very many are dealt to several shards. The windows that a shard
-   holds once are cut into key ranges by binary search in its sorted list, and the lists of a range
-   are merged, again by binary search: a window that two shards hold is repeated.
+4. The contexts of an anchor that has very many are dealt to several shards. The distinct windows of
+   each, those it holds several times by one representative, are cut into key ranges by binary
+   search in its sorted list, and the lists of a range are merged, again by binary search: a window
+   that two shards hold is repeated.
 5. The covered bytes of each distinct text are cut out.
 
 Everything after the scan goes by a hash of the whole text, not by ``doc_id``.
@@ -130,7 +131,10 @@ _SHARD = f"{_COVER}, range int, salt int, windows array<long>, contexts array<lo
 
 
 def _search_shards(rows: DataFrame, length: int) -> DataFrame:
-    """Covered ranges per context and, of split anchors, the windows a shard holds once, by key range."""
+    """Covered ranges per context and, of split anchors, the distinct windows of a shard, by key range.
+
+    The offset of a window that the shard holds several times is -1: all its places are covered.
+    """
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Whole shards, of about ARRAY_BYTES together. A task's shards are a bounded amount."""
         whole = pa.Table.from_batches(list(batches), batches_schema)
@@ -176,7 +180,8 @@ def _search_shards(rows: DataFrame, length: int) -> DataFrame:
                 mine = np.flatnonzero((anchor == a) & (salt == s))
                 at = np.concatenate([np.arange(lo[k], hi[k]) for k in mine])
                 of = np.repeat(mine, hi[mine] - lo[mine])
-                once = (group[at] >= 0) & ~repeated[at]
+                at, of = at[group[at] >= 0], of[group[at] >= 0]
+                _, once = np.unique(group[at], return_index=True)
                 at, of = at[once], of[once]
                 keys = _window_keys(data, at, length)
                 order = np.argsort(keys)
@@ -188,7 +193,7 @@ def _search_shards(rows: DataFrame, length: int) -> DataFrame:
                     piece = slice(cuts[r], cuts[r + 1])
                     if cuts[r + 1] > cuts[r]:
                         add(anchor=a, range=r, salt=s, windows=keys[piece], contexts=context[of[piece]],
-                            offsets=(at[piece] - lo[of[piece]]).astype(np.int32))
+                            offsets=np.where(repeated[at[piece]], -1, at[piece] - lo[of[piece]]).astype(np.int32))
             if out["anchor"]:
                 yield pa.RecordBatch.from_pydict(
                     {name: pa.array(column, kind) for (name, column), kind in zip(out.items(), [
@@ -220,6 +225,7 @@ def _merge_shards(slices: DataFrame, length: int) -> DataFrame:
             for other in lists[:k] + lists[k + 1:]:
                 place = np.searchsorted(other, mine)
                 shared |= other[np.minimum(place, len(other) - 1)] == mine
+            shared &= np.asarray(offsets) >= 0
             for c, o in zip(np.asarray(contexts)[shared].tolist(), np.asarray(offsets)[shared].tolist()):
                 found.setdefault(c, set()).add(o)
         import pandas as pd
