@@ -3,9 +3,11 @@
 import gzip
 import glob
 import heapq
+import itertools
 import os
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -215,6 +217,35 @@ def test_mixture_follows_the_weights(spark, awkward, nothing, monkeypatch):
     assert mix_sources(nothing).count() == 0
 
 
+@pytest.mark.parametrize("weights", [[19, *[1] * 19], [599, *[1] * 599], [0.5, 0.3, 0.2], [7 ** 0.5, 1e-5, 3.1]])
+def test_mixture_keeps_the_weights_themselves(weights):
+    """By less than a block at every slot, also after many times a thousand slots and with very many sources."""
+    n, total = len(weights), sum(Fraction(repr(w)) for w in weights)
+    share = [Fraction(repr(w)) / total for w in weights]
+    done = [0] * n
+    for t, (i, j, release, deadline, slot) in enumerate(itertools.islice(mixing.mixture([*weights, 0.0], [20_000] * (n + 1)), 6000)):
+        assert slot == t and release <= t < deadline and j == done[i]
+        done[i] += 1
+        assert abs(done[0] - (t + 1) * share[0]) < 1 and abs(done[i] - (t + 1) * share[i]) < 1
+    assert all(abs(d - 6000 * w) < 1 for d, w in zip(done, share))
+
+
+def test_sources_without_a_share_come_behind_the_others():
+    plan = list(mixing.mixture([0.0, 2.0, float("nan"), 1.0, 1e-300], [3, 4, 2, 2, 1]))
+    assert [p[0] for p in plan[:6]].count(1) == 4 and {p[0] for p in plan[6:]} == {0, 2, 4} and len(plan) == 12
+    assert all(r <= s < d for _, _, r, d, s in plan) and len({p[4] for p in plan}) == 12
+    assert list(mixing.mixture([], [])) == []
+
+
+def test_half_of_the_weight_has_one_of_two_slots(spark):
+    docs = spark.range(0, 24_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "big").otherwise(
+        F.concat(F.lit("s"), F.col("id") % 19)).alias("source"))
+    weights = spark.createDataFrame([("big", 19.0), *((f"s{k}", 1.0) for k in range(19))], "source string, weight double")
+    rows = mix_sources(docs, weights, block_rows=4).filter("source = 'big'").select("slot").distinct().collect()
+    slots = sorted(r["slot"] for r in rows)
+    assert len(slots) == 3000 and all(2 * j <= s < 2 * j + 2 for j, s in enumerate(slots))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_its_statement(spark, duck, sf, name):
     df = QUERIES[name](spark, sf)
