@@ -192,6 +192,18 @@ def test_proximity_finds_an_altered_passage(spark):
     assert {r["doc_id"]: r["n_hit"] for r in find_contamination(docs, bench).collect()} == {1: 10, 2: 0, 3: 0}
 
 
+def test_proximity_looks_at_all_words_of_a_window(spark):
+    w = [f"rare{k}" for k in range(10)]
+    texts = [w, w[:3] + ["other"] + w[4:], w[:2] + w[3:6] + ["x", "y"] + w[7:], w[:2] + ["u"] * 8, w[::-1], w[:7] + ["u"] * 3]
+    bench = spark.createDataFrame([(7, " ".join(w)), (8, " ".join(w[:9] + ["nowhere"]))], "item_id long, text string")
+    rows = [(k, " ".join(["a", *t, "b"])) for k, t in enumerate(texts)] + [(None, " ".join(w[1:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], i) for r in proximity_matches(docs, bench).collect() for i in r["items"]}
+    assert found == {(0, "7"), (0, "8"), (1, "7"), (1, "8"), (2, "7"), (None, "7"), (None, "8")}
+    # One word of the window stands nowhere in the corpus, another is replaced.
+    assert {r["doc_id"] for r in proximity_matches(docs.filter("doc_id = 1"), bench.filter("item_id = 8")).collect()} == {1}
+
+
 def test_empty_tables(spark, awkward, nothing):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert exact_duplicates(nothing).count() == exact_duplicates(nothing, digests=True).count() == 0

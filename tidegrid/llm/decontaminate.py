@@ -79,12 +79,28 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _edits_of(size: Column, edits: int) -> Column:
+    """Words that may be missing of a window: ``edits``, but one of five at most."""
+    return F.least(F.lit(edits), F.floor(size / 5).cast("int"))
+
+
+def _in_order(words: Column, phrase: Column) -> Column:
+    """Length of the longest common subsequence of two arrays, one row of the table after another."""
+    def row(above: Column, word: Column) -> Column:
+        cells = F.sequence(F.lit(1), F.size(phrase))
+        return F.aggregate(cells, F.array(F.lit(0)), lambda done, j: F.concat(done, F.array(F.greatest(
+            F.element_at(done, -1), F.element_at(above, j + 1),
+            F.element_at(above, j) + F.when(F.element_at(phrase, j) == word, 1).otherwise(0)))))
+
+    return F.aggregate(words, F.array_repeat(F.lit(0), F.size(phrase) + 1), row, lambda last: F.element_at(last, -1))
+
+
 def index_candidates(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     slack: int = 0) -> DataFrame:
+                     edits: int | None = None) -> DataFrame:
     """``(doc_id, start, phrase_id)`` where the two rarest terms of a window stand at its distances.
 
-    ``slack`` lets the distance of the two differ by so many words (proximity matches); the start
-    is then that by the rarest term.
+    With ``edits``, where one of the rarest terms stands: of the terms that occur, one more is
+    looked up than may be missing, so each place with so many words missing is found by one at least.
     """
     spread = windows.select("phrase_id", F.posexplode("phrase").alias("offset", "word"))
     places = store(spread.select("phrase_id", "offset", _term(F.col("word")).alias("term")))
@@ -99,9 +115,16 @@ def index_candidates(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id"
     # The two rarest places of each window; a window with a term that never occurs cannot occur.
     ranked = places.join(frequency, "term", "left").groupBy("phrase_id").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "offset", "term"))).alias("by_count"))
-    possible = ranked.filter(F.col("by_count")[0]["n"] > 0) if slack == 0 else ranked
+    if edits is None:
+        possible, looked_up = ranked.filter(F.col("by_count")[0]["n"] > 0), F.lit(2)
+    else:
+        # Terms that never occur are missing in any case.
+        occurring = F.filter("by_count", lambda t: t["n"] > 0)
+        left = _edits_of(F.size("by_count"), edits) - F.size("by_count") + F.size("occurring")
+        possible = ranked.withColumn("occurring", occurring).withColumn("left", left).filter("left >= 0")
+        possible, looked_up = possible.select("phrase_id", F.col("occurring").alias("by_count"), "left"), F.col("left") + 1
     seeds = store(possible.select("phrase_id", F.size("by_count").alias("size"),
-                                  F.posexplode(F.slice("by_count", 1, 2)).alias("rank", "seed"))
+                                  F.posexplode(F.slice("by_count", F.lit(1), looked_up)).alias("rank", "seed"))
                   .select("phrase_id", F.least("size", F.lit(2)).alias("needed"), "rank", "seed.offset", "seed.term"))
 
     wanted = store(seeds.select("term").distinct())
@@ -114,21 +137,12 @@ def index_candidates(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id"
     for block in _blocks(seeds, "phrase_id"):
         start = (F.col("position") - F.col("offset")).alias("start")
         shifted = postings.join(F.broadcast(block), "term").select("doc_id", "phrase_id", "rank", "needed", start)
-        if slack == 0:
-            flags = F.bit_or(F.col("rank") + 1)  # 1 for the rarest, 2 for the second
-            both = shifted.groupBy("doc_id", "phrase_id", "start").agg(flags.alias("seen"), F.first("needed").alias("needed"))
-            found.append(both.filter("seen = 2 * needed - 1").select("doc_id", "start", "phrase_id"))
-        else:
-            # Starts within the slack share a cell of that width, or stand in neighbouring ones.
-            cell = F.floor(F.col("start") / slack)
-            one = shifted.filter("rank = 0").select("doc_id", "phrase_id", "start", "needed", cell.alias("cell"))
-            two = shifted.filter("rank = 1").select(
-                "doc_id", "phrase_id", F.col("start").alias("other"),
-                F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
-            near = one.join(two, ["doc_id", "phrase_id", "cell"]).filter(F.abs(F.col("start") - F.col("other")) <= slack)
-            single = one.filter("needed = 1")
-            found.append(near.select("doc_id", "start", "phrase_id")
-                         .unionByName(single.select("doc_id", "start", "phrase_id")).distinct())
+        if edits is not None:
+            found.append(shifted.select("doc_id", "start", "phrase_id").distinct())
+            continue
+        flags = F.bit_or(F.col("rank") + 1)  # 1 for the rarest, 2 for the second
+        both = shifted.groupBy("doc_id", "phrase_id", "start").agg(flags.alias("seen"), F.first("needed").alias("needed"))
+        found.append(both.filter("seen = 2 * needed - 1").select("doc_id", "start", "phrase_id"))
     return _union(found)
 
 
@@ -182,14 +196,38 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_co
     return found.filter(F.size("hits") == 0).select("row.*")
 
 
-def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slack: int = 3,
+def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slack: int = 3, edits: int = 2,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, start, phrase, items)`` where a window's two rarest terms stand ``slack`` words or
-    less from their distance in the window: altered passages that no exact phrase finds."""
+    """``(doc_id, start, phrase, items)``: altered passages that no exact phrase finds.
+
+    All words of the window but ``edits`` (one of five at most) stand in its order in the stretch from
+    ``slack`` words before the start to ``slack`` words behind the end; the start is that by one of
+    the rarest terms.
+    """
     windows = store(benchmark_windows(items, window))
-    near = store(index_candidates(docs, windows, id_col, text_col, slack))
-    parts = [near.join(F.broadcast(block), "phrase_id") for block in _blocks(windows, "phrase_id")]
-    if not parts:
+    near = store(index_candidates(docs, windows, id_col, text_col, edits))
+    blocks = list(_blocks(windows, "phrase_id"))
+    if not blocks:
         return near.select("doc_id", "start", F.array().cast("array<string>").alias("phrase"),
                            F.array().cast("array<string>").alias("items"))
-    return _union(parts).select("doc_id", "start", "phrase", "items")
+    # Texts and places meet by id alone; the phrases come to them behind the shuffle.
+    per_doc = near.groupBy("doc_id").agg(F.collect_list(F.struct("start", "phrase_id")).alias("places"))
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    lists = texts.join(per_doc, texts["id"].eqNullSafe(per_doc["doc_id"])).select(
+        "doc_id", "places", _pieces(F.translate("text", UPPER, LOWER)).alias("pieces"))
+    begin = F.greatest(F.col("place.start") - slack, F.lit(0))
+    words = F.slice("pieces", begin + 1, F.greatest(F.col("place.start") + window + slack - begin, F.lit(0)))
+    places = lists.select("doc_id", "pieces", F.explode("places").alias("place")).select(
+        "doc_id", "place.start", "place.phrase_id", begin.alias("begin"), words.alias("words"))
+    size = F.size("phrase")
+    needed = size - _edits_of(size, edits)
+
+    def confirmed(block: DataFrame) -> DataFrame:
+        stretch = F.slice("words", F.lit(1), F.greatest(F.col("start") + size + slack - F.col("begin"), F.lit(0)))
+        near_it = places.join(F.broadcast(block), "phrase_id").withColumn("words", stretch)
+        # Most candidates lack more words than may be missing; the order is looked at in the others only.
+        missing = F.size(F.array_except("phrase", "words"))
+        stands = F.when(missing <= size - needed, _in_order(F.col("words"), F.col("phrase")) >= needed).otherwise(False)
+        return near_it.filter(stands).select("doc_id", "start", "phrase", "items")
+
+    return _union([confirmed(block) for block in blocks]).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegrid.llm import quality, toxicity
 from tidegrid.llm.chat import format_conversations, loss_text, read_turns
 from tidegrid.llm.common import table
-from tidegrid.llm.decontaminate import find_contamination
+from tidegrid.llm.decontaminate import find_contamination, proximity_matches
 from tidegrid.llm.exact_dedup import exact_duplicates
 from tidegrid.llm.minhash import near_duplicates
 from tidegrid.llm.mixing import mix_sources
@@ -90,6 +90,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query("op10_proximity")
+def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = proximity_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "start", F.array_join("phrase", " ").alias("phrase"), F.array_join(F.array_sort("items"), ",").alias("items"))
+
+
 @query("op4_toxicity")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
