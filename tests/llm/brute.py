@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import re
+import zlib
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -137,3 +138,59 @@ def captures(rows):
         out[i] = (len(b), d, "revisit" if d in first else "response", first.get(d))
         first.setdefault(d, i)
     return out
+
+
+def runs(text):
+    """Runs (start, length, period) of words, by start, then period, by comparing all words at all distances."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, found = len(w), {}
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i + q < n:
+            k = i
+            while k + q < n and w[k] == w[k + q]:
+                k += 1
+            if k > i and k + q - i >= max(24, 3 * q):
+                found.setdefault((i, k + q - i), q)
+            i = k + 1
+    return sorted((s, length, q) for (s, length), q in found.items())
+
+
+def collapsed(text, found):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def circled(doc_id, text):
+    """The text of an id whose checksum ends in 0, going in circles from some word on."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is None or h % 10 or not w:
+        return text or ""
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return " ".join(w[i] if i < a else w[a + (i - a) % p] for i in range(n))
+
+
+def clusters(rows, k=16, rounds=3, dims=64):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, centroid) per kept vector."""
+    kept = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (r[0] is None, sha(f"1:{r[0]}"), r[1]) if r[0] is not None else (True, "", r[1]))
+    places = [v for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, p)), c) for c, p in enumerate(places))
+
+    for _ in range(rounds):
+        members = collections.defaultdict(list)
+        for _, v in kept:
+            members[nearest(v)[1]].append(v)
+        places = [[sum(x) // len(members[c]) for x in zip(*members[c])] if members[c] else p for c, p in enumerate(places)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    share = collections.Counter()
+    for _, c, d in found:
+        share[c] += d
+    return [(i, c, d, share[c], sum(share.values()), tuple(places[c])) for i, c, d in found]

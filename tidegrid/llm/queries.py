@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm import quality, toxicity
 from tidegrid.llm.chat import format_conversations, loss_text, read_turns
+from tidegrid.llm.clustering import cluster_vectors
 from tidegrid.llm.common import table
 from tidegrid.llm.decontaminate import find_contamination, proximity_matches
 from tidegrid.llm.exact_dedup import exact_duplicates
+from tidegrid.llm.html_extract import extract_text, labelled_pages, train_extractor
 from tidegrid.llm.minhash import near_duplicates
 from tidegrid.llm.mixing import mix_sources
+from tidegrid.llm.periodic import periodic_runs, strongest, with_cycles
 from tidegrid.llm.secrets import KINDS, scan_secrets, spans_as_text
 from tidegrid.llm.suffix_dedup import remove_repeats
 from tidegrid.llm.warc import capture_index
@@ -164,3 +167,57 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
     return mixed.select("doc_id", "source", "release", "deadline", "slot", "position")
+
+
+@query("op11_html_extract")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = train_extractor(labelled_pages(spark))
+    found = extract_text(table(spark, sf_dir, "pages"), model)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_cycles(table(spark, sf_dir, "documents"))).withColumn("best", strongest(F.col("runs")))
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    milli = F.call_function("div", F.col("best.length") * 1000, F.col("best.period"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), milli.alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def _clusters_sql(rounds: int = 3, k: int = 16) -> str:
+    """The rounds of op13 written out one after another."""
+    nearest = """
+    a{r} AS (SELECT row, (m % {k})::INT AS c, (m // {k})::BIGINT AS d FROM (
+        SELECT row, min(list_sum([(q[i] - p[i]) * (q[i] - p[i]) for i in range(1, 65)]) * {k} + c) AS m
+        FROM kept CROSS JOIN c{r} GROUP BY row))"""
+    means = """
+    m{r} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS p FROM (
+        SELECT c, i, sum(v)::BIGINT AS s, count(*)::BIGINT AS n FROM (
+            SELECT c, unnest(q) AS v, generate_subscripts(q, 1) AS i FROM a{r} JOIN kept USING (row)) GROUP BY c, i) GROUP BY c),
+    c{s} AS (SELECT c, coalesce(m{r}.p, c{r}.p) AS p FROM c{r} LEFT JOIN m{r} USING (c))"""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(nearest.format(r=r, k=k))
+        if r < rounds:
+            steps.append(means.format(r=r, s=r + 1))
+    return f"""
+    WITH kept AS (
+        SELECT row_number() OVER () AS row, vec_id, [floor(64 * x::DOUBLE)::BIGINT for x in embedding] AS q
+        FROM embeddings WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    c0 AS (
+        SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), q) - 1 AS c, q AS p
+        FROM kept QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), q) <= {k}),{",".join(steps)}
+    SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+           (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN kept USING (row) JOIN c{rounds} USING (c)"""
+
+
+@query("op13_centroid_clusters", _clusters_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join("centroid", ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
