@@ -180,3 +180,64 @@ def test_a_long_coastline_makes_few_pairs(spark):
             if abs(d - radius) > 1e-3:  # the edges between the points come a little closer
                 assert ((a, b) in near) == (d < radius)
     layer.unpersist()
+
+
+def test_edges_in_one_box_make_few_pairs(spark):
+    """100,000 short edges in one top box: a row meets the few that reach furthest, not all of them."""
+    meta = GridMeta(300, 400, (0.01, 0.0, 0.0, 0.0, -0.01, 4.0))
+    n, radius = 100_000, 0.8
+    x, y = (1.5 + 0.04 * F.rand(1)), (2.0 + 0.04 * F.rand(2))
+    points = spark.range(n).select(x.alias("x"), y.alias("y")).cache()
+    far = F.struct((F.col("x") + 1e-6).alias("x"), F.col("y").alias("y"))
+    rings = points.select(F.array(F.struct("x", "y"), far).alias("ring"))
+    _, pairs = mk.near_edge_work(rings, meta, radius)
+    rows = pairs.select("row").distinct().count()
+    assert rows > 100
+    assert pairs.count() < 25 * rows * math.log2(n)  # of 100,000 edges a row meets some 350, those along the front
+    got = {r["row"]: (r["lo"], r["hi"]) for r in mk.near_edge_runs(rings, meta, radius).groupBy("row").agg(
+        F.min("col_lo").alias("lo"), F.max("col_hi").alias("hi")).collect()}
+    at = np.array(points.collect())
+    for row in range(100, 300, 9):
+        yc = 4.0 - (row + 0.5) * 0.01
+        near = np.abs(at[:, 1] - yc) <= radius
+        half = np.sqrt(np.maximum(radius**2 - (at[:, 1] - yc) ** 2, 0))[near]
+        if near.any():
+            lo, hi = (at[near, 0] - half).min() / 0.01 - 0.5, (at[near, 0] + 1e-6 + half).max() / 0.01 - 0.5
+            assert got[row] == (max(math.ceil(lo), 0), min(math.floor(hi), 299))
+    points.unpersist()
+
+
+def jobs_of(spark, build):
+    """How many jobs Spark starts while ``build`` runs."""
+    group = f"watched-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "watched")
+    try:
+        out = build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), out
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_no_job_runs_while_a_mask_is_planned(spark):
+    cells = spark.range(1, META.cells + 1).withColumnRenamed("id", "cell")
+    outer = [layer(spark, (1, SHAPES["star"])), layer(spark, (1, SHAPES["upright box"]))]
+    jobs, mask = jobs_of(spark, lambda: mk.general_mask(cells, outer, [layer(spark, (1, SHAPES["tiny"]))], META, 0.8))
+    assert jobs == 0
+    plan = mask._jdf.queryExecution().executedPlan().toString()
+    assert "explode(sequence(col_lo" not in plan.replace("cast(", "")
+
+
+def test_flags_by_sweep(spark, monkeypatch):
+    """Cells in a few narrow blocks, twice, outside the grid and without an id; runs over several blocks."""
+    monkeypatch.setattr(mk, "BLOCK", 7)
+    meta = GridMeta(40, 4, META.transform)
+    ids = [*range(1, 161), 5, 161, 400, None]
+    cells_in = spark.createDataFrame([(i, f"c{i}", True) for i in ids], "cell long, name string, mask boolean")
+    runs = spark.createDataFrame([(0, 0, 39), (1, 3, 3), (1, 6, 22), (3, 38, 39)], "row long, col_lo long, col_hi long")
+    want = [(r, c) for r, lo, hi in [(0, 0, 39), (1, 3, 3), (1, 6, 22), (3, 38, 39)] for c in range(lo, hi + 1)]
+    got = mk.flag_cells(cells_in, runs, meta)
+    assert got.columns == ["cell", "name", "mask"]
+    found = sorted(map(tuple, got.collect()), key=repr)
+    inside = lambda i: i is not None and divmod(i - 1, 40) in want
+    assert found == sorted([(i, f"c{i}", inside(i)) for i in ids], key=repr)
+    assert not any(r["mask"] for r in mk.flag_cells(cells_in, runs.limit(0), meta).collect())

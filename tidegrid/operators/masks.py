@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions.geometry import explode_edges
-from tidegrid.functions.grid import GridMeta, cell_center_y, cell_id
+from tidegrid.functions.grid import GridMeta, cell_col, cell_id, cell_row, int_div
+from tidegrid.operators.near_edges import candidate_rows, near_edge_spans, near_edge_work  # noqa: F401
 from tidegrid.operators.overlay import ring_extent
 from tidegrid.operators.skew import spread
 
@@ -35,20 +36,6 @@ def stack_layers(layers: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
 
 
-def _candidate_rows(edges: DataFrame, meta: GridMeta, pad: float = 0.0) -> DataFrame:
-    """Edges with every grid row whose centre may lie within ``pad`` of their y extent."""
-    v = lambda y: (y - F.lit(meta.f)) / F.lit(meta.e) - F.lit(0.5)
-    reach = pad / abs(meta.e)
-    lo = F.floor(F.least(v(F.col("y1")), v(F.col("y2"))) - F.lit(reach))
-    hi = F.ceil(F.greatest(v(F.col("y1")), v(F.col("y2"))) + F.lit(reach))
-    spans = edges.select(
-        "*",
-        F.greatest(lo, F.lit(0)).alias("row_lo"), F.least(hi, F.lit(meta.height - 1)).alias("row_hi"),
-    ).where("row_lo <= row_hi")
-    rows = spans.withColumn("row", F.explode(F.sequence("row_lo", "row_hi")))
-    return rows.drop("row_lo", "row_hi").withColumn("yc", cell_center_y(F.col("row"), meta))
-
-
 def _clip_runs(runs: DataFrame, keys: list[str], meta: GridMeta) -> DataFrame:
     clipped = runs.select(
         *keys, "row",
@@ -58,168 +45,46 @@ def _clip_runs(runs: DataFrame, keys: list[str], meta: GridMeta) -> DataFrame:
     return clipped.where("col_lo <= col_hi")
 
 
-def rasterize_mask(layers: DataFrame, meta: GridMeta) -> DataFrame:
+def rasterize_mask(layers: DataFrame, meta: GridMeta, keys: list[str] = FEATURE) -> DataFrame:
     """Runs of cells whose centre lies in a feature: layer, feature_id, row, col_lo, col_hi.
 
-    ``layers`` has one row per ring (layer, feature_id, ring). Rings of one feature are
-    filled even-odd, so holes and multi-part features work. An edge counts on a row when
+    ``layers`` has one row per ring (layer, feature_id, ring). Rings of one feature (of equal
+    ``keys``) are filled even-odd, so holes and multi-part features work. An edge counts on a row when
     ``min(y) <= centre < max(y)``, which leaves every row an even number of crossings.
     """
-    hits = _candidate_rows(explode_edges(layers, FEATURE), meta).where(
+    hits = candidate_rows(explode_edges(layers, keys), meta).where(
         "least(y1, y2) <= yc AND yc < greatest(y1, y2)"
     )
     hits = hits.select(
-        *FEATURE, "row",
+        *keys, "row",
         (F.col("x1") + (F.col("yc") - F.col("y1")) * (F.col("x2") - F.col("x1"))
          / (F.col("y2") - F.col("y1"))).alias("x"),
     )
     hits = hits.withColumn("w", (F.col("x") - F.lit(meta.c)) / F.lit(meta.a))
-    along = Window.partitionBy(*FEATURE, "row").orderBy("w")
+    along = Window.partitionBy(*keys, "row").orderBy("w")
     pairs = hits.select(
-        *FEATURE, "row", "w",
+        *keys, "row", "w",
         F.lead("w").over(along).alias("w_next"), F.row_number().over(along).alias("n"),
     ).where("n % 2 = 1")
     runs = pairs.select(
-        *FEATURE, "row",
+        *keys, "row",
         F.ceil(F.col("w") - F.lit(0.5)).alias("col_lo"),
         (F.ceil(F.col("w_next") - F.lit(0.5)) - 1).alias("col_hi"),
     )
-    return _clip_runs(runs, FEATURE, meta)
-
+    return _clip_runs(runs, keys, meta)
 
-#: Bins of edges per radius, along each axis.
-BINS_PER_RADIUS = 16
 
-
-def _columns_between(x_lo: Column, x_hi: Column, meta: GridMeta, widen: int) -> list[Column]:
-    """First and last column whose centre lies between two x, each moved out by ``widen`` cells and clipped."""
-    w = lambda x: (x - F.lit(meta.c)) / F.lit(meta.a) - F.lit(0.5)
-    left, right = (x_lo, x_hi) if meta.a > 0 else (x_hi, x_lo)
-    return [F.greatest(F.ceil(w(left)) - widen, F.lit(0)).alias("col_lo"),
-            F.least(F.floor(w(right)) + widen, F.lit(meta.width - 1)).alias("col_hi")]
+def near_edge_runs(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
+    """Runs of cells whose centre is within ``radius`` of an edge, disjoint per row."""
+    return merge_runs(near_edge_spans(layers.select("ring", F.lit(0).alias("part")), meta, radius))
 
 
-def near_edge_work(layers: DataFrame, meta: GridMeta, radius: float) -> tuple[DataFrame, DataFrame]:
-    """Columns that are near whatever a bin's edges are, and the (edge, row) pairs that are still open.
+def _sweep(events: DataFrame, names: list[str], keep: Column) -> DataFrame:
+    """Runs where ``keep`` holds; inside it each name is a column saying "in a run of that set".
 
-    Edges are put into square bins. On a grid row, the cells within the radius of the whole
-    box of a bin are certain, and those within the radius of any point of it are possible.
-    Where the certain cells of all bins together hold what a bin makes possible, its edges
-    are not looked at. So the work is bins x rows, and edges x rows at the rim only. Certain
-    runs are a cell short at either end and possible ones a cell longer, so that rounding
-    never decides; the rim is settled by the edges themselves.
+    ``events`` has row, col and, per name, what a run's start (1) or end (-1) adds to its set.
     """
-    side = radius / BINS_PER_RADIUS
-    edges = explode_edges(layers, []).withColumns({
-        "bin_x": F.floor((F.col("x1") + F.col("x2")) / (2 * side)), "bin_y": F.floor((F.col("y1") + F.col("y2")) / (2 * side))})
-    boxes = edges.groupBy("bin_x", "bin_y").agg(
-        F.min(F.least("x1", "x2")).alias("x_lo"), F.max(F.greatest("x1", "x2")).alias("x_hi"),
-        F.min(F.least("y1", "y2")).alias("y1"), F.max(F.greatest("y1", "y2")).alias("y2"))
-    r = F.lit(float(radius))
-    rows = _candidate_rows(spread(boxes, "bin_x", "bin_y"), meta, pad=radius).select(
-        "bin_x", "bin_y", "row", "yc", "x_lo", "x_hi",
-        F.greatest(F.abs(F.col("yc") - F.col("y1")), F.abs(F.col("yc") - F.col("y2"))).alias("far"),
-        F.greatest(F.col("y1") - F.col("yc"), F.col("yc") - F.col("y2"), F.lit(0.0)).alias("close"))
-    half = lambda d: F.sqrt(F.greatest(r * r - F.col(d) * F.col(d), F.lit(0.0)))
-    certain = rows.where(F.col("far") <= r).select(
-        "row", *_columns_between(F.col("x_hi") - half("far"), F.col("x_lo") + half("far"), meta, -1)).where("col_lo <= col_hi")
-    certain = merge_runs(certain)
-    possible = rows.select(
-        "bin_x", "bin_y", "row", "yc", *_columns_between(F.col("x_lo") - half("close"), F.col("x_hi") + half("close"), meta, 1))
-    possible = possible.where("col_lo <= col_hi").alias("p")
-    held = (F.col("c.row") == F.col("p.row")) & (F.col("c.col_lo") <= F.col("p.col_lo")) & (F.col("c.col_hi") >= F.col("p.col_hi"))
-    rim = possible.join(certain.alias("c"), held, "left_anti").select("bin_x", "bin_y", "row", "yc")
-    return certain, edges.join(rim, ["bin_x", "bin_y"]).select("row", "yc", "x1", "y1", "x2", "y2")
-
-
-def _near_edge_spans(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
-    """Per grid row, columns within ``radius`` of an edge: row, col_lo, col_hi (overlapping).
-
-    All points within a radius of a segment form a convex capsule, so an edge contributes
-    one span per grid row, in closed form; no cell is ever paired with an edge. A span
-    without a cell centre comes out with col_hi = col_lo - 1, which a sweep cancels. It is
-    not filtered here: the optimizer would inline the whole formula into the filter.
-    """
-    r = F.lit(float(radius))
-    certain, near = near_edge_work(layers, meta, radius)
-    near = near.where(
-        (F.abs(F.col("yc") - F.col("y1")) <= r) | (F.abs(F.col("yc") - F.col("y2")) <= r)
-        | F.col("yc").between(F.least("y1", "y2"), F.greatest("y1", "y2"))
-    )
-    near = near.select(
-        "row", "x1", "x2",
-        (F.col("yc") - F.col("y1")).alias("q1"), (F.col("yc") - F.col("y2")).alias("q2"),
-        (F.col("x2") - F.col("x1")).alias("ex"), (F.col("y2") - F.col("y1")).alias("ey"),
-    )
-    half = lambda q: F.when(F.abs(q) <= r, F.sqrt(F.greatest(r * r - F.col(q) * F.col(q), F.lit(0.0))))
-    near = near.select(
-        "row", "x1", "x2", "q1", "ex", "ey",
-        half("q1").alias("h1"), half("q2").alias("h2"), F.hypot("ex", "ey").alias("len"),
-    )
-    unit = lambda c: F.coalesce(F.col(c) / F.nullif(F.col("len"), F.lit(0.0)), F.lit(0.0))
-    near = near.select("row", "x1", "x2", "q1", "h1", "h2", "len", unit("ex").alias("dx"), unit("ey").alias("dy"))
-    # Positions s along the segment whose normal through the row stays within the radius.
-    bound = lambda sign: (F.col("q1") + sign * r * F.abs("dx")) / F.nullif(F.col("dy"), F.lit(0.0))
-    near = near.select("*", bound(F.lit(-1.0)).alias("sa"), bound(F.lit(1.0)).alias("sb"))
-    level = F.when(F.abs("q1") <= r, F.col("len"))
-    near = near.select(
-        "row", "x1", "x2", "q1", "h1", "h2", "len", "dx", "dy",
-        F.when(F.col("dy") == 0, level * 0).otherwise(F.greatest(F.least("sa", "sb"), F.lit(0.0))).alias("s_lo"),
-        F.when(F.col("dy") == 0, level).otherwise(F.least(F.greatest("sa", "sb"), F.col("len"))).alias("s_hi"),
-    )
-    # The foot of the normal at s meets the row at x; a vertical segment spans x1 -+ radius.
-    at = lambda s: F.col("x1") + (F.col(s) - F.col("dy") * F.col("q1")) / F.nullif(F.col("dx"), F.lit(0.0))
-    near = near.select(
-        "row", "x1", "x2", "h1", "h2", "dx",
-        ((F.col("s_lo") <= F.col("s_hi")) & (F.col("len") > 0)).alias("on_body"),
-        at("s_lo").alias("xa"), at("s_hi").alias("xb"),
-    )
-    body = lambda upright, slanted: F.when(
-        F.col("on_body"), F.when(F.col("dx") == 0, upright).otherwise(slanted)
-    )
-    near = near.select(
-        "row", "x1", "x2", "h1", "h2",
-        body(F.col("x1") - r, F.least("xa", "xb")).alias("b_lo"),
-        body(F.col("x1") + r, F.greatest("xa", "xb")).alias("b_hi"),
-    )
-    spans = near.select(
-        "row",
-        F.least("b_lo", F.col("x1") - F.col("h1"), F.col("x2") - F.col("h2")).alias("x_lo"),
-        F.greatest("b_hi", F.col("x1") + F.col("h1"), F.col("x2") + F.col("h2")).alias("x_hi"),
-    )
-    w = lambda x: (F.col(x) - F.lit(meta.c)) / F.lit(meta.a) - F.lit(0.5)
-    left, right = ("x_lo", "x_hi") if meta.a > 0 else ("x_hi", "x_lo")
-    cols = spans.select(
-        "row",
-        F.greatest(F.least(F.ceil(w(left)), F.lit(meta.width)), F.lit(0)).alias("col_lo"),
-        F.least(F.floor(w(right)), F.lit(meta.width - 1)).alias("col_hi"),
-    )
-    cols = cols.withColumn("col_hi", F.greatest(F.col("col_hi"), F.col("col_lo") - 1))
-    return certain.select("row", "col_lo", "col_hi").unionByName(cols.select("row", "col_lo", "col_hi"))
-
-
-def near_edge_runs(layers: DataFrame, meta: GridMeta, radius: float) -> DataFrame:
-    """Runs of cells whose centre is within ``radius`` of an edge, disjoint per row."""
-    return merge_runs(_near_edge_spans(layers, meta, radius))
-
-
-def _sweep(run_sets: dict[str, DataFrame], keep: Column) -> DataFrame:
-    """Runs where ``keep`` holds; each named set is a boolean column inside ``keep``."""
-    names = list(run_sets)
-
-    def events(name: str, runs: DataFrame) -> DataFrame:
-        ends = runs.select(
-            "row",
-            F.inline(F.array(
-                F.struct(F.col("col_lo").alias("col"), F.lit(1).alias("delta")),
-                F.struct((F.col("col_hi") + 1).alias("col"), F.lit(-1).alias("delta")),
-            )),
-        )
-        own = [(F.col("delta") if n == name else F.lit(0)).alias(n) for n in names]
-        return ends.select("row", "col", *own)
-
-    stacked = reduce(DataFrame.unionByName, (events(n, r) for n, r in run_sets.items()))
-    steps = stacked.groupBy("row", "col").agg(*[F.sum(n).alias(n) for n in names])
+    steps = events.groupBy("row", "col").agg(*[F.sum(n).alias(n) for n in names])
     along = Window.partitionBy("row").orderBy("col")
     state = steps.select("row", "col", *[(F.sum(n).over(along) > 0).alias(n) for n in names])
     state = state.select("row", "col", keep.alias("on"))
@@ -231,17 +96,24 @@ def _sweep(run_sets: dict[str, DataFrame], keep: Column) -> DataFrame:
     return runs.where("on").select("row", "col_lo", "col_hi")
 
 
+def _events(runs: DataFrame, member: dict[str, Column], names: list[str]) -> DataFrame:
+    """Starts and ends of runs; ``member`` says which sets a run belongs to."""
+    ends = runs.select("*", F.inline(F.array(
+        F.struct(F.col("col_lo").alias("col"), F.lit(1).alias("delta")),
+        F.struct((F.col("col_hi") + 1).alias("col"), F.lit(-1).alias("delta")),
+    )))
+    own = [(F.when(member[n], F.col("delta")).otherwise(0) if n in member else F.lit(0)).alias(n) for n in names]
+    return ends.select("row", "col", *own)
+
+
 def merge_runs(runs: DataFrame) -> DataFrame:
     """Union of overlapping runs as disjoint runs: row, col_lo, col_hi."""
-    return _sweep({"any": runs}, F.col("any"))
+    return _sweep(_events(runs, {"any": F.lit(True)}, ["any"]), ["any"], F.col("any"))
 
 
 def exterior_mask_runs(layer: DataFrame, meta: GridMeta, ring_deg: float = 10.0) -> DataFrame:
     """Runs outside every polygon of a layer yet within ``ring_deg`` of an edge."""
-    return _sweep(
-        {"near": _near_edge_spans(layer, meta, ring_deg), "inside": rasterize_mask(layer, meta)},
-        F.col("near") & ~F.col("inside"),
-    )
+    return general_mask_runs([layer], [], meta, ring_deg)
 
 
 def general_mask_runs(
@@ -250,46 +122,70 @@ def general_mask_runs(
     meta: GridMeta,
     ring_deg: float = 10.0,
 ) -> DataFrame:
-    """Runs of the general mask: every exterior ring, or inside any interior feature."""
-    sets: dict[str, DataFrame] = {}
-    keep = F.lit(False)
-    for i, layer in enumerate(exterior_layers):
-        sets[f"near_{i}"] = _near_edge_spans(layer, meta, ring_deg)
-        sets[f"inside_{i}"] = rasterize_mask(layer, meta)
-        keep = keep | (F.col(f"near_{i}") & ~F.col(f"inside_{i}"))
-    if interior_layers:
-        stacked = stack_layers([x.select(*FEATURE, "ring") for x in interior_layers])
-        sets["interior"] = rasterize_mask(stacked, meta)
-        keep = keep | F.col("interior")
-    if not sets:
+    """Runs of the general mask: every exterior ring, or inside any interior feature.
+
+    All layers go through one plan: the exterior ones are numbered from 0 on, the interior
+    ones share the number behind them.
+    """
+    if not exterior_layers and not interior_layers:
         raise ValueError("a mask needs at least one layer")
-    return _sweep(sets, keep)
+    outer = len(exterior_layers)
+    numbered = [x.select(*FEATURE, "ring", F.lit(min(i, outer)).alias("part")) for i, x in enumerate(exterior_layers + interior_layers)]
+    inside = {f"inside_{i}": F.col("part") == i for i in range(outer + bool(interior_layers))}
+    near = {f"near_{i}": F.col("part") == i for i in range(outer)}
+    names = [*inside, *near]
+    events = _events(rasterize_mask(stack_layers(numbered), meta, ["part", *FEATURE]), inside, names)
+    if outer:
+        spans = near_edge_spans(stack_layers(numbered[:outer]), meta, ring_deg)
+        events = events.unionByName(_events(spans, near, names))
+    keep = [F.col(f"near_{i}") & ~F.col(f"inside_{i}") for i in range(outer)]
+    if interior_layers:
+        keep.append(F.col(f"inside_{outer}"))
+    return _sweep(events, names, reduce(Column.__or__, keep))
 
 
 def run_cells(runs: DataFrame, meta: GridMeta) -> DataFrame:
     """The cells of disjoint runs, one row per cell."""
-    long = F.col("col_hi") - F.col("col_lo") + 1
-    cells = spread(runs, "row", stands_for=long).select("row", F.explode(F.sequence("col_lo", "col_hi")).alias("col"))
+    cells = spread(runs, "row").select("row", F.explode(F.sequence("col_lo", "col_hi")).alias("col"))
     return cells.select(cell_id("row", "col", meta.width).alias("cell"))
 
 
+#: Columns of a block: the share of a grid row that is swept as one group.
+BLOCK = 4096
+
+
+def flag_cells(cells: DataFrame, runs: DataFrame, meta: GridMeta, flag: str = "mask") -> DataFrame:
+    """Cells with a column ``flag``: whether a cell lies in a run. The runs of a row are disjoint.
+
+    A sweep join: run starts and cells of a row stand in one stream sorted by column, and the
+    end of the run that began last says whether a cell is in it. Rows are cut into blocks
+    of columns and a run is repeated once per block, so neither a wide row nor a run over a
+    whole row is ever one group, and no run is spelled out as cells.
+    """
+    kept = [c for c in cells.columns if c != flag]
+    row, col = cell_row("cell", meta.width), cell_col("cell", meta.width)
+    placed = cells.select(row.alias("row"), col.alias("col"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("last"),
+                          F.struct(*kept).alias("of")).withColumn("block", int_div(F.col("col"), BLOCK))
+    spans = runs.select("row", "col_lo", "col_hi", F.explode(F.sequence(
+        int_div(F.col("col_lo"), BLOCK), int_div(F.col("col_hi"), BLOCK))).alias("block"))
+    nobody = F.lit(None).cast(placed.schema["of"].dataType)
+    starts = spans.select("row", F.greatest(F.col("col_lo"), F.col("block") * BLOCK).cast("long").alias("col"), F.lit(0).alias("kind"),
+                          F.col("col_hi").cast("long").alias("last"), nobody.alias("of"), "block")
+    along = Window.partitionBy("row", "block").orderBy("col", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    swept = placed.unionByName(starts).select("kind", "col", "of", F.last("last", ignorenulls=True).over(along).alias("last"))
+    inside = F.coalesce(F.col("col") <= F.col("last"), F.lit(False))
+    return swept.where("kind = 1").select(*[F.col("of")[c].alias(c) for c in kept], inside.alias(flag))
+
+
 def combine_masks(run_sets: list[DataFrame]) -> DataFrame:
     """All mask parts as one disjoint set of runs."""
     parts = [r.select("row", "col_lo", "col_hi") for r in run_sets]
     return merge_runs(reduce(DataFrame.unionByName, parts))
 
 
-def _flag_cells(cells: DataFrame, runs: DataFrame, meta: GridMeta) -> DataFrame:
-    masked = run_cells(runs, meta).withColumn("_masked", F.lit(True))
-    flagged = cells.drop("mask").join(masked, "cell", "left")
-    return flagged.select(
-        *[c for c in cells.columns if c != "mask"], F.coalesce("_masked", F.lit(False)).alias("mask")
-    )
-
-
 def exterior_mask(cells: DataFrame, layer: DataFrame, meta: GridMeta, ring_deg: float = 10.0) -> DataFrame:
     """Cells with ``mask`` true outside the layer's polygons (within the ring)."""
-    return _flag_cells(cells, exterior_mask_runs(layer, meta, ring_deg), meta)
+    return flag_cells(cells, exterior_mask_runs(layer, meta, ring_deg), meta)
 
 
 def interior_mask(cells: DataFrame, layers: list[DataFrame], meta: GridMeta) -> DataFrame:
@@ -297,7 +193,7 @@ def interior_mask(cells: DataFrame, layers: list[DataFrame], meta: GridMeta) ->
     if not layers:
         return cells.withColumn("mask", F.lit(False))
     stacked = stack_layers([x.select(*FEATURE, "ring") for x in layers])
-    return _flag_cells(cells, merge_runs(rasterize_mask(stacked, meta)), meta)
+    return flag_cells(cells, merge_runs(rasterize_mask(stacked, meta)), meta)
 
 
 def general_mask(
@@ -308,7 +204,7 @@ def general_mask(
     ring_deg: float = 10.0,
 ) -> DataFrame:
     """Cells with the general mask: outside an exterior layer or inside an interior one."""
-    return _flag_cells(cells, general_mask_runs(exterior_layers, interior_layers, meta, ring_deg), meta)
+    return flag_cells(cells, general_mask_runs(exterior_layers, interior_layers, meta, ring_deg), meta)
 
 
 def mask_raster(dem: DataFrame, layers: DataFrame, meta: GridMeta) -> tuple[DataFrame, GridMeta]:
@@ -327,8 +223,7 @@ def mask_raster(dem: DataFrame, layers: DataFrame, meta: GridMeta) -> tuple[Data
     if col_lo >= col_hi or row_lo >= row_hi:
         raise ValueError("the polygons do not overlap the raster")
     crop = meta.window(row_lo, col_lo, row_hi - row_lo, col_hi - col_lo)
-    kept = dem.join(run_cells(merge_runs(rasterize_mask(layers, meta)), meta), "cell", "left_semi")
-    row = F.call_function("div", F.col("cell") - 1, F.lit(meta.width).cast("long"))
-    col = (F.col("cell") - 1) % F.lit(meta.width).cast("long")
+    kept = flag_cells(dem, merge_runs(rasterize_mask(layers, meta)), meta, "_inside").where("_inside").drop("_inside")
+    row, col = cell_row("cell", meta.width), cell_col("cell", meta.width)
     moved = kept.withColumn("cell", cell_id(row - row_lo, col - col_lo, crop.width))
     return moved, crop

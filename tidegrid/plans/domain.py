@@ -54,8 +54,7 @@ def build_coverage(
     store = TableStore(spark, cfg.store)
     cells = dem
     if store.exists("mask_runs"):
-        masked = mk.run_cells(store.read("mask_runs"), meta).withColumn("mask", F.lit(True))
-        cells = dem.join(masked, "cell", "left")
+        cells = mk.flag_cells(dem, store.read("mask_runs"), meta)
     # Stored first: counting the rows per cell would otherwise compute the overlay again.
     overlay = store.write(coverage_fraction(rings, meta), "overlay")
     # Stored as well: lazy, its count over the whole overlay would run on both sides of the join.
