@@ -356,3 +356,8 @@ def test_a_run_that_turns_dry_leaves_empty_arrays(spark, sf, domain_cfg, tmp_pat
     assert rs.read_chunk_store(spark, zarr, "r1_depth").count() == 0
     assert rs.read_chunk_store(spark, zarr, "r2_depth").count() == wet
     assert spark.read.parquet(out).where("run_id = 'r1'").count() == 0
+
+
+def test_overviews_take_one_exchange_and_no_python(spark, sparse):
+    plan = tl.overviews(sparse, META, "depth", 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Python" not in plan and "Pandas" not in plan

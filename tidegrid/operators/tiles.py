@@ -116,42 +116,28 @@ LEVELS_PER_SHUFFLE = 9
 def overviews(df: DataFrame, meta: GridMeta, col: str, levels: int | None = None, tile: int = 512) -> DataFrame:
     """Overview pyramid by averaging 2 x 2 blocks of valid pixels: level, row, col, value.
 
-    Each level averages the level below it. Nine halvings stay inside an aligned square of
-    512 pixels, so one shuffle by square serves nine levels; what a square leaves for the
-    coarser levels is one pixel.
+    Each level averages the level below it. A pixel's place on a level is a prefix of the bits
+    of its row and column, so pixels that share a prefix of all levels are dealt out together,
+    once, and every further grouping finds them where they are. Nine halvings stay inside an
+    aligned square of 512 pixels, which bounds what is dealt out together; what a square leaves
+    for coarser levels is one pixel. Finished levels ride along, so no level is computed twice.
     """
     levels = overview_levels(meta, tile) if levels is None else levels
-    base = cell_to_rowcol(df.select("cell", F.col(col).alias("value")), meta.width)
-    current = base.where("value IS NOT NULL AND NOT isnan(value)").select("row", "col", F.col("value").cast("double").alias("value"))
-    pyramid = None
-    for done in range(0, levels, LEVELS_PER_SHUFFLE):
-        part = _halvings(current, done, min(LEVELS_PER_SHUFFLE, levels - done))
-        pyramid = part if pyramid is None else pyramid.unionByName(part)
-        current = part.where(F.col("level") == done + LEVELS_PER_SHUFFLE).select("row", "col", "value")
-    if pyramid is None:
-        pyramid = current.select(F.lit(0).alias("level"), "row", "col", "value").where(F.lit(False))
-    return pyramid
-
-
-def _halvings(pixels: DataFrame, done: int, levels: int) -> DataFrame:
-    """The next ``levels`` of a pyramid of which ``done`` exist, square by square."""
-    side = 1 << levels
-
-    def halve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        top, left = int(key[0]) * side, int(key[1]) * side
-        r, c, value = (rows["row"].to_numpy() - top), (rows["col"].to_numpy() - left), rows["value"].to_numpy()
-        out = []
-        for level in range(1, levels + 1):
-            r, c, width = r >> 1, c >> 1, side >> level
-            cell, which = np.unique(r * width + c, return_inverse=True)
-            value = np.bincount(which, value) / np.bincount(which)
-            r, c = cell // width, cell % width
-            out.append(pd.DataFrame({"level": done + level, "row": r + (top >> level), "col": c + (left >> level), "value": value}))
-        return pd.concat(out)
-
-    square = lambda c: F.call_function("div", F.col(c), F.lit(side).cast("long")).alias(f"{c}_square")
-    squares = pixels.select(square("row"), square("col"), "row", "col", "value")
-    return squares.groupBy("row_square", "col_square").applyInPandas(halve, "level int, row bigint, col bigint, value double")
+    base = cell_to_rowcol(df.select("cell", F.col(col).cast("double").alias("value")), meta.width)
+    rows = base.where("value IS NOT NULL AND NOT isnan(value)").selectExpr("0 AS level", "row", "col", "value")
+    if levels < 1:
+        return rows.where(F.lit(False))
+    for level in range(1, levels + 1):
+        if (level - 1) % LEVELS_PER_SHUFFLE == 0:
+            bits = min(LEVELS_PER_SHUFFLE, levels - level + 1)
+            rows = rows.selectExpr("level", "row", "col", "value", f"shiftright(row, {bits}) AS top", f"shiftright(col, {bits}) AS left")
+            rows = rows.repartition("top", "left")
+        # A pixel of the level below stands for its own place and for the one above it.
+        places = "array(1)" if level == 1 else "array(0, 1)"
+        rows = rows.selectExpr("*", f"explode(CASE WHEN level = {level - 1} THEN {places} ELSE array(0) END) AS up")
+        rows = rows.selectExpr("top", "left", "level + up AS level", "shiftright(row, up) AS row", "shiftright(col, up) AS col", "value")
+        rows = rows.groupBy("top", "left", "level", "row", "col").agg(F.avg("value").alias("value"))
+    return rows.select("level", "row", "col", "value")
 
 
 def ordered_result(df: DataFrame) -> DataFrame:
