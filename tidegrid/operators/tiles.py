@@ -24,29 +24,33 @@ def build_tiles(
     nodata: float = -9999.0,
     depth_threshold: float | None = None,
     unique: bool = False,
+    by: list[str] | None = None,
 ) -> DataFrame:
     """One row per tile that holds data, with row-major little-endian float32 ``data``.
 
+    With ``by`` (string columns), tiles of each of their values are kept apart and carry them.
+
     Tiles at the right and bottom edge are cropped to the raster. Values below
     ``depth_threshold`` become nodata. Cells are made unique first (largest value wins), so
     a tile's group is at most tile x tile rows; pass ``unique=True`` to skip that step for
     input grouped by cell already.
     """
-    cells = df.select("cell", F.col(col).cast("double").alias("value"))
+    by = by or []
+    cells = df.select(*by, "cell", F.col(col).cast("double").alias("value"))
     if not unique:
-        cells = cells.groupBy("cell").agg(F.max("value").alias("value"))
+        cells = cells.groupBy(*by, "cell").agg(F.max("value").alias("value"))
     placed = tile_key(cell_to_rowcol(cells, meta.width), tile)
     placed = placed.where((F.col("row") < meta.height) & (F.col("row") >= 0))
     values = F.col("value").cast("float")
     if depth_threshold is not None:
         values = F.when(F.col("value") < F.lit(float(depth_threshold)), F.lit(nodata).cast("float")).otherwise(values)
     placed = placed.select(
-        "row_off", "col_off", (F.col("tile_r") * tile + F.col("tile_c")).alias("pos"), values.alias("value")
+        *by, "row_off", "col_off", (F.col("tile_r") * tile + F.col("tile_c")).alias("pos"), values.alias("value")
     )
     width, height = meta.width, meta.height
 
     def assemble(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        row_off, col_off = int(key[0]), int(key[1])
+        row_off, col_off = int(key[-2]), int(key[-1])
         block = np.full(tile * tile, nodata, dtype="<f4")
         values = rows["value"].to_numpy(dtype="<f4", na_value=np.nan)
         pos = rows["pos"].to_numpy()
@@ -55,12 +59,13 @@ def build_tiles(
         n_rows, n_cols = min(tile, height - row_off), min(tile, width - col_off)
         data = block.reshape(tile, tile)[:n_rows, :n_cols].tobytes()
         return pd.DataFrame({
-            "tile_row": [row_off // tile], "tile_col": [col_off // tile],
+            **{name: [value] for name, value in zip(by, key)}, "tile_row": [row_off // tile], "tile_col": [col_off // tile],
             "row_off": [row_off], "col_off": [col_off],
             "n_rows": [n_rows], "n_cols": [n_cols], "data": [data],
         })
 
-    return placed.groupBy("row_off", "col_off").applyInPandas(assemble, TILE_SCHEMA)
+    schema = "".join(f"{name} string, " for name in by) + TILE_SCHEMA
+    return placed.groupBy(*by, "row_off", "col_off").applyInPandas(assemble, schema)
 
 
 def tiles_to_cells(tiles: DataFrame, meta: GridMeta, nodata: float = -9999.0) -> DataFrame:

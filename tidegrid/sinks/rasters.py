@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import json
-import math
-import uuid
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions.grid import GridMeta
-from tidegrid.operators.tiles import build_tiles, overviews, tiles_to_cells
-from tidegrid.session import ship_package
-from tidegrid.sources.filesystem import qualify
+from tidegrid.operators.tiles import build_tiles, overviews
+from tidegrid.sinks.chunks import consolidate_store, read_chunk_store, store_attributes, write_arrays  # noqa: F401
 
 VARIABLES = {"wse": "wse_cell_weighted_average", "depth": "depth"}
 
@@ -68,25 +60,6 @@ def release_tiles(tiles: dict[str, DataFrame] | None) -> None:
         frame.unpersist()
 
 
-# --- chunk store ----------------------------------------------------------------------
-# Layout: <store>/.zgroup, <store>/<array>/.zarray, .zattrs and one raw file per chunk.
-
-
-def _open_fs(uri: str):
-    """File system and folder of a qualified URI (see ``qualify``)."""
-    from pyarrow import fs as pafs
-
-    return pafs.FileSystem.from_uri(uri)
-
-
-def _put(fs, path: str, parts: str, payload: bytes) -> None:
-    """Write a whole file or nothing: the bytes go to a file in ``parts``, which is then moved."""
-    part = f"{parts}/{uuid.uuid4().hex}"
-    with fs.open_output_stream(part) as out:
-        out.write(payload)
-    fs.move(part, path)
-
-
 def write_chunk_store(
     df: DataFrame,
     meta: GridMeta,
@@ -97,115 +70,33 @@ def write_chunk_store(
     nodata: float = -9999.0,
     unique: bool = False,
     consolidate: bool = True,
+    opener: str | None = None,
 ) -> int:
     """Write one variable as an array of a shared chunk store; returns chunks written.
 
-    The array is built in a hidden folder beside it and takes the old one's place when all
-    its chunks are there, so a job that fails leaves the last good array. Chunks are written
-    by the tasks that build them, whole and under a fixed name; a repeated task rewrites the
-    same bytes, and what a killed task leaves never comes into the array's folder. Edge
-    chunks are padded to full size. No rows gives an array without chunks, which reads as
+    The array is the old one until all chunks of the new one are there (see ``sinks.chunks``).
+    Edge chunks are padded to full size. No rows gives an array without chunks, which reads as
     nodata. Arrays written side by side leave ``consolidate`` to one call afterwards.
     """
-    uri = qualify(df.sparkSession, store).rstrip("/")
-    fs, root = _open_fs(uri)
-    building = f"_building-{array_name}-{uuid.uuid4().hex}"
-    base, parts = f"{root}/{building}/array", f"{root}/{building}/parts"
-    fs.create_dir(base, recursive=True)
-    fs.create_dir(parts, recursive=True)
-    # Keys and encodings that readers of the format expect.
-    array_info = {
-        "zarr_format": 2, "shape": [meta.height, meta.width], "chunks": [chunk, chunk],
-        "dtype": "<f4", "compressor": None, "fill_value": nodata if not math.isnan(nodata) else "NaN",
-        "order": "C", "filters": None,
-    }
-    attributes = {
-        "geotransform": list(meta.transform), "crs": meta.crs, "nodata": nodata,
-        "_ARRAY_DIMENSIONS": ["lat", "lon"],
-    }
-    _put(fs, f"{base}/.zarray", parts, json.dumps(array_info).encode())
-    _put(fs, f"{base}/.zattrs", parts, json.dumps(attributes).encode())
-    ship_package(df.sparkSession)
-
-    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        target, folder = _open_fs(uri)
-        for batch in batches:
-            for t in batch.itertuples(index=False):
-                block = np.full((chunk, chunk), nodata, dtype="<f4")
-                block[: t.n_rows, : t.n_cols] = np.frombuffer(t.data, dtype="<f4").reshape(t.n_rows, t.n_cols)
-                _put(target, f"{folder}/{building}/array/{t.tile_row}.{t.tile_col}", f"{folder}/{building}/parts", block.tobytes())
-            yield pd.DataFrame({"written": [len(batch)]})
-
-    try:
-        tiles = build_tiles(df, meta, col, chunk, nodata, unique=unique)
-        written = tiles.mapInPandas(save, "written bigint").agg(F.sum("written").alias("n")).first()["n"] or 0
-        _swap(fs, f"{root}/{array_name}", base, f"{root}/{building}/old")
-        _put(fs, f"{root}/.zgroup", parts, json.dumps({"zarr_format": 2}).encode())
-    finally:
-        fs.delete_dir(f"{root}/{building}")
+    tiles = build_tiles(df, meta, col, chunk, nodata, unique=unique).withColumn("array", F.lit(array_name))
+    written = write_arrays(tiles, meta, store, [array_name], chunk, nodata, opener)
     if consolidate:
-        consolidate_store(df.sparkSession, store)
-    return written
+        consolidate_store(df.sparkSession, store, opener)
+    return written[array_name]
 
 
-def _swap(fs, path: str, new: str, aside: str) -> None:
-    """Put a finished folder in the place of an old one, if there is one."""
-    from pyarrow import fs as pafs
-
-    if fs.get_file_info(path).type == pafs.FileType.Directory:
-        fs.move(path, aside)
-    fs.move(new, path)
-
-
-def consolidate_store(spark: SparkSession, store: str) -> None:
-    """Write the store-level metadata file listing every array."""
-    from pyarrow import fs as pafs
-
-    fs, root = _open_fs(qualify(spark, store).rstrip("/"))
-    documents = {".zgroup": {"zarr_format": 2}}
-    for entry in fs.get_file_info(pafs.FileSelector(root)):
-        if entry.type != pafs.FileType.Directory:
-            continue
-        name = entry.path.rstrip("/").rsplit("/", 1)[-1]
-        if name.startswith("_"):
-            continue
-        for part in (".zarray", ".zattrs"):
-            if fs.get_file_info(f"{entry.path}/{part}").type == pafs.FileType.File:
-                with fs.open_input_stream(f"{entry.path}/{part}") as stream:
-                    documents[f"{name}/{part}"] = json.loads(stream.read())
-    payload = {"zarr_consolidated_format": 1, "metadata": documents}
-    parts = f"{root}/_metadata-{uuid.uuid4().hex}"
-    fs.create_dir(parts, recursive=True)
-    _put(fs, f"{root}/.zmetadata", parts, json.dumps(payload).encode())
-    fs.delete_dir(parts)
-
-
-def store_attributes(store: str, array_name: str) -> tuple[dict, dict]:
-    """Array description and attributes of one array of a store."""
-    fs, root = _open_fs(qualify(SparkSession.active(), store).rstrip("/"))
-    out = []
-    for part in (".zarray", ".zattrs"):
-        with fs.open_input_stream(f"{root}/{array_name}/{part}") as stream:
-            out.append(json.loads(stream.read()))
-    return out[0], out[1]
-
-
-def read_chunk_store(spark: SparkSession, store: str, array_name: str) -> DataFrame:
-    """Cells of one array of a chunk store: cell, value. Chunks are decoded in parallel."""
-    info, attributes = store_attributes(store, array_name)
-    (height, width), (chunk, _) = info["shape"], info["chunks"]
-    meta = GridMeta(width, height, tuple(attributes["geotransform"][:6]), attributes["crs"], attributes["nodata"])
-    schema = "path string, modificationTime timestamp, length bigint, content binary"
-    files = (
-        spark.read.format("binaryFile").schema(schema)
-        .load(f"{qualify(spark, store).rstrip('/')}/{array_name}")
-    )
-    # Anything that is not named like a chunk is none.
-    files = files.where(F.col("path").rlike(r"/\d+\.\d+$"))
-    name = F.regexp_extract("path", r"(\d+\.\d+)$", 1)
-    tiles = files.select(
-        (F.split(name, r"\.")[0].try_cast("long") * chunk).alias("row_off"),
-        (F.split(name, r"\.")[1].try_cast("long") * chunk).alias("col_off"),
-        F.lit(chunk).alias("n_rows"), F.lit(chunk).alias("n_cols"), F.col("content").alias("data"),
-    )
-    return tiles_to_cells(tiles, meta, float(attributes["nodata"]))
+def write_run_arrays(
+    cells: DataFrame, meta: GridMeta, variables: list[str], store: str, runs: list[str], run_col: str = "run_id",
+    chunk: int = 512, nodata: float = -9999.0,
+) -> dict[str, int]:
+    """Arrays ``<run>_<variable>`` of any number of runs, in one job; returns chunks written per array.
+
+    ``cells`` has one row per run and cell. A run without rows has arrays without chunks.
+    """
+    names = [F.struct(F.concat(F.col(run_col), F.lit(f"_{v}")).alias("array"), F.col(VARIABLES[v]).cast("double").alias("value"))
+             for v in variables]
+    values = cells.select("cell", F.inline(F.array(*names)))
+    tiles = build_tiles(values, meta, "value", chunk, nodata, unique=True, by=["array"])
+    written = write_arrays(tiles, meta, store, [f"{run}_{v}" for run in runs for v in variables], chunk, nodata)
+    consolidate_store(cells.sparkSession, store)
+    return written

@@ -15,15 +15,21 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegrid.functions.scalars import nan_to_null
 from tidegrid.operators.zonal import depth_by_tile, triangle_wse_runs
 from tidegrid.session import colocated_joins
-from tidegrid.sinks.rasters import VARIABLES, consolidate_store, write_chunk_store
+from tidegrid.sinks.rasters import write_run_arrays
 from tidegrid.sinks.store import TableStore
-from tidegrid.sources.filesystem import _resolve
+from tidegrid.sources.filesystem import _resolve, list_paths, path_exists
 from tidegrid.sources.tables import SNAPSHOT_NODE, load_dem_metadata
 
 NODE_WSE_SCHEMA = "node_id bigint, wse double, run_id string"
 SNAPSHOT_SCHEMA = f"{SNAPSHOT_NODE} bigint, elevation double, run_id string"
 DEPTH_SCHEMA = "cell bigint, wse_cell_weighted_average double, elevation double, depth double, run_id string"
 
+
+def _files(spark: SparkSession, folder: str) -> set[str]:
+    """Data files of a partition; every write names its files anew."""
+    return set(list_paths(spark, folder)) if path_exists(spark, folder) else set()
+
+
 def snapshot_levels(store: TableStore, rows: DataFrame) -> DataFrame:
     """Levels on mesh nodes from snapshot rows of many runs: positions from 0 are renumbered through the crosswalk."""
     numbered = rows.select("run_id", (F.col(SNAPSHOT_NODE) + 1).alias("node_id_nc"), F.col("elevation").alias("wse"))
@@ -75,26 +81,24 @@ def stream_runs(
         rows = session.read.schema(schema).option("basePath", landing_dir).parquet(*touched.values())
         levels = snapshot_levels(store, rows) if snapshots else rows
         result = runs_depth(store, levels, threshold)
-        fs, out = _resolve(session, output_dir)
-        fs.mkdirs(out)
-        for run in touched:  # a run that has become dry must not keep its old cells
-            fs.delete(_resolve(session, f"{output_dir}/run_id={run}")[1], True)
+        # A run keeps its old cells until the new ones are there; one that has become dry loses them then.
+        partition = lambda run: f"{output_dir}/run_id={run}"
+        before = {run: _files(session, partition(run)) for run in touched}
         placed = result.repartition("run_id", F.floor(F.col("cell") / F.lit(4_000_000)))
         with colocated_joins(session):
             (
                 placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                 .partitionBy("run_id").parquet(output_dir)
             )
+        for run in touched:
+            if _files(session, partition(run)) <= before[run]:
+                fs, folder = _resolve(session, partition(run))
+                fs.delete(folder, True)
         if chunk_store is None:
             return
         meta = load_dem_metadata(store.read("dem_metadata"))
-        depth = session.read.schema(DEPTH_SCHEMA).parquet(output_dir)
-
-        for run in touched:
-            cells = depth.where(F.col("run_id") == run)
-            for variable in variables:
-                write_chunk_store(cells, meta, VARIABLES[variable], chunk_store, f"{run}_{variable}", unique=True, consolidate=False)
-        consolidate_store(session, chunk_store)
+        depth = session.read.schema(DEPTH_SCHEMA).parquet(output_dir).where(F.col("run_id").isin(list(touched)))
+        write_run_arrays(depth, meta, list(variables), chunk_store, list(touched))
 
     return (
         landed.writeStream.foreachBatch(process)
