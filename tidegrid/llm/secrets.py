@@ -3,12 +3,17 @@
 Built-in functions only, one pass over the table, no shuffle. Texts without any candidate are
 told apart by a plain search, and only the others are taken apart.
 
-Entropy method: a candidate is a maximal run of token characters. A window of ``WINDOW``
-characters slides over it. The counts of its symbols are kept incrementally (one symbol enters, one
-leaves), and with them the sum of ``c * log2(c)``, which gives the window's entropy as
-``log2(W) - sum / W``. Each character class has its own threshold. The span runs from the first to
-the end of the last window at or over it. Candidates on the allow list (placeholders, identifiers,
-plain words and numbers) give no span; nor do those that overlap a span of a fixed pattern.
+Entropy method: a run is a maximal string of token characters. Its parts, between the separators
+``= / _ -``, are candidates, each with a class and an allow list check of its own, so a name or a
+path before a key says nothing about the key; a run with separators is a candidate as a whole,
+too, because encoded keys may contain them. A window of ``WINDOW`` characters slides over a
+candidate. The counts of its symbols are kept incrementally (one symbol enters, one leaves), and
+with them the sum of ``c * log2(c)``, which gives the window's entropy as ``log2(W) - sum / W``. Each
+character class has its own threshold. A part of hexadecimal digits is a span as a whole if one
+window reaches it; otherwise the span runs from the first to the end of the last window at or
+over it. Candidates on the allow list (placeholders, identifiers, plain words and numbers) give
+no span. Spans of a run that overlap are joined; what fixed patterns cover is cut out, and pieces
+of at least ``WINDOW`` characters stay.
 
 Defined results: null text counts as empty and gives no span; positions are code points, ends
 exclusive; every row gives one row (repeated rows too); an empty table gives an empty result;
@@ -33,6 +38,8 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Entropy candidates: maximal runs of at least WINDOW of these characters.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+#: What parts a run into candidates.
+SEPARATOR = r"[=/_-]"
 #: Least bits per symbol by class: hexadecimal digits alone; letters and digits mixed.
 THRESHOLDS = {"hex": 3.0, "mixed": 3.7}
 #: Strings that are no secrets: words, numbers, UUIDs, placeholders, counting sequences, paths of words.
@@ -110,13 +117,60 @@ def _entropy_range(body: Column) -> Column:
                        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
+_RANGE = "array<struct<start:int,stop:int>>"
+
+
+def _run_spans(body: Column) -> Column:
+    """Spans inside one run, from 0, joined where they overlap and in order."""
+    def judged(text: Column) -> Column:
+        return F.when((F.length(text) >= WINDOW) & ~text.rlike(ALLOWED), _entropy_range(text))
+
+    parts = F.transform(F.split(body, SEPARATOR, -1), lambda p: F.struct(
+        F.length(p).alias("n"), p.rlike(r"^[0-9A-Fa-f]+$").alias("hex"), judged(p).alias("r")))
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_RANGE).alias("spans"))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.when(x["hex"], 0).otherwise(x["r"]["first"])
+        stop = acc["at"] + F.when(x["hex"], x["n"]).otherwise(x["r"]["last"] + WINDOW)
+        span = F.array(F.struct(start.alias("start"), stop.alias("stop")))
+        return F.struct((acc["at"] + x["n"] + 1).alias("at"),
+                        F.when(x["r"]["first"] >= 0, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+
+    own = F.transform(F.array(F.when(body.rlike(SEPARATOR), judged(body))), lambda r: F.struct(
+        r["first"].alias("start"), (r["last"] + WINDOW).alias("stop")))
+    spans = F.concat(F.filter(own, lambda s: s["start"] >= 0), F.aggregate(parts, zero, step, lambda acc: acc["spans"]))
+
+    def join(acc: Column, x: Column) -> Column:
+        """The last span of the list grows, or a new one begins."""
+        last = F.element_at(acc, -1)
+        grown = F.struct(last["start"].alias("start"), F.greatest(last["stop"], x["stop"]).alias("stop"))
+        apart = (F.size(acc) == 0) | (x["start"] >= F.try_element_at(acc, F.lit(-1))["stop"])
+        return F.when(apart, F.concat(acc, F.array(x))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(_RANGE), join)
+
+
 def _entropy_spans() -> Column:
-    found = F.filter(_matches(CANDIDATE, WINDOW, 3), lambda s: ~s["body"].rlike(ALLOWED))
-    ranged = F.transform(found, lambda s: F.struct(s["start"].alias("start"), _entropy_range(s["body"]).alias("r")))
-    return F.transform(
-        F.filter(ranged, lambda s: s["r"]["first"] >= 0),
-        lambda s: F.struct((s["start"] + s["r"]["first"]).alias("start"), F.lit(3).alias("rank"),
-                           (s["start"] + s["r"]["last"] + WINDOW).alias("stop"), F.lit("").alias("body")))
+    runs = F.transform(_matches(CANDIDATE, WINDOW, 3), lambda s: F.struct(s["start"].alias("start"), _run_spans(s["body"]).alias("spans")))
+    found = F.filter(runs, lambda r: F.size(r["spans"]) > 0)
+    return F.flatten(F.transform(found, lambda r: F.transform(r["spans"], lambda s: F.struct(
+        (r["start"] + s["start"]).alias("start"), F.lit(3).alias("rank"), (r["start"] + s["stop"]).alias("stop"), F.lit("").alias("body")))))
+
+
+def _without(span: Column, taken: Column) -> Column:
+    """What ``taken`` (in order) leaves of a span: pieces of at least WINDOW characters."""
+    meeting = F.filter(taken, lambda b: (b["start"] < span["stop"]) & (span["start"] < b["stop"]))
+    zero = F.struct(span["start"].alias("at"), F.array().cast(_RANGE).alias("pieces"))
+
+    def piece(acc: Column, stop: Column) -> Column:
+        one = F.array(F.struct(acc["at"].alias("start"), stop.alias("stop")))
+        return F.when(stop - acc["at"] >= WINDOW, F.concat(acc["pieces"], one)).otherwise(acc["pieces"])
+
+    def step(acc: Column, b: Column) -> Column:
+        return F.struct(F.greatest(acc["at"], b["stop"]).alias("at"), piece(acc, b["start"]).alias("pieces"))
+
+    pieces = F.aggregate(meeting, zero, step, lambda acc: piece(acc, span["stop"]))
+    return F.transform(pieces, lambda p: F.struct(p["start"].alias("start"), F.lit(3).alias("rank"), p["stop"].alias("stop"), F.lit("").alias("body")))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -131,8 +185,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def bare(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["stop"]))
 
-    base = F.concat("assign", "access", "hex")
-    fresh = F.filter("entropy", lambda e: ~F.exists(base, lambda b: (b["start"] < e["stop"]) & (e["start"] < b["stop"])))
+    found = found.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
+    fresh = F.flatten(F.transform("entropy", lambda e: _without(e, F.col("base"))))
     return found.select("doc_id", bare(F.col("assign")).alias("assign"), bare(F.col("access")).alias("access"),
                         bare(F.col("hex")).alias("hex"), bare(fresh).alias("entropy"))
 
