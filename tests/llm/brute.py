@@ -65,27 +65,51 @@ ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww]
                     r"""|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
+def bits(w):
+    return -sum(w.count(c) / len(w) * math.log2(w.count(c) / len(w)) for c in set(w))
+
+
 def secrets(text, allowed):
-    """[(start, rank, stop)] of the fixed patterns, and of the entropy windows."""
+    """[(start, rank, stop)] of the fixed patterns, and of the entropy windows.
+
+    Every character is marked that lies in a whole hexadecimal part, or between the first and the
+    last window of a candidate; marks go where a fixed pattern matches; stretches of 20 stay.
+    """
     t = text or ""
     base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[1]) >= 12]
     base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", t) if len(m[0]) >= 18]
     base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 16]
     more = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
-        s = m[0]
-        if re.search(allowed, s):
-            continue
-        least = 3.0 if re.fullmatch(r"[0-9A-Fa-f]+", s) else 3.7
-        hits = []
-        for k in range(len(s) - 19):
-            w = s[k:k + 20]
-            if -sum(w.count(c) / 20 * math.log2(w.count(c) / 20) for c in set(w)) >= least - 1e-9:
-                hits.append(k)
-        if hits:
-            span = (m.start() + hits[0], 3, m.start() + hits[-1] + 20)
-            if not any(b[0] < span[2] and span[0] < b[2] for b in base):
-                more.append(span)
+        candidates = [(m.start() + p.start(), p[0]) for p in re.finditer(r"[^=/_-]+", m[0])]
+        if len(candidates) != 1 or candidates[0][1] != m[0]:
+            candidates.append((m.start(), m[0]))
+        found = []
+        for at, s in candidates:
+            if len(s) < 20 or re.search(allowed, s):
+                continue
+            digits = re.fullmatch(r"[0-9A-Fa-f]+", s)
+            hits = [k for k in range(len(s) - 19) if bits(s[k:k + 20]) >= (3.0 if digits else 3.7) - 1e-9]
+            if hits:
+                found.append((at, at + len(s)) if digits else (at + hits[0], at + hits[-1] + 20))
+        marks = {}
+        for lo, hi in found:  # spans that only touch stay two
+            marks.update(dict.fromkeys(range(lo, hi - 1), True))
+            marks.setdefault(hi - 1, False)
+        for lo, _, hi in base:
+            for k in range(max(lo, m.start()), min(hi, m.end())):
+                marks.pop(k, None)
+            if lo - 1 in marks:
+                marks[lo - 1] = False
+        k = m.start()
+        while k < m.end():
+            e = k
+            while marks.get(e):
+                e += 1
+            e += e in marks
+            if e - k >= 20:
+                more.append((k, 3, e))
+            k = max(e, k + 1)
     return sorted(base), sorted(more)
 
 

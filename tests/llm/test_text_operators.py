@@ -40,6 +40,14 @@ def test_exact_duplicates_are_dropped_with_all_columns(awkward):
     assert sorted((r["doc_id"] for r in left.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_a_table_loaded_twice_keeps_one_row_per_text(spark, awkward):
+    twice = drop_exact_duplicates(awkward.unionByName(awkward))
+    assert listed(twice.select(sorted(twice.columns)).collect()) == listed(drop_exact_duplicates(awkward).select(sorted(twice.columns)).collect())
+    nobody = spark.createDataFrame([(None, "a b", 1), (None, "a  b", 2), (None, None, 3), (None, "", 4), (7, "c", 5), (7, "c", 6)],
+                                   "doc_id long, text string, n int")
+    assert sorted(r["text"] or "" for r in drop_exact_duplicates(nobody).collect()) in (["", "a b", "c"], ["", "a  b", "c"])
+
+
 def test_wrongly_shared_id_keeps_the_text_that_is_no_copy(spark):
     docs = spark.createDataFrame([(0, "same"), (1, "same"), (1, "other")], "doc_id long, text string")
     assert sorted(map(tuple, drop_exact_duplicates(docs).collect())) == [(0, "same"), (1, "other")]
@@ -103,7 +111,9 @@ def test_secrets(spark, awkward):
         "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "550e8400-e29b-41d4-a716-446655440000", "EXAMPLE" + mixed,
         "thisisaverylongwordwithoutanydigits", "AAAAAAAAAAAAAAAAAAAAAAAA1", None, "", "Passwd : 'a.b-c_d=e/f+g1234'",
         " ".join(f"{k:016x}" for k in range(700)), "A1b2" + "k" * 3000 + mixed + "y" * 3000, "secretsecret=aaaaaaaaaaaa",
+        f"/a/{mixed[:30]}/sample/{mixed[30:]}9f86d081884c7d65{mixed}", f"x={mixed}AKIA{'B2' * 9}-{mixed}=", "K=" + "0F" * 30, f"{mixed}={mixed}",
     ]
+    texts += ["".join(rng.choice("ABab01/_=-+") if rng.random() < 0.2 else rng.choice(mixed) for _ in range(120)) for _ in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for frame in (docs, awkward):
         found = scan_secrets(frame).select("doc_id", *[F.size(k).alias(k) for k in KINDS], spans_as_text(*KINDS).alias("spans"))
@@ -116,6 +126,21 @@ def test_secrets(spark, awkward):
     assert sum(len(secrets(t, ALLOWED)[1]) for t in texts) >= 3
 
 
+def test_random_keys_behind_names_and_paths_are_found_to_their_end(spark):
+    """Upper-case hexadecimal keys, which no fixed pattern knows, behind what stands before keys."""
+    rng = random.Random(12)
+    before = ("", "K=", "SIG=", "KEY_", "DIGEST=", "/v1/sample/", "example-", "9f86d081884c7d659a2feaa0c55ad015/")
+    keys = [(b, "".join(rng.choice("0123456789ABCDEF") for _ in range(40))) for b in before for _ in range(150)]
+    texts = [f"see {b}{key} there" for b, key in keys]
+    found = scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    missed = {b: 0 for b in before}
+    for r in found:
+        b, key = keys[r["doc_id"]]
+        at = texts[r["doc_id"]].index(key)
+        missed[b] += not any(s["start"] <= at and s["stop"] == at + 40 for s in r["entropy"])
+    assert max(missed.values()) <= 2
+
+
 @pytest.mark.parametrize("shard", [None, 2])
 def test_repeated_strings(awkward, shard, monkeypatch):
     """Also with shards so small that every anchor is split and its parts are merged."""

@@ -11,7 +11,7 @@ an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import ASCII_SPACE, anti, ids_and_texts, semi, store, text_of
@@ -90,14 +90,29 @@ def _facts(texts: DataFrame, prefix: int, digests: bool = False) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           prefix: int = PREFIX) -> DataFrame:
-    """``docs`` without the rows whose text another row with a smaller id has; all columns stay.
+    """``docs`` with one row per text, that with the smallest id; all columns stay.
 
     Rows are matched by id, length and prefix hash, so of rows that wrongly share an id only
-    those go whose own text is a copy.
+    those go whose own text is a copy. Of rows equal in id and text one stays, by a hash of the
+    whole row; so does one of a text that only rows without an id have. A table loaded twice
+    thus gives what it gives when loaded once.
     """
-    found = exact_duplicates(docs, id_col, text_col, prefix)
-    gone = store(found.filter(~F.col("kept")).select(*ROW_KEY).distinct())
+    found = store(exact_duplicates(docs, id_col, text_col, prefix).filter("group_size > 1").select(*ROW_KEY, "kept"))
+    gone = found.filter(~F.col("kept")).select(*ROW_KEY).distinct()
+    # Ids on several kept rows of a group: only these rows are dealt out and numbered.
+    again = store(found.filter("kept").groupBy(*ROW_KEY).count().filter("count > 1").select(*ROW_KEY))
     norm = normalised(text_of(text_col))
-    match = (docs[id_col].eqNullSafe(gone["doc_id"]) & (F.length(norm) == gone["length"])
-             & (F.xxhash64(F.substring(norm, 1, prefix)) == gone["prefix"]))
-    return docs.join(gone, match, "left_anti")
+
+    def match(keys: DataFrame) -> Column:
+        return (docs[id_col].eqNullSafe(keys["doc_id"]) & (F.length(norm) == keys["length"])
+                & (F.xxhash64(F.substring(norm, 1, prefix)) == keys["prefix"]))
+
+    rest = docs.join(gone, match(gone), "left_anti")
+    if again.isEmpty():
+        return rest
+    several = docs.join(again, match(again), "left_semi").join(gone, match(gone), "left_anti")
+    same = Window.partitionBy(F.col(id_col), F.sha2(norm.cast("binary"), 256))
+    numbers = F.row_number().over(same.orderBy(F.xxhash64(*docs.columns)))
+    number = f"_n{''.join(docs.columns)}"  # a name that no column has
+    one = several.withColumn(number, numbers).filter(F.col(number) == 1).select(docs.columns)
+    return rest.join(again, match(again), "left_anti").unionByName(one)
