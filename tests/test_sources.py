@@ -214,3 +214,41 @@ def test_expectations(spark, capsys):
     counted, seen = ql.observed_nan_points(spark.createDataFrame([(float("nan"), 1.0), (1.0, 1.0)], "long double, lat double"), "nans")
     counted.collect()
     assert seen.get["nan_points"] == 1
+
+
+def test_prefix_sums_over_all_levels(spark):
+    """Keys from one end of the longs to the other, in dense and in lonely groups."""
+    import random
+
+    rng = random.Random(4)
+    keys = sorted({rng.randrange(-(1 << 63), 1 << 63) for _ in range(50)} | set(range(-30, 30)) | {(5 << 20) + k for k in range(40)})
+    counts = [(k, rng.randrange(1, 9)) for k in keys]
+    got = dict(map(tuple, ps.prefix_sums(spark.createDataFrame(counts, "key long, n long"), 3).collect()))
+    before = 0
+    for k, n in counts:
+        assert got[k] == before
+        before += n
+
+
+def test_positions_keep_nothing_and_have_no_single_task_window(spark, tmp_path):
+    times = spark.range(2000).select(F.timestamp_seconds((F.col("id") * 7919) % 2003 * 1000).alias("at"))
+    found = ps.row_positions(times, "at")
+    assert [r["position"] for r in found.orderBy("at").collect()] == list(range(2000))
+    with pytest.raises(TypeError):
+        ps.row_positions(spark.createDataFrame([("a",)], "s string"), "s")
+    for k in range(3):
+        (tmp_path / f"part-{k} x.txt").write_text("".join(f"{k}-{i}\n" for i in range(100 * k + 1)))
+    lines = ps.numbered_lines(spark, str(tmp_path))
+    assert [r["line_no"] for r in lines.orderBy(F.split("value", "-")[0], F.split("value", "-")[1].cast("int")).collect()] == list(range(303))
+    for frame in (found, lines):
+        assert "InMemory" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_line_numbers_with_more_splits_than_are_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ps, "BROADCAST_SPLITS", 0)
+    for part in range(2):
+        (tmp_path / f"part-{part}").write_text("".join(f"{part * 50 + i}\n" for i in range(50)))
+    lines = ps.numbered_lines(spark, str(tmp_path))
+    assert "Broadcast" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    assert lines.where("cast(value AS bigint) <> line_no").count() == 0 and lines.count() == 100
