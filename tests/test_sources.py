@@ -241,10 +241,18 @@ def test_positions_keep_nothing_and_have_no_single_task_window(spark, tmp_path):
     lines = ps.numbered_lines(spark, str(tmp_path))
     assert [r["line_no"] for r in lines.orderBy(F.split("value", "-")[0], F.split("value", "-")[1].cast("int")).collect()] == list(range(303))
     for frame in (found, lines):
-        assert "InMemory" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryRelation" not in frame._jdf.queryExecution().executedPlan().toString()
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_line_numbers_over_several_groups_of_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ps, "GROUP_BITS", 1)
+    for part in range(7):
+        (tmp_path / f"part-{part}").write_text("".join(f"{part * 50 + i}\n" for i in range(50)))
+    lines = ps.numbered_lines(spark, str(tmp_path))
+    assert lines.where("cast(value AS bigint) <> line_no").count() == 0 and lines.count() == 350
+
+
 def test_line_numbers_with_more_splits_than_are_broadcast(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ps, "BROADCAST_SPLITS", 0)
     for part in range(2):

@@ -1,14 +1,16 @@
 """Stable positions: file line numbers and sorted row numbers, without a single-task window.
 
 Rows are counted per split (of a file) or per block of neighbouring values, and the counts are
-summed up level by level: inside groups of a million neighbouring keys by a window each, then
-over the sums of the groups, until at most a few dozen sums are left. No group has more than 2**20
-entries whatever the size of the table, and nothing is kept between runs: splits and blocks are
-properties of the input, so a recomputation after a lost executor finds the same numbers.
+summed up level by level: inside groups of a million neighbouring keys (or files) by a window
+each, then over the sums of the groups, until at most a few dozen sums are left. Nothing is kept
+between runs: splits and blocks are properties of the input, so a recomputation after a lost
+executor finds the same numbers.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,14 @@ def prefix_sums(counts: DataFrame, levels: int) -> DataFrame:
 BROADCAST_SPLITS = 200_000
 
 
+#: The scheme of a path and the slashes behind it, of which different parts of Spark write one or three.
+SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
+def _plain(path: str) -> str:
+    return re.sub(SCHEME, r"\1:/", path)
+
+
 def _most_splits(text: DataFrame, files: int) -> int:
     """A bound on the splits of a text scan, from the sizes that the scan has listed."""
     conf = text.sparkSession._jsparkSession.sessionState().conf()
@@ -61,15 +71,18 @@ def numbered_lines(spark: SparkSession, path: str, skip_blank: bool = False) ->
         lines = lines.where(F.trim("value") != "")
     lines = lines.withColumn("_mid", F.monotonically_increasing_id())
     splits = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    along = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_file", "_start", "_first", "_n", F.coalesce(F.sum("_n").over(along), F.lit(0).cast("long")).alias("_before"))
-    names = sorted(text.inputFiles())
-    if len(names) > 1:
-        # The order of the files is the scan's own listing, which the driver holds anyway.
-        ranks = spark.createDataFrame([(name, k) for k, name in enumerate(names)], "_file string, key bigint")
-        totals = splits.groupBy("_file").agg(F.sum("_n").alias("n")).join(ranks, "_file").select("key", "n")
-        earlier = prefix_sums(totals, 1).join(ranks, "key").select("_file", F.col("before").alias("_earlier"))
-        splits = splits.join(earlier, "_file").withColumn("_before", F.col("_before") + F.col("_earlier"))
+    # The order of the files is the scan's own listing, which the driver holds anyway.
+    names = sorted(_plain(name) for name in text.inputFiles())
+    ranks = spark.createDataFrame([(name, k) for k, name in enumerate(names)], "_name string, _rank bigint")
+    plain = F.regexp_replace("_file", SCHEME, "$1:/")
+    splits = splits.join(ranks, plain == F.col("_name")).withColumn("_group", F.shiftright("_rank", GROUP_BITS))
+    along = Window.partitionBy("_group").orderBy("_rank", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(along), F.lit(0).cast("long"))
+    splits = splits.select("_file", "_start", "_first", "_n", "_group", before.alias("_before"))
+    if len(names) > 1 << GROUP_BITS:
+        totals = splits.groupBy(F.col("_group").alias("key")).agg(F.sum("_n").alias("n"))
+        earlier = prefix_sums(totals, 1).select(F.col("key").alias("_group"), F.col("before").alias("_earlier"))
+        splits = splits.join(earlier, "_group").withColumn("_before", F.col("_before") + F.col("_earlier"))
     splits = splits.select("_file", "_start", "_first", "_before")
     if _most_splits(text, len(names)) <= BROADCAST_SPLITS:
         splits = F.broadcast(splits)
