@@ -98,7 +98,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     thus gives what it gives when loaded once.
     """
     found = store(exact_duplicates(docs, id_col, text_col, prefix).filter("group_size > 1").select(*ROW_KEY, "kept"))
-    gone = found.filter(~F.col("kept")).select(*ROW_KEY).distinct()
+    # Stored by itself, so that its own size decides how it is joined.
+    gone = store(found.filter(~F.col("kept")).select(*ROW_KEY).distinct())
     # Ids on several kept rows of a group: only these rows are dealt out and numbered.
     again = store(found.filter("kept").groupBy(*ROW_KEY).count().filter("count > 1").select(*ROW_KEY))
     norm = normalised(text_of(text_col))
