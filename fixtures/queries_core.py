@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fixtures import views as v
 from fixtures.oracle_views import rnd, view, with_views
 from fixtures.registry import query, rounded, vertices
+from fixtures.scratch import scratch_dir
 from tidegrid.functions import geometry, grid, scalars
 from tidegrid.operators import elements as el
 from tidegrid.operators import nodes as nd
@@ -15,6 +16,7 @@ from tidegrid.operators import skew
 from tidegrid.operators import weights as wt
 from tidegrid.operators import zonal as zo
 from tidegrid.operators.overlay import attach_cell_attributes, coverage_fraction, tessellate
+from tidegrid.sinks.store import TableStore
 
 NODE_OUT = f"node_id, {rnd('long', 'long')}, {rnd('lat', 'lat')}, {rnd('wse', 'wse')}"
 NODE_ELEV = f"node_id, {rnd('long', 'long')}, {rnd('lat', 'lat')}, {rnd('elevation', 'elevation')}"
@@ -502,7 +504,8 @@ def _(spark, sf):
 def _(spark, sf):
     nodes = v.nodes(spark, sf)
     rows = v.table(spark, sf, "customer").count()
-    return rounded(ql.expect(nodes, ["node_id", "wse"], rows))
+    store = TableStore(spark, scratch_dir(spark, "expect"))
+    return rounded(store.write(nodes, "nodes", ["node_id", "wse"], rows))
 
 
 # --- mesh elements ----------------------------------------------------------------------

@@ -1,5 +1,8 @@
 """Mesh text, crosswalks, tables and layers, on hand-made files."""
 
+import os
+from contextlib import nullcontext
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from tidegrid.operators import nodes as nd
 from tidegrid.operators import positions as ps
 from tidegrid.operators import quality as ql
 from tidegrid.operators import tiles as tl
+from tidegrid.sinks.store import TableStore
 from tidegrid.sources import filesystem, layers, mesh_text, tables
 
 MESH = """a title 4 words
@@ -205,10 +209,13 @@ def test_dem_cells_keep_nodata_rows(spark):
 
 def test_expectations(spark, capsys):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b int")
-    assert ql.expect(df, ["a"], 2) is df
-    for wrong in (lambda: ql.expect(df, ["c"]), lambda: ql.expect(df, rows=3), lambda: ql.expect(df.limit(0))):
-        with pytest.raises(ValueError):
-            wrong()
+    with pytest.raises(ValueError, match="missing columns: c"):
+        ql.expect(df, ["c"])
+    for table, rows, wrong in ((df, 2, None), (df, None, None), (df, 3, "expected 3"), (df.limit(0), None, "empty"), (df.limit(0), 1, "found 0")):
+        checked, verdict = ql.expect(table, ["a"], rows)
+        assert checked.count() == table.count()
+        with pytest.raises(ValueError, match=wrong) if wrong else nullcontext():
+            assert verdict.verify() == 2
     assert ql.warn_on_nulls(ql.null_report(df)) == 3
     assert "b = 2" in capsys.readouterr().out
     counted, seen = ql.observed_nan_points(spark.createDataFrame([(float("nan"), 1.0), (1.0, 1.0)], "long double, lat double"), "nans")
@@ -260,3 +267,43 @@ def test_line_numbers_with_more_splits_than_are_broadcast(spark, tmp_path, monke
     lines = ps.numbered_lines(spark, str(tmp_path))
     assert "Broadcast" not in lines._jdf.queryExecution().optimizedPlan().toString()
     assert lines.where("cast(value AS bigint) <> line_no").count() == 0 and lines.count() == 100
+
+
+def test_expectations_compute_their_input_once(spark, tmp_path):
+    """Rows pass a counter of this process's tasks: a table that is checked is computed no second time."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            passed.add(len(b))
+            yield b
+
+    rows = spark.range(100).mapInPandas(count, "id long")
+    store = TableStore(spark, str(tmp_path))
+    assert store.write(rows, "t", ["id"], 100).count() == 100 and passed.value == 100
+    with pytest.raises(ValueError, match="expected 99"):
+        store.write(rows, "t", rows=99)
+    # The table that failed was never committed, and its files are gone.
+    assert store.read("t").count() == 100 and store.latest("t") == 1 and len(os.listdir(tmp_path / "t")) == 2
+
+
+def test_points_meet_bitmaps_of_valid_cells(spark):
+    """Against sets, over cells at the borders of bytes and blocks, off the grid and with null places."""
+    import random
+
+    rng = random.Random(8)
+    meta = GridMeta(400, 300, (1.0, 0.0, 0.0, 0.0, -1.0, 300.0), "EPSG:4326")
+    edges = [1, 2, 8, 9, 32768, 32769, 65536, 65537, 98304, 98305, 120000]
+    cells = sorted(set(edges) | {rng.randrange(1, 120001) for _ in range(3000)})
+    kind = {c: rng.choice([1.0, None, float("nan")]) for c in cells}
+    dem = spark.createDataFrame(list(kind.items()), "cell bigint, elevation double")
+    around = [c + d for c in edges for d in (-1, 0, 1) if 1 <= c + d <= 120000]
+    wanted = cells + around + [rng.randrange(1, 120001) for _ in range(2000)]
+    points = [(k, (c - 1) % 400 + 0.5, 300 - (c - 1) // 400 - 0.5) for k, c in enumerate(wanted)]
+    points += [(10**6, -5.0, 5.0), (10**6 + 1, None, 5.0), (10**6 + 2, 500.0, 5.0)]
+    nodes = spark.createDataFrame(points, "node_id bigint, long double, lat double")
+    got = nd.points_outside_dem(nodes, dem, meta)
+    expected = {k for k, c in enumerate(wanted) if kind.get(c) != 1.0} | {10**6, 10**6 + 1, 10**6 + 2}
+    assert sorted(r["node_id"] for r in got.collect()) == sorted(expected)
+    blocks = nd.valid_bitmaps(dem)
+    assert blocks.count() == 4 and blocks.select(F.sum(F.bitmap_count("bits"))).first()[0] == sum(v == 1.0 for v in kind.values())

@@ -52,19 +52,31 @@ def extent(df: DataFrame, ring: str = "ring") -> DataFrame:
     return ring_extent(df, ring)
 
 
-def expect(df: DataFrame, columns: list[str] | None = None, rows: int | None = None) -> DataFrame:
-    """The table itself, after checking required columns and its row count.
+class Expectation:
+    """What a table must hold, judged by counters that filled while the caller's action ran."""
 
-    Without ``rows`` the table only has to be non-empty.
+    def __init__(self, seen: Observation, rows: int | None) -> None:
+        self.seen, self.rows = seen, rows
+
+    def verify(self) -> int:
+        """The number of rows that passed, or an error; waits for the action to end."""
+        found = self.seen.get["rows"]
+        if self.rows is None and not found:
+            raise ValueError("the table is empty")
+        if self.rows is not None and found != self.rows:
+            raise ValueError(f"expected {self.rows} rows, found {found}")
+        return found
+
+
+def expect(df: DataFrame, columns: list[str] | None = None, rows: int | None = None) -> tuple[DataFrame, Expectation]:
+    """The table with a check of its required columns (at once) and of its row count.
+
+    Without ``rows`` the table only has to be non-empty. The count is taken while the caller's
+    own action runs, so the input is computed once: act on the table, then ``verify``. To keep a wrong
+    table from being seen, write it through ``TableStore.write`` with ``rows``, which commits after the check.
     """
     missing = [c for c in columns or [] if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    if rows is None:
-        if df.isEmpty():
-            raise ValueError("the table is empty")
-        return df
-    found = df.count()
-    if found != rows:
-        raise ValueError(f"expected {rows} rows, found {found}")
-    return df
+    counted, seen = observed_count(df, "expected")
+    return counted, Expectation(seen, rows)
