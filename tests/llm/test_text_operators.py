@@ -1,6 +1,7 @@
 """Duplicates, repeats, secrets and contamination against brute force on awkward tables."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -171,6 +172,52 @@ def test_windows_that_one_shard_holds_twice_and_another_once(spark, monkeypatch)
     assert listed(found.collect()) == listed(repeats(rows, 200))
 
 
+def test_merge_is_linear_in_the_shards(monkeypatch):
+    """64 and 128 shards of one anchor: twice the lists are searched twice, not four times."""
+    rng = np.random.default_rng(3)
+    searched, plain = [], np.searchsorted
+    monkeypatch.setattr(suffix_dedup.np, "searchsorted", lambda a, v, **k: (searched.append(len(v)), plain(a, v, **k))[1])
+    for shards in (64, 128):
+        lists = [np.unique(rng.integers(-4000, 4000, 100)) for _ in range(shards)]
+        searched.clear()
+        found = suffix_dedup.held_by_several(lists)
+        assert len(searched) == shards and sum(searched) == sum(map(len, lists))
+        holders = Counter(x for one in lists for x in one.tolist())
+        for one, shared in zip(lists, found):
+            assert shared.tolist() == [holders[x] > 1 for x in one.tolist()]
+    assert not any(x.any() for x in suffix_dedup.held_by_several([np.array([1, 2]), np.array([3])]))
+
+
+def test_many_split_shards_of_one_anchor(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", 2)
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", 1)
+    rng = random.Random(21)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(230))
+    rows = [(k, f"{rng.random()}"[:rng.randrange(18)] + passage + f"{k // 2} {rng.random()}") for k in range(140)]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 200)
+    assert listed(found.collect()) == listed(repeats(rows, 200))
+
+
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_text_of_one_repeated_byte_and_ranges_over_blocks(spark, block, monkeypatch):
+    """A range for every byte before joining, one per block behind it; borders of blocks change nothing."""
+    monkeypatch.setattr(suffix_dedup, "JOIN_BYTES", block)
+    plain, longest = suffix_dedup._joined_ranges, []
+
+    def joined(removed, size):
+        out = plain(removed, size)
+        longest.append(out.agg(F.max(F.size("ranges"))).first()[0])
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "_joined_ranges", joined)
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcd") for _ in range(260))
+    rows = [(1, "x" * 5000), (2, "ab" * 700 + "-" + passage), (3, passage + "x" * 199), (4, "y" * 199), (5, passage[:199])]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 200)
+    assert listed(found.collect()) == listed(repeats(rows, 200))
+    assert longest[0] <= -(-5000 // block) + 1
+
+
 def test_suffix_order_and_windows():
     rng = np.random.default_rng(6)
     for _ in range(40):

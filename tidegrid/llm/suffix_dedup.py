@@ -9,9 +9,9 @@
    common prefixes (Kasai) over the shard tell which windows occur more than once.
 4. The contexts of an anchor that has very many are dealt to several shards. The distinct windows of
    each, those it holds several times by one representative, are cut into key ranges by binary
-   search in its sorted list, and the lists of a range are merged, again by binary search: a window
-   that two shards hold is repeated.
-5. The covered bytes of each distinct text are cut out.
+   search in its sorted list. The lists of a range are put together once; what two shards hold
+   is repeated, and each list is searched in that, again by binary search.
+5. Touching ranges are joined per block of a text, and the covered bytes of each distinct text cut out.
 
 Everything after the scan goes by a hash of the whole text, not by ``doc_id``.
 
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import ids_and_texts, semi, store
@@ -37,6 +37,8 @@ from tidegrid.session import ship_package
 LENGTH = 200
 #: Distinct contexts of one anchor that stay in one shard.
 SHARD_CONTEXTS = 4096
+#: Bytes of a text whose ranges are joined as one group.
+JOIN_BYTES = 1 << 20
 #: Bytes of contexts per task, and per suffix array within it.
 TASK_BYTES, ARRAY_BYTES = 16 << 20, 1 << 20
 
@@ -215,18 +217,30 @@ def _window_keys(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def held_by_several(lists: list[np.ndarray]) -> list[np.ndarray]:
+    """For each sorted list of distinct windows, which of them are in another list too.
+
+    The lists are put together once; what stands there twice is kept, and each list is searched in that.
+    """
+    every = np.sort(np.concatenate(lists))
+    several = np.unique(every[1:][every[1:] == every[:-1]])
+    if not len(several):
+        return [np.zeros(len(x), bool) for x in lists]
+    return [several[np.minimum(np.searchsorted(several, x), len(several) - 1)] == x for x in lists]
+
+
 def _merge_shards(slices: DataFrame, length: int) -> DataFrame:
-    """Covered ranges of the windows that several shards of an anchor hold, one key range at a time."""
+    """Covered ranges of the windows that several shards of an anchor hold, one key range at a time.
+
+    There are as many ranges as shards, so what comes together is about what one shard holds.
+    """
     def run(group):
-        lists = [np.asarray(w) for w in group["windows"]]
         found: dict[int, set[int]] = {}
-        for mine, contexts, offsets, k in zip(lists, group["contexts"], group["offsets"], range(len(lists))):
-            shared = np.zeros(len(mine), bool)
-            for other in lists[:k] + lists[k + 1:]:
-                place = np.searchsorted(other, mine)
-                shared |= other[np.minimum(place, len(other) - 1)] == mine
-            shared &= np.asarray(offsets) >= 0
-            for c, o in zip(np.asarray(contexts)[shared].tolist(), np.asarray(offsets)[shared].tolist()):
+        shared = held_by_several([np.asarray(w) for w in group["windows"]])
+        for mine, contexts, offsets in zip(shared, group["contexts"], group["offsets"]):
+            offsets = np.asarray(offsets)
+            mine = mine & (offsets >= 0)
+            for c, o in zip(np.asarray(contexts)[mine].tolist(), offsets[mine].tolist()):
                 found.setdefault(c, set()).add(o)
         import pandas as pd
 
@@ -236,6 +250,21 @@ def _merge_shards(slices: DataFrame, length: int) -> DataFrame:
     return slices.groupBy("anchor", "range").applyInPandas(run, _COVER)
 
 
+def _joined_ranges(removed: DataFrame, block: int) -> DataFrame:
+    """``(key, ranges)`` per text from ``(key, lo, hi)``, with touching ranges of a block of bytes joined.
+
+    What is left of a block are ranges with gaps between them, each a window long at least.
+    A text of one repeated byte has a range per byte before, and one per block behind.
+    """
+    placed = removed.withColumn("block", F.floor(F.col("lo") / block))
+    along = Window.partitionBy("key", "block").orderBy("lo", "hi")
+    before = F.max("hi").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opened = placed.withColumn("opens", F.when(F.col("lo") <= before, 0).otherwise(1))
+    numbered = opened.withColumn("island", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    islands = numbered.groupBy("key", "block", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return islands.groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+
+
 def _cut(pairs: Iterator[tuple[int, int]], text: bytes) -> tuple[bytes, int]:
     """What is left of a text without the union of some ranges, and the number of maximal ranges."""
     kept, upto, runs = [], 0, 0
@@ -275,8 +304,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         "anchor", "context", F.explode(F.arrays_zip("starts", "stops")).alias("r")).select("anchor", "context", "r.starts", "r.stops"))
     places = candidates.select("key", "lo", "anchor", "context").distinct()
     removed = places.join(ranges, ["anchor", "context"]).select(
-        "key", F.struct((F.col("lo") + F.col("starts")).alias("lo"), (F.col("lo") + F.col("stops")).alias("hi")).alias("r"))
-    per_text = store(removed.groupBy("key").agg(F.collect_set("r").alias("ranges")))
+        "key", (F.col("lo") + F.col("starts")).alias("lo"), (F.col("lo") + F.col("stops")).alias("hi"))
+    per_text = store(_joined_ranges(removed, JOIN_BYTES))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
