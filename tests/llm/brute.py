@@ -153,6 +153,41 @@ def contamination(rows, items, window):
     return out
 
 
+def near_places(rows, items, window, slack, edits):
+    """{(doc_id, start, stop, phrase)} by looking at every stretch of every text."""
+    def split(t):
+        return re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(t))
+
+    def common(a, b):
+        above = [0] * (len(b) + 1)
+        for x in a:
+            row = [0]
+            for k, y in enumerate(b):
+                row.append(above[k] + 1 if x == y else max(row[-1], above[k + 1]))
+            above = row
+        return above[-1]
+
+    phrases = set()
+    for _, text in items:
+        w = [x for x in split(text) if x]
+        phrases |= {tuple(w[k:k + window]) for k in range(max(len(w) - window, 0) + 1) if w}
+    out = set()
+    for i, t in rows:
+        w = split(t)
+        for p in phrases:
+            reach, needed, places = len(p) + slack, len(p) - min(edits, len(p) // 5), []
+            for at in (k for k, x in enumerate(w) if x in p):
+                part = w[at:at + reach]
+                if common(part, p) >= needed:
+                    stop = at + max(k for k, x in enumerate(part) if x in p) + 1
+                    if places and at - places[-1][2] < reach:
+                        places[-1][1:] = [max(stop, places[-1][1]), at]
+                    else:
+                        places.append([at, stop, at])
+            out |= {(i, a, b, p) for a, b, _ in places}
+    return out
+
+
 def captures(rows):
     """{page_id: (bytes, digest, type, refers)}."""
     first, out = {}, {}

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from brute import contamination, exact, near, repeats, secrets
+from brute import contamination, exact, near, near_places, repeats, secrets
 from pyspark.sql import functions as F
 
 from tidegrid.llm import minhash, suffix_arrays, suffix_dedup
@@ -276,6 +276,28 @@ def test_proximity_looks_at_all_words_of_a_window(spark):
     assert {r["doc_id"] for r in proximity_matches(docs.filter("doc_id = 1"), bench.filter("item_id = 8")).collect()} == {1}
 
 
+def test_proximity_against_all_stretches(spark, awkward):
+    """Altered passages in texts of few different words; null, empty, very long and repeated rows; clashing columns."""
+    rng = random.Random(31)
+    few = [f"w{k}" for k in range(9)]
+    items = [(k, " ".join(rng.choice(few) for _ in range(n))) for k, n in enumerate([12, 10, 7, 4, 1, 0])] + [(6, None), (None, "w1 w2 w3 w4 w5")]
+    rows = []
+    for k in range(40):
+        w = items[k % 4][1].split()
+        for _ in range(rng.randrange(5)):
+            at = rng.randrange(len(w))
+            w[at:at + rng.randrange(2)] = rng.choice([[], ["new"], [rng.choice(few)], ["x", "y"]])
+            w = w or ["w0"]
+        rows.append((k % 35, " ".join([*rng.choices(few + ["z"], k=rng.randrange(15)), *w, rng.choice(["", ".", "end"])]).title()))
+    rows += [(None, rows[3][1]), (None, rows[8][1]), rows[5], (90, "w1 " * 400), (91, None), (92, "")]
+    extra = awkward.filter("doc_id in (400, 401, 600, 601)").select("doc_id", "text")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").unionByName(extra).withColumn("phrase", F.lit(1)).withColumn("stop", F.lit(2))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = proximity_matches(docs, bench).collect()
+    expected = near_places(rows_of(docs), [(i, t or "") for i, t in items], 10, 3, 2)
+    assert {(r["doc_id"], r["start"], r["stop"], tuple(r["phrase"])) for r in found} == expected and len(found) == len(expected) > 100
+
+
 def test_empty_tables(spark, awkward, nothing):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert exact_duplicates(nothing).count() == exact_duplicates(nothing, digests=True).count() == 0

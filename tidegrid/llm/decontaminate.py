@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import store, text_of
@@ -84,22 +84,30 @@ def _edits_of(size: Column, edits: int) -> Column:
     return F.least(F.lit(edits), F.floor(size / 5).cast("int"))
 
 
-def _in_order(words: Column, phrase: Column) -> Column:
-    """Length of the longest common subsequence of two arrays, one row of the table after another."""
-    def row(above: Column, word: Column) -> Column:
-        cells = F.sequence(F.lit(1), F.size(phrase))
-        return F.aggregate(cells, F.array(F.lit(0)), lambda done, j: F.concat(done, F.array(F.greatest(
-            F.element_at(done, -1), F.element_at(above, j + 1),
-            F.element_at(above, j) + F.when(F.element_at(phrase, j) == word, 1).otherwise(0)))))
+def _marks(words: Column, phrase: Column) -> Column:
+    """For each word, the places of the phrase where it stands, as bits."""
+    places = F.transform(phrase, lambda w, k: F.struct(w.alias("w"), F.expr("1L").alias("one"), k.alias("k")))
+    return F.transform(words, lambda word: F.aggregate(
+        places, F.lit(0).cast("long"),
+        lambda bits, p: F.when(p["w"] == word, bits.bitwiseOR(F.call_function("shiftleft", p["one"], p["k"]))).otherwise(bits)))
 
-    return F.aggregate(words, F.array_repeat(F.lit(0), F.size(phrase) + 1), row, lambda last: F.element_at(last, -1))
+
+def _in_order(marks: Column, size: Column) -> Column:
+    """Length of the longest common subsequence with a phrase, from the marks of some words: one sum per word."""
+    ones = F.call_function("shiftleft", F.lit(1).cast("long"), size) - 1
+
+    def word(open_bits: Column, mark: Column) -> Column:
+        met = open_bits.bitwiseAND(mark)
+        return (open_bits + met).bitwiseOR(open_bits - met).bitwiseAND(ones)
+
+    return size - F.bit_count(F.aggregate(marks, ones, word))
 
 
 def index_candidates(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      edits: int | None = None) -> DataFrame:
     """``(doc_id, start, phrase_id)`` where the two rarest terms of a window stand at its distances.
 
-    With ``edits``, where one of the rarest terms stands: of the terms that occur, one more is
+    With ``edits``, ``start`` is where one of the rarest terms stands: of the terms that occur, one more is
     looked up than may be missing, so each place with so many words missing is found by one at least.
     """
     spread = windows.select("phrase_id", F.posexplode("phrase").alias("offset", "word"))
@@ -138,7 +146,8 @@ def index_candidates(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id"
         start = (F.col("position") - F.col("offset")).alias("start")
         shifted = postings.join(F.broadcast(block), "term").select("doc_id", "phrase_id", "rank", "needed", start)
         if edits is not None:
-            found.append(shifted.select("doc_id", "start", "phrase_id").distinct())
+            found.append(postings.join(F.broadcast(block), "term").select(
+                "doc_id", F.col("position").alias("start"), "phrase_id").distinct())
             continue
         flags = F.bit_or(F.col("rank") + 1)  # 1 for the rarest, 2 for the second
         both = shifted.groupBy("doc_id", "phrase_id", "start").agg(flags.alias("seen"), F.first("needed").alias("needed"))
@@ -198,36 +207,56 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_co
 
 def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slack: int = 3, edits: int = 2,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, start, phrase, items)``: altered passages that no exact phrase finds.
+    """``(doc_id, start, stop, phrase, items)``: altered passages that no exact phrase finds, one row per place.
 
-    All words of the window but ``edits`` (one of five at most) stand in its order in the stretch from
-    ``slack`` words before the start to ``slack`` words behind the end; the start is that by one of
-    the rarest terms.
+    A stretch of ``slack`` words more than the window counts where it begins with a word of the window and
+    holds all its words but ``edits`` (one of five at most) in its order. Stretches that overlap
+    are one place, from the first word to behind the last one that belongs to the window. Which places
+    there are depends on text and window alone, not on which words are rare. Rows of one id with
+    different texts have places of their own, equal rows have them once.
     """
+    if window > 60:
+        raise ValueError("a window has 60 words at most")
     windows = store(benchmark_windows(items, window))
     near = store(index_candidates(docs, windows, id_col, text_col, edits))
     blocks = list(_blocks(windows, "phrase_id"))
     if not blocks:
-        return near.select("doc_id", "start", F.array().cast("array<string>").alias("phrase"),
-                           F.array().cast("array<string>").alias("items"))
-    # Texts and places meet by id alone; the phrases come to them behind the shuffle.
+        nothing = F.array().cast("array<string>")
+        return near.select("doc_id", "start", F.col("start").alias("stop"), nothing.alias("phrase"), nothing.alias("items"))
+    # Texts and candidates meet by id alone; the phrases come to them behind the shuffle.
     per_doc = near.groupBy("doc_id").agg(F.collect_list(F.struct("start", "phrase_id")).alias("places"))
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     lists = texts.join(per_doc, texts["id"].eqNullSafe(per_doc["doc_id"])).select(
-        "doc_id", "places", _pieces(F.translate("text", UPPER, LOWER)).alias("pieces"))
-    begin = F.greatest(F.col("place.start") - slack, F.lit(0))
-    words = F.slice("pieces", begin + 1, F.greatest(F.col("place.start") + window + slack - begin, F.lit(0)))
-    places = lists.select("doc_id", "pieces", F.explode("places").alias("place")).select(
-        "doc_id", "place.start", "place.phrase_id", begin.alias("begin"), words.alias("words"))
-    size = F.size("phrase")
-    needed = size - _edits_of(size, edits)
-
-    def confirmed(block: DataFrame) -> DataFrame:
-        stretch = F.slice("words", F.lit(1), F.greatest(F.col("start") + size + slack - F.col("begin"), F.lit(0)))
-        near_it = places.join(F.broadcast(block), "phrase_id").withColumn("words", stretch)
-        # Most candidates lack more words than may be missing; the order is looked at in the others only.
-        missing = F.size(F.array_except("phrase", "words"))
-        stands = F.when(missing <= size - needed, _in_order(F.col("words"), F.col("phrase")) >= needed).otherwise(False)
-        return near_it.filter(stands).select("doc_id", "start", "phrase", "items")
-
-    return _union([confirmed(block) for block in blocks]).distinct()
+        "doc_id", F.xxhash64("text").alias("of"), "places", _pieces(F.translate("text", UPPER, LOWER)).alias("pieces"))
+    reach, seed = window + slack, F.col("place.start")
+    begin = F.greatest(seed - reach + 1, F.lit(0))
+    around = lists.select("doc_id", "of", "pieces", F.explode("places").alias("place")).select(
+        "doc_id", "of", "place.phrase_id", begin.alias("begin"), (seed - begin).alias("upto"),
+        F.slice("pieces", begin + 1, seed - begin + reach).alias("words"))
+
+    def stretches(block: DataFrame) -> DataFrame:
+        """``(doc_id, of, phrase_id, start, stop)`` of the stretches that hold a candidate's word."""
+        marked = around.join(F.broadcast(block.select("phrase_id", "phrase")), "phrase_id").select(
+            "doc_id", "of", "phrase_id", "begin", "upto", F.size("phrase").alias("size"),
+            _marks(F.col("words"), F.col("phrase")).alias("marks"))
+        size = F.col("size")
+        needed = size - _edits_of(size, edits)
+        there = F.aggregate("marks", F.lit(0).cast("long"), lambda bits, m: bits.bitwiseOR(m))
+        from_word = lambda at: F.slice("marks", at + 1, size + slack)
+        first = F.greatest(F.lit(0), F.col("upto") - size - slack + 1)
+        found = F.when(F.bit_count(there) >= needed, F.filter(
+            F.sequence(first, F.col("upto")),
+            lambda at: (F.get("marks", at) != 0) & (_in_order(from_word(at), size) >= needed)))
+        ended = F.transform(found, lambda at: F.struct(at.alias("at"), (at + F.size(from_word(at)) + 1 - F.array_position(
+            F.transform(F.reverse(from_word(at)), lambda m: m != 0), True)).alias("stop")))
+        return marked.select("doc_id", "of", "phrase_id", "begin", "size", F.explode(ended).alias("s")).select(
+            "doc_id", "of", "phrase_id", (F.col("begin") + F.col("s.at")).cast("long").alias("start"),
+            (F.col("begin") + F.col("s.stop")).cast("long").alias("stop"), (size + slack).alias("reach"))
+
+    every = _union([stretches(block) for block in blocks])
+    along = Window.partitionBy("doc_id", "of", "phrase_id").orderBy("start")
+    apart = F.coalesce(F.col("start") - F.lag("start").over(along) >= F.col("reach"), F.lit(True))
+    numbered = every.withColumn("opens", apart.cast("int")).withColumn(
+        "place", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    places = numbered.groupBy("doc_id", "of", "phrase_id", "place").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return places.join(windows, "phrase_id").select("doc_id", "start", "stop", "phrase", "items").distinct()

@@ -96,7 +96,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_proximity")
 def op10_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = proximity_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "start", F.array_join("phrase", " ").alias("phrase"), F.array_join(F.array_sort("items"), ",").alias("items"))
+    return found.select("doc_id", "start", "stop", F.array_join("phrase", " ").alias("phrase"), F.array_join(F.array_sort("items"), ",").alias("items"))
 
 
 @query("op4_toxicity")
