@@ -228,15 +228,20 @@ def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slack
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     lists = texts.join(per_doc, texts["id"].eqNullSafe(per_doc["doc_id"])).select(
         "doc_id", F.xxhash64("text").alias("of"), "places", _pieces(F.translate("text", UPPER, LOWER)).alias("pieces"))
+    lists = lists.withColumn("terms", F.transform("pieces", lambda w: F.xxhash64(w)))
     reach, seed = window + slack, F.col("place.start")
     begin = F.greatest(seed - reach + 1, F.lit(0))
-    around = lists.select("doc_id", "of", "pieces", F.explode("places").alias("place")).select(
+    around = lists.select("doc_id", "of", "pieces", "terms", F.explode("places").alias("place")).select(
         "doc_id", "of", "place.phrase_id", begin.alias("begin"), (seed - begin).alias("upto"),
-        F.slice("pieces", begin + 1, seed - begin + reach).alias("words"))
+        *[F.slice(c, begin + 1, seed - begin + reach).alias(name) for c, name in (("pieces", "words"), ("terms", "terms"))])
 
     def stretches(block: DataFrame) -> DataFrame:
         """``(doc_id, of, phrase_id, start, stop)`` of the stretches that hold a candidate's word."""
-        marked = around.join(F.broadcast(block.select("phrase_id", "phrase")), "phrase_id").select(
+        phrases = block.select("phrase_id", "phrase", F.transform("phrase", lambda w: F.xxhash64(w)).alias("wanted"))
+        near_it = around.join(F.broadcast(phrases), "phrase_id")
+        # Most candidates lack more words than may be missing, which their keys tell at little cost.
+        likely = F.size(F.array_except("wanted", "terms")) <= _edits_of(F.size("wanted"), edits)
+        marked = near_it.filter(likely).select(
             "doc_id", "of", "phrase_id", "begin", "upto", F.size("phrase").alias("size"),
             _marks(F.col("words"), F.col("phrase")).alias("marks"))
         size = F.col("size")
