@@ -146,8 +146,9 @@ def index_candidates(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id"
         start = (F.col("position") - F.col("offset")).alias("start")
         shifted = postings.join(F.broadcast(block), "term").select("doc_id", "phrase_id", "rank", "needed", start)
         if edits is not None:
-            found.append(postings.join(F.broadcast(block), "term").select(
-                "doc_id", F.col("position").alias("start"), "phrase_id").distinct())
+            # Few bytes are dealt by document; what they multiply to stays where it is.
+            found.append(postings.repartition("doc_id").join(F.broadcast(block), "term").select(
+                "doc_id", F.col("position").alias("start"), "phrase_id"))
             continue
         flags = F.bit_or(F.col("rank") + 1)  # 1 for the rarest, 2 for the second
         both = shifted.groupBy("doc_id", "phrase_id", "start").agg(flags.alias("seen"), F.first("needed").alias("needed"))
@@ -218,7 +219,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, window: int = 10, slack
     if window > 60:
         raise ValueError("a window has 60 words at most")
     windows = store(benchmark_windows(items, window))
-    near = store(index_candidates(docs, windows, id_col, text_col, edits))
+    near = index_candidates(docs, windows, id_col, text_col, edits)
     blocks = list(_blocks(windows, "phrase_id"))
     if not blocks:
         nothing = F.array().cast("array<string>")
