@@ -4,6 +4,7 @@ import gzip
 import glob
 import heapq
 import itertools
+import math
 import os
 import random
 import zlib
@@ -19,8 +20,9 @@ from fixtures.compare import _canonical
 from tidegrid.llm import mixing, quality, toxicity, warc
 from tidegrid.llm.chat import best_paths, escape, format_conversations, format_paths, loss_text, read_turns, unescape
 from tidegrid.llm.common import shared_folder
-from tidegrid.llm.mixing import mix_sources, schedule, shares
+from tidegrid.llm.mixing import mix_sources
 from tidegrid.llm.queries import ORACLES, QUERIES
+from tidegrid.llm.sampling import labelled_sample
 
 
 def learnable(spark, n=600):
@@ -185,15 +187,64 @@ def test_trees_give_their_best_branches(spark):
     assert texts[4] == "<s>user\n0</s>\n<s>user\n2</s>\n<s>user\n4</s>\n"
 
 
-def test_shares_and_schedule_deviate_by_less_than_a_block():
-    for weights in ([1.0], [5, 3, 2], [0.5, 0.3, 0.2 / 3, 0.2 / 3, 0.2 / 3], [1e9, 1, 1], [0, float("nan"), 2], [0, 0]):
-        slots = shares([float(w) for w in weights], 60)
-        assert sum(slots) == 60 and min(slots) >= 1
-        done = [0] * len(slots)
-        for t, (i, j, release, deadline, slot) in enumerate(schedule(slots)):
-            assert slot == t and release <= t < deadline and j == done[i]
+def every_slot(weights, blocks):
+    """(source, block, release, deadline, slot) by the definition: at each slot look at the next block of all sources."""
+    share = [Fraction(repr(float(w))) / sum(Fraction(repr(float(x))) for x in weights) for w in weights]
+    done, plan, t = [0] * len(weights), [], 0
+    while sum(done) < sum(blocks):
+        ready = [(math.ceil((j + 1) / w), i, j, math.floor(j / w)) for i, (j, w) in enumerate(zip(done, share))
+                 if j < blocks[i] and math.floor(j / w) <= t]
+        if ready:
+            deadline, i, j, release = min(ready)
+            plan.append((i, j, release, deadline, t))
             done[i] += 1
-            assert all(abs(d - (t + 1) * a / 60) < 1 for d, a in zip(done, slots))
+        t += 1
+    return plan
+
+
+@pytest.mark.parametrize("weights, blocks", [([1.0], [5]), ([5, 3, 2], [40, 40, 3]), ([0.5, 0.3, 0.2], [3, 50, 20]),
+                                             ([7 ** 0.5, 0.01, 3.1, 3.1], [30, 4, 60, 1]), ([1e3, 1, 1], [50, 2, 3])])
+def test_schedule_is_that_of_every_slot_looked_at(weights, blocks):
+    assert list(mixing.mixture(weights, blocks)) == every_slot(weights, blocks)
+
+
+def test_every_weight_counts_and_slots_stay_in_64_bits():
+    """Only empty slots go: the order is that of the weights, however small they are."""
+    for tiny in (1e-18, 1e-300):
+        plan = list(mixing.mixture([0.0, 1.0, tiny, 0.5], [2, 300, 4, 300]))
+        heavy = every_slot([1.0, 0.5], [300, 300])  # block 0 of the tiny weight fills the first slot they leave empty
+        gap = next(t for t, p in enumerate(heavy) if p[4] > t)
+        expected = [((1, 3)[p[0]], p[1]) for p in heavy]
+        assert [p[:2] for p in plan] == [*expected[:gap], (2, 0), *expected[gap:], (2, 1), (2, 2), (2, 3), (0, 0), (0, 1)]
+        slots = [p[4] for p in plan]
+        assert slots == sorted(set(slots)) and slots[-1] <= mixing.LAST_SLOT + len(plan)
+        assert [math.floor(j * Fraction(3, 2) / Fraction(repr(tiny))) for j in range(4)] == pytest.approx([p[2] for p in plan if p[0] == 2])
+    # A weight of a millionth is no outsider: its blocks come where they are due, not behind all others.
+    plan = list(mixing.mixture([1.0, 1e-3], [5000, 3]))
+    assert [p[4] // 1001 for p in plan if p[0] == 1] == [0, 1, 2]
+
+
+def test_mixture_of_a_tiny_weight_keeps_all_rows(spark):
+    docs = spark.range(0, 400).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 300, "big").otherwise("tiny").alias("source"))
+    weights = spark.createDataFrame([("big", 1.0), ("tiny", 1e-300)], "source string, weight double")
+    rows = sorted(mix_sources(docs, weights, block_rows=4).collect(), key=lambda r: r["position"])
+    assert [r["source"] for r in rows] == ["big"] * 300 + ["tiny"] * 100 and len({r["position"] for r in rows}) == 400
+    assert {r["deadline"] for r in rows if r["source"] == "tiny"} == {None}
+
+
+def test_rows_of_the_mixture_stand_where_the_schedule_puts_them(spark, monkeypatch):
+    """Row r of a source, in the order of its hash buckets and hashes, is row r % size of its block r // size."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 30)
+    docs = spark.range(0, 700).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.floor(F.log2(F.col("id") + 1))).alias("source"))
+    buckets = -(-700 // 30)
+    keyed = docs.withColumn("order", F.xxhash64(F.struct("*"))).withColumn("bucket", F.pmod("order", F.lit(buckets))).collect()
+    ranks = {}
+    for r in sorted(keyed, key=lambda r: (r["bucket"], r["order"])):
+        ranks.setdefault(r["source"], []).append(r["doc_id"])
+    names = sorted(ranks)
+    plan = every_slot([len(ranks[s]) ** mixing.TEMPERATURE for s in names], [-(-len(ranks[s]) // 4) for s in names])
+    expected = {d: slot * 4 + k for i, j, _, _, slot in plan for k, d in enumerate(ranks[names[i]][4 * j:4 * j + 4])}
+    assert {r["doc_id"]: r["position"] for r in mix_sources(docs, block_rows=4).collect()} == expected
 
 
 def test_mixture_follows_the_weights(spark, awkward, nothing, monkeypatch):
@@ -207,11 +258,11 @@ def test_mixture_follows_the_weights(spark, awkward, nothing, monkeypatch):
         slots.setdefault(r["slot"], set()).add(r["source"])
         assert r["release"] <= r["slot"] < r["deadline"] and r["position"] // 4 == r["slot"]
     assert all(len(s) == 1 for s in slots.values())
-    share = dict(zip(["big", "s0", "s1", "s2", "s3", "s4"], shares([0.5, 0.3, 0.2, 0, 0, 0], mixing.PERIOD)))
+    share = {"big": Fraction(1, 2), "s0": Fraction(3, 10), "s1": Fraction(1, 5), "s2": 0, "s3": 0, "s4": 0}
     for t in range(60):  # before any source runs out
         for s in slots.get(t, ()):
             counts[s] = counts.get(s, 0) + 1
-        assert all(abs(counts.get(s, 0) - (t + 1) * a / mixing.PERIOD) < 1 for s, a in share.items())
+        assert all(abs(counts.get(s, 0) - (t + 1) * a) < 1 for s, a in share.items())
     mixed = mix_sources(awkward)
     assert mixed.count() == awkward.count() and {*awkward.columns, "release", "deadline", "slot", "position"} == {*mixed.columns}
     assert mix_sources(nothing).count() == 0
@@ -246,6 +297,14 @@ def test_half_of_the_weight_has_one_of_two_slots(spark):
     assert len(slots) == 3000 and all(2 * j <= s < 2 * j + 2 for j, s in enumerate(slots))
 
 
+def test_rows_that_share_a_labelled_id_are_one_training_row(spark):
+    docs = spark.range(0, 5000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") + 10_000).alias("text"))
+    docs = docs.union(spark.createDataFrame([(8, None), (None, "no id")], "doc_id long, text string"))
+    labels = spark.createDataFrame([(7, 1), (8, 0), (9, 1)], "doc_id long, quality int")
+    rows = labelled_sample(docs, labels, "quality", F.lit(True), 100).select("label", "text").collect()
+    assert sorted(map(tuple, rows)) == [(0, ""), (1, "text 10000")]
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_its_statement(spark, duck, sf, name):
     df = QUERIES[name](spark, sf)

@@ -12,9 +12,11 @@ within a source come from counts per hash bucket, so that a source of any size i
 buckets of bounded size, and each bucket gets the slots of its blocks.
 
 Defined results: a null source is a source; sources without a weight, or with none above 0, have no
-share and come behind the others, in equal shares; so do those whose weight is so small that their
-slots would pass ``LAST_SLOT``; equal rows share their rank order; an empty table gives an empty
-result; columns of the input stay, whatever their names, and the four new ones replace namesakes.
+share and come behind the others, in equal shares; every weight above 0 counts, however small, and
+only empty slots behind ``LAST_SLOT`` are left out of the count, so that slots stay in 64 bits
+(releases and deadlines that do not fit are null); equal rows share their rank order; an empty table
+gives an empty result; columns of the input stay, whatever their names, and the four new ones replace
+namesakes.
 """
 
 from __future__ import annotations
@@ -32,9 +34,7 @@ from pyspark.sql import functions as F
 from tidegrid.llm.common import store
 from tidegrid.session import ship_package
 
-#: Slots of a period for `shares`, which rounds; the mixture itself has no period.
-PERIOD = 1000
-#: Slots of sources with a share end here, so that positions stay in 64 bits.
+#: Empty slots are counted up to this one; behind it only slots with a block are.
 LAST_SLOT = 1 << 50
 #: Rows of a block, and rows of a hash bucket on average.
 BLOCK_ROWS, BUCKET_ROWS = 32, 20_000
@@ -42,20 +42,6 @@ BLOCK_ROWS, BUCKET_ROWS = 32, 20_000
 TEMPERATURE = 0.5
 
 
-def shares(weights: list[float], period: int) -> list[int]:
-    """Whole slots per source that sum to the period: largest remainders, one at least."""
-    w = [x if x == x and x > 0 else 0.0 for x in weights]
-    w = w if any(w) else [1.0] * len(w)
-    total = sum(w)
-    free = period - len(w)
-    exact = [free * x / total for x in w]
-    slots = [int(x) for x in exact]
-    rest = sorted(range(len(w)), key=lambda i: (slots[i] - exact[i], i))
-    for i in rest[:free - sum(slots)]:
-        slots[i] += 1
-    return [1 + s for s in slots]
-
-
 def earliest_first(weights: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
     """``(source, block, release, deadline, slot)`` of so many blocks per source, earliest deadline first.
 
@@ -65,35 +51,25 @@ def earliest_first(weights: list[int], blocks: list[int]) -> Iterator[tuple[int,
     coming = [(0, i, 0) for i, n in enumerate(blocks) if n]
     heapq.heapify(coming)
     waiting: list[tuple[int, int, int, int]] = []
-    t = 0
+    t = left_out = 0
     while coming or waiting:
-        if not waiting:
-            t = max(t, coming[0][0])
+        if not waiting and coming[0][0] > t:
+            slot = max(t - left_out, min(coming[0][0] - left_out, LAST_SLOT))
+            t = coming[0][0]
+            left_out = t - slot
         while coming and coming[0][0] <= t:
             release, i, j = heapq.heappop(coming)
             heapq.heappush(waiting, (-(-(j + 1) * total // weights[i]), i, j, release))
             if j + 1 < blocks[i]:
                 heapq.heappush(coming, ((j + 1) * total // weights[i], i, j + 1))
         deadline, i, j, release = heapq.heappop(waiting)
-        yield i, j, release, deadline, t
+        yield i, j, release, deadline, t - left_out
         t += 1
 
 
-def schedule(slots: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
-    """``(source, block, release, deadline, slot)`` of one period of whole slots per source."""
-    return earliest_first(slots, slots)
-
-
 def mixture(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
     """``(source, block, release, deadline, slot)`` of all blocks, sources without a share behind the others."""
     exact = {i: Fraction(repr(float(x))) for i, x in enumerate(weights) if x is not None and math.isfinite(x) and x > 0}
-    while True:  # without the sources that would pass the last slot, the others' shares are larger
-        total = sum(exact.values())
-        small = [i for i, w in exact.items() if blocks[i] * total >= LAST_SLOT * w]
-        if not small:
-            break
-        for i in small:
-            del exact[i]
     unit = math.lcm(*(w.denominator for w in exact.values()))
     end = 0
     for group, whole in ((list(exact), [int(w * unit) for w in exact.values()]),
@@ -101,11 +77,14 @@ def mixture(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int,
         begin = end
         for k, j, release, deadline, slot in earliest_first(whole, [blocks[i] for i in group]):
             yield group[k], j, begin + release, begin + deadline, begin + slot
-            end = max(end, begin + deadline)
+            end = max(end, begin + min(deadline, max(slot + 1, LAST_SLOT)))
 
 
 def _plan(sources: DataFrame, block_rows: int) -> DataFrame:
     """``(of, block, release, deadline, slot)`` of every block, from ``(of, n, weight)``."""
+    def fitting(numbers: pd.Series) -> pd.Series:
+        return pd.Series([n if n < 1 << 63 else None for n in numbers], dtype="Int64")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
         if not parts:
@@ -113,8 +92,9 @@ def _plan(sources: DataFrame, block_rows: int) -> DataFrame:
         rows = pd.concat(parts).sort_values("of").reset_index(drop=True)
         made = mixture(rows["weight"].tolist(), [-(-n // block_rows) for n in rows["n"].tolist()])
         while some := list(itertools.islice(made, 10_000)):
-            plan = pd.DataFrame(some, columns=["i", "block", "release", "deadline", "slot"])
-            yield plan.assign(of=rows["of"].iloc[plan["i"]].values)[["of", "block", "release", "deadline", "slot"]]
+            i, block, release, deadline, slot = zip(*some)
+            yield pd.DataFrame({"of": rows["of"].iloc[list(i)].values, "block": block, "release": fitting(release),
+                                "deadline": fitting(deadline), "slot": slot})
 
     ship_package(sources.sparkSession)
     return sources.repartition(1).mapInPandas(run, "of string, block long, release long, deadline long, slot long")

@@ -22,8 +22,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable:
     """``(order, label, text)`` of about ``rows`` labelled documents at most.
 
     Chosen by a hash of the id among all labels that ``usable`` (an expression on ``doc_id``)
-    admits. A document with several labels has the largest; null labels and ids are no labels. The
-    list of chosen ids has a fixed bound, so it may be broadcast and no text is shuffled.
+    admits. A document with several labels has the largest; null labels and ids are no labels; of rows
+    that share a chosen id the smallest text counts. The list of chosen ids has a fixed bound, so it
+    may be broadcast; only texts of chosen ids are shuffled.
     """
     ship_package(docs.sparkSession)
     known = labels.select("doc_id", F.col(label_col).cast("int").alias("label")).filter(
@@ -32,7 +33,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, usable:
     total = known.count()
     order = F.xxhash64(F.col("doc_id"), F.lit("sample"))
     chosen = known.filter(F.pmod(order, F.lit(max(total, 1))) < rows).withColumn("order", order)
-    return ids_and_texts(docs).join(F.broadcast(chosen), "doc_id").select("order", "label", "text")
+    found = ids_and_texts(docs).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "order", "label").agg(F.min("text").alias("text")).select("order", "label", "text")
 
 
 def train(rows: DataFrame, fit: Callable[[np.ndarray, list[np.ndarray], list[np.ndarray]], dict[int, float]]
