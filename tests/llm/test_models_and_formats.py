@@ -74,12 +74,76 @@ def test_quality_learns_and_holds_out(spark):
 
 def test_subword_features_are_all_grams_of_a_word():
     for words in (["ab", "x", "žluťoučký", "ab12"], ["a"]):
-        owner, _ = quality._grams(words)
+        owner, _ = quality._grams(words, quality._hashes(words))
         for k, w in enumerate(words):
             marked = f" {w} "
             assert (owner == k).sum() == 1 + sum(max(len(marked) - n + 1, 0) for n in quality.GRAMS)
 
 
+def test_quality_scores_are_those_of_the_plain_sums(spark, awkward):
+    """Every word's average and every pair's amount, over the number of both, feature by feature."""
+    rng = np.random.default_rng(4)
+    model = np.arange(quality.BUCKETS + 1), rng.normal(size=quality.BUCKETS + 1)
+
+    def plain(text):
+        words = (text or "").split()
+        amounts = []
+        for w in words:
+            _, buckets = quality._grams([w], quality._hashes([w]))
+            amounts.append(np.mean([model[1][b] for b in buckets]))
+        amounts += [model[1][quality._pairs(quality._hashes([a, b]))[0]] for a, b in zip(words, words[1:])]
+        return 1 / (1 + np.exp(-(model[1][-1] + (sum(amounts) / len(amounts) if amounts else 0))))
+
+    docs = awkward.filter("coalesce(doc_id, 0) < 600")
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r["doc_id"], []).append(plain(r["text"]))
+        at, share = quality._document(r["text"] or "")
+        features = model[1][at] @ share + model[1][-1]
+        assert 1 / (1 + np.exp(-features)) == pytest.approx(texts[r["doc_id"]][-1], rel=1e-4)
+    found = {}
+    for r in quality.score_quality(docs, model).collect():
+        found.setdefault(r["doc_id"], []).append(r["score"])
+    assert found.keys() == texts.keys() and all(sorted(found[k]) == pytest.approx(sorted(texts[k])) for k in texts)
+
+
+def plain_fit(labels, idx, weight):
+    """The same steps of gradient descent as `fit_embeddings`, one document and one feature at a time."""
+    rng = np.random.default_rng(11)
+    table = rng.uniform(-1, 1, (quality.BUCKETS, quality.DIMENSIONS)) / quality.DIMENSIONS
+    out, bias = np.zeros((quality.DIMENSIONS, 2)), np.zeros(2)
+    order = np.arange(len(labels))
+    steps, done = quality.EPOCHS * (len(labels) // quality.BATCH + 1), 0
+    for _ in range(quality.EPOCHS):
+        rng.shuffle(order)
+        for lo in range(0, len(order), quality.BATCH):
+            part, rate = order[lo:lo + quality.BATCH], quality.RATE * (1 - done / steps)
+            done += 1
+            d_out, d_bias, d_table = np.zeros_like(out), np.zeros(2), {}
+            for i in part:
+                hidden = sum((w * table[a] for a, w in zip(idx[i], weight[i])), np.zeros(quality.DIMENSIONS))
+                logits = hidden @ out + bias
+                error = np.exp(logits - logits.max()) / np.exp(logits - logits.max()).sum() - np.eye(2)[int(labels[i] > 0)]
+                d_out += np.outer(hidden, error) / len(part)
+                d_bias += error / len(part)
+                for a, w in zip(idx[i], weight[i]):
+                    d_table[a] = d_table.get(a, 0) + w * (out @ error)
+            out, bias = out - rate * d_out, bias - rate * 0.05 * d_bias
+            for a, d in d_table.items():
+                table[a] -= rate * d
+    return table @ (out[:, 1] - out[:, 0]), bias[1] - bias[0]
+
+
+def test_embeddings_are_those_of_plain_descent():
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(1, 9))) for _ in range(21)]
+    labels = np.array([rng.randrange(2) for _ in texts])
+    idx, weight = zip(*map(quality._document, texts))
+    model = quality.fit_embeddings(labels, list(idx), list(weight))
+    value, bias = plain_fit(labels, idx, weight)
+    assert np.allclose([model[i] for i in range(quality.BUCKETS)], value) and np.isclose(model[quality.BUCKETS], bias)
+
+
 @pytest.mark.parametrize("module,train,score", [(toxicity, toxicity.train_toxicity, toxicity.score_toxicity),
                                                 (quality, quality.train_quality, quality.score_quality)])
 def test_scores_of_awkward_rows(spark, awkward, nothing, module, train, score):

@@ -1,13 +1,14 @@
 """Quality scores: supervised subword embeddings.
 
-A document is the average of its words; a word is the average of learned vectors, one for the word
-and one for each of its character n-grams, hashed to ``BUCKETS`` rows. A softmax over the classes
-stands on the average. Of word pairs, only that of a word with itself has a vector (repetition is
-a mark of quality whatever the word). Vectors and output are trained together by stochastic gradient descent.
+A document is the average of its words and of its pairs of neighbouring words; a word is the average
+of learned vectors, one for the word and one for each of its character n-grams, a pair has one. All
+are hashed to the same ``BUCKETS`` rows, a pair by the difference of its words' hashes: a word that
+follows itself is one and the same pair whatever the word, since repetition tells of quality. A softmax over the classes stands on the average. Vectors and
+output are trained together by stochastic gradient descent.
 
 Since the output is linear in the average, each row of the table adds a fixed amount to the
 difference of the two class scores. These amounts (one number per bucket) are all that scoring
-needs, and a word's amount is computed once and remembered.
+needs, and a word's amount and hash are computed once and remembered.
 
 Defined results: a null or wordless text gets the score of the bias; every row gets one row,
 repeated rows too; without labels every score is 0.5; an empty table gives an empty result;
@@ -17,7 +18,6 @@ further columns are ignored or kept. Only the text enters a score.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +38,24 @@ SAMPLE_ROWS = 5_000
 EPOCHS, BATCH, RATE = 10, 16, 8.0
 THRESHOLD = 0.3
 
-_SAME = BUCKETS  # the pair of a word and itself
-_BIAS = BUCKETS + 1
+_BIAS = BUCKETS
 _CACHE = 300_000
 
 
-def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, bucket) of every feature of the words: the word itself, its character n-grams.
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+
+
+def _pairs(hashes: np.ndarray) -> np.ndarray:
+    """Buckets of the neighbouring words of a text, given the hashes of its words in order."""
+    with np.errstate(over="ignore"):
+        h = hashes[1:] - hashes[:-1]
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return ((h >> np.uint64(40)) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def _grams(words: list[str], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, bucket) of every feature of single words: the word itself, its character n-grams.
 
     The words stand in one array of code points between spaces, which mark where a word begins and
     ends; n-grams with a space inside belong to no word.
@@ -53,8 +64,7 @@ def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     space = codes == 32
     owner = np.cumsum(space) - 1
     owners = [np.arange(len(words))]
-    buckets = [np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
-               % np.uint64(BUCKETS)]
+    buckets = [hashes % np.uint64(BUCKETS)]
     with np.errstate(over="ignore"):
         for n in GRAMS:
             m = len(codes) - n + 1
@@ -78,25 +88,21 @@ def _document(text: str) -> tuple[np.ndarray, np.ndarray]:
     words = text.split()
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    counts: dict[str, int] = {}
-    for w in words:
-        counts[w] = counts.get(w, 0) + 1
-    owner, bucket = _grams(list(counts))
-    share = np.fromiter(counts.values(), np.float64, len(counts)) / len(words) / np.bincount(owner, minlength=len(counts))
-    at, inverse = np.unique(bucket, return_inverse=True)
-    return (np.append(at, _SAME).astype(np.int32),
-            np.append(np.bincount(inverse, share[owner]), _same(words)).astype(np.float32))
-
-
-def _same(words: list[str]) -> float:
-    """Share of the words that follow themselves."""
-    return sum(map(eq, words, words[1:])) / len(words)
+    place: dict[str, int] = {}
+    at = np.fromiter((place.setdefault(w, len(place)) for w in words), np.int64, len(words))
+    hashes = _hashes(list(place))
+    owner, bucket = _grams(list(place), hashes)
+    share = np.bincount(at) / np.bincount(owner, minlength=len(place))
+    pairs = _pairs(hashes[at])
+    features, inverse = np.unique(np.concatenate([bucket, pairs]), return_inverse=True)
+    shares = np.bincount(inverse, np.concatenate([share[owner], np.ones(len(pairs))])) / (len(words) + len(pairs))
+    return features.astype(np.int32), shares.astype(np.float32)
 
 
 def fit_embeddings(labels: np.ndarray, idx: list[np.ndarray], weight: list[np.ndarray]) -> dict[int, float]:
     """Embeddings and softmax by minibatch SGD; returns what each bucket adds to class 1 over class 0."""
     rng = np.random.default_rng(11)
-    table = rng.uniform(-1, 1, (BUCKETS + 1, DIMENSIONS)) / DIMENSIONS
+    table = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     out, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
     order = np.arange(len(labels))
     steps, done = EPOCHS * (len(labels) // BATCH + 1), 0
@@ -140,26 +146,38 @@ def train_quality(docs: DataFrame, labels: DataFrame, usable: Column | None = No
 
 def _scorer(model: tuple[np.ndarray, np.ndarray]):
     """A function from texts to scores, for one task."""
-    dense = np.zeros(BUCKETS + 2)
+    dense = np.zeros(BUCKETS + 1)
     dense[model[0]] = model[1]
-    known: dict[str, float] = {}
-
-    def score(texts: list[str | None]) -> np.ndarray:
+    known: dict[str, int] = {}
+    hashes, added = np.zeros(0, np.uint64), np.zeros(0)
+
+    def learn(words: list[str]) -> None:
+        nonlocal hashes, added
+        if len(known) > _CACHE:
+            known.clear()
+            hashes, added = hashes[:0], added[:0]
+        fresh = list(dict.fromkeys(w for w in words if w not in known))
+        if fresh:
+            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+            new = _hashes(fresh)
+            owner, bucket = _grams(fresh, new)
+            hashes = np.concatenate([hashes, new])
+            added = np.concatenate([added, np.bincount(owner, dense[bucket]) / np.bincount(owner)])
+
+    def some(texts: list[str | None]) -> np.ndarray:
+        split = [(text or "").split() for text in texts]
+        learn([w for words in split for w in words])
         sums = np.full(len(texts), dense[_BIAS])
-        for k, text in enumerate(texts):
-            words = (text or "").split()
-            if not words:
-                continue
-            if len(known) > _CACHE:
-                known.clear()
-            fresh = list(set(words).difference(known))
-            if fresh:
-                owner, bucket = _grams(fresh)
-                added = np.bincount(owner, dense[bucket]) / np.bincount(owner)
-                known.update(zip(fresh, added.tolist()))
-            sums[k] += sum(map(known.__getitem__, words)) / len(words) + dense[_SAME] * _same(words)
+        for k, words in enumerate(split):
+            if words:
+                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                sums[k] += (added[at].sum() + dense[_pairs(hashes[at])].sum()) / (2 * len(words) - 1)
         return 1 / (1 + np.exp(-np.clip(sums, -35, 35)))
 
+    def score(texts: list[str | None]) -> np.ndarray:
+        parts = [some(texts[lo:lo + 256]) for lo in range(0, len(texts), 256)]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
     return score
 
 
