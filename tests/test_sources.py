@@ -147,6 +147,8 @@ def test_a_bad_layer_does_not_stop_the_others(spark, tmp_path):
     assert [r["layer"] for r in stacked.collect()] == ["lakes_atlgulf"]
     assert [tuple(r) for r in lineage.collect()] == [("lakes_atlgulf", "EPSG:4326")]
     assert sorted(name for name, _ in failures) == ["broken", "odd"]
+    stacked, lineage, _ = layers.register_layers(spark, str(tmp_path), suffix="_pacific")
+    assert {r["layer"] for r in stacked.collect()} == {r["table_name"] for r in lineage.collect()} == {"lakes_pacific"}
 
 
 def test_convert_elements_passes_unknown_schema(spark):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from tidegrid.sources.layers import LAYER_SUFFIX
+
 OUTPUT_FORMATS = ("COG", "ZARR", "IN_MEMORY")
 
 
@@ -28,6 +30,7 @@ class JobConfig:
     coverage_path: str = ""
     triangles_path: str = ""
     layers_path: str = ""
+    layer_suffix: str = LAYER_SUFFIX
     output_path: str = ""
     exterior_layers: tuple[str, ...] = ()
     interior_layers: tuple[str, ...] = ()

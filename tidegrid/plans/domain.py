@@ -33,7 +33,7 @@ MAX_BUCKETS = 100_000
 def build_mask(spark: SparkSession, cfg: JobConfig, meta: GridMeta) -> DataFrame:
     """Register the layers and store the general mask as runs (``mask_runs``)."""
     store = TableStore(spark, cfg.store)
-    layers, lineage, _ = register_layers(spark, cfg.layers_path)
+    layers, lineage, _ = register_layers(spark, cfg.layers_path, suffix=cfg.layer_suffix)
     if layers is None:
         raise ValueError(f"no readable layer in {cfg.layers_path}")
     stored = store.write(layers, "mask_layers")

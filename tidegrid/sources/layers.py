@@ -12,7 +12,7 @@ from tidegrid.operators.masks import stack_layers
 from tidegrid.sources.filesystem import list_paths
 from tidegrid.sources.tables import load_table
 
-# Fixed value: suffix of a registered layer's name.
+# Fixed value: suffix of a registered layer's name where a job names none.
 LAYER_SUFFIX = "_atlgulf"
 
 
@@ -37,18 +37,18 @@ def layer_rings(df: DataFrame, layer: str) -> DataFrame:
 
 
 def register_layers(
-    spark: SparkSession, folder: str, crs: str = "EPSG:4326"
+    spark: SparkSession, folder: str, crs: str = "EPSG:4326", suffix: str = LAYER_SUFFIX
 ) -> tuple[DataFrame | None, DataFrame, list[tuple[str, str]]]:
     """Every polygon file of a folder as one stacked table, plus CRS records and failures.
 
-    A file that cannot be read is reported and skipped. The loop runs over file names only.
+    A layer is named by its file and ``suffix``. A file that cannot be read is reported and skipped. The loop runs over file names only.
     """
     layers, names, failures = [], [], []
     for path in list_paths(spark, folder):
         stem = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
         try:
-            layers.append(layer_rings(load_table(spark, path), stem + LAYER_SUFFIX))
-            names.append(stem + LAYER_SUFFIX)
+            layers.append(layer_rings(load_table(spark, path), stem + suffix))
+            names.append(stem + suffix)
         except (PySparkException, Py4JJavaError, ValueError) as problem:
             failures.append((stem, str(problem).splitlines()[0]))
             print(f"layer {stem} skipped: {failures[-1][1]}")
