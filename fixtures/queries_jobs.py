@@ -6,17 +6,19 @@ from pyspark.sql import functions as F
 
 from fixtures import views as v
 from fixtures.oracle_views import barycentric_view, depth_view, rnd, view, with_views
-from fixtures.queries_core import DEPTH_OUT, WEIGHT_OUT, ready_nodes, slope_weights
+from fixtures.queries_core import DEPTH_OUT, WEIGHT_OUT, ready_nodes
 from fixtures.queries_io import RASTER
 from fixtures.registry import query, rounded
 from fixtures.scratch import scratch_dir
 from tidegrid.functions.geometry import ring_wkt
+from tidegrid.operators import elements as el
 from tidegrid.operators import masks as mk
 from tidegrid.operators import tiles as tl
 from tidegrid.operators import zonal as zo
-from tidegrid.operators.weights import triangle_barycentric
+from tidegrid.operators.weights import barycentric_weights, triangle_barycentric
 from tidegrid.plans import domain, forecast
 from tidegrid.plans.config import JobConfig
+from tidegrid.session import colocated_joins
 from tidegrid.sinks import rasters as rs
 from tidegrid.sinks.store import TableStore, export_node_ids
 from tidegrid.sources.filesystem import validate_inputs
@@ -71,10 +73,16 @@ def _(spark, sf):
 @query("depth_by_tile", with_views(["slope_depth"], f"SELECT {DEPTH_OUT} FROM slope_depth WHERE depth >= 0"))
 def _(spark, sf):
     store = TableStore(spark, scratch_dir(spark, "tiled"))
+    # Stored first, as jobs find them: the layout reads its input several times, the weights their nodes.
+    raw = store.write(v.coverage(spark, sf), "coverage_fraction")
+    ready = store.write(ready_nodes(spark, sf), "nodes")
     # Small tiles and a low limit, so that some tiles are salted and others are not.
-    cov = domain.store_coverage(store, v.coverage(spark, sf), v.grid(spark, sf), tile=16, hot_rows=500)
-    triangles = store.write(triangle_barycentric(slope_weights(spark, sf), ready_nodes(spark, sf)), "triangles")
-    return rounded(zo.depth_by_tile(cov, store.read("triangle_tiles"), triangles))
+    cov = domain.store_coverage(store, raw, v.grid(spark, sf), tile=16, hot_rows=500)
+    weights = barycentric_weights(el.filter_valid_elements(v.elements(spark, sf), ready), ready)
+    triangles = store.write(triangle_barycentric(weights, ready), "triangles")
+    with colocated_joins(spark):
+        cells = store.write(zo.depth_by_tile(cov, store.read("triangle_tiles"), triangles), "depth")
+    return rounded(cells)
 
 
 @query("execute_legacy", with_views(["job_depth"], RASTER + "job_depth WHERE depth >= 0.1524::double"))

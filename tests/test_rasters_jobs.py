@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fixtures import views as v
 from fixtures.queries_jobs import prepared
+from fixtures.registry import QUERIES
 from tidegrid.functions.grid import GridMeta
 from tidegrid.operators import tiles as tl
 from tidegrid.operators import zonal as zo
@@ -314,6 +315,45 @@ def test_a_run_does_not_shuffle_coverage(spark, domain_cfg):
     assert once.exceptAll(df).count() == df.exceptAll(once).count() == 0
 
 
+@pytest.mark.parametrize("runs", [False, True])
+def test_coverage_stays_in_few_buckets_beside_many_partitions(spark, domain_cfg, runs):
+    """Fewer buckets than shuffle partitions, and triangle places too large to broadcast."""
+    store = TableStore(spark, domain_cfg.store)
+    tri = store.read("triangle_weights").select("pg_id", (F.col("pg_id") % 13).cast("double").alias("wse_weighted_average"))
+    if runs:
+        tri = tri.withColumn("run_id", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    cov, places = store.read("masked_coverage_fraction"), store.read("triangle_tiles")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with colocated_joins(spark):
+            df = zo.depth_by_tile(cov, places, tri, any_hot=False)
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            got = {(r["run_id"] if runs else "a", r["cell"]): r["depth"] for r in df.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "coverage_fraction" in line)
+    assert "Bucketed: true" in lines[scan]
+    join = max(i for i, line in enumerate(lines[:scan]) if "Join" in line)
+    assert not any("Exchange" in line for line in lines[:scan])
+    assert join < scan
+    want = {r["cell"]: r["depth"] for r in zo.depth(cov, tri.select("pg_id", "wse_weighted_average").distinct()).collect()}
+    assert got == pytest.approx({(run, c): d for run in ("ab" if runs else "a") for c, d in want.items()}) and len(want) > 300
+
+
+def test_the_tile_query_lays_out_stored_coverage(spark, sf, monkeypatch):
+    """The layout reads its input several times, which must not be an overlay each time."""
+    seen = []
+
+    def watched(store, raw, *args, **kwargs):
+        seen.append(raw.inputFiles())
+        return store_coverage(store, raw, *args, **kwargs)
+
+    monkeypatch.setattr("fixtures.queries_jobs.domain.store_coverage", watched)
+    assert QUERIES["depth_by_tile"](spark, sf).count() > 300
+    assert len(seen) == 1 and seen[0] and not any(f"{sf}/" in name for name in seen[0])
+
+
 def test_stored_coverage_gives_the_plain_depth(spark, sf, domain_cfg):
     store = TableStore(spark, domain_cfg.store)
     plain = zo.filter_masked(v.coverage(spark, sf))

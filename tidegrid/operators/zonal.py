@@ -240,7 +240,9 @@ def depth_by_tile(
     """
     run = [c for c in ("run_id",) if c in tri.columns]
     known = tri.where("wse_weighted_average IS NOT NULL").select(*run, "pg_id", "wse_weighted_average")
-    placed = places.select("pg_id", "tile", SALT).join(known, "pg_id")
+    # Dealt out by bucket at the very top: as the join leaves them (by triangle, in as many parts as
+    # shuffles have), the planner would follow them and move the coverage instead.
+    placed = places.select("pg_id", "tile", SALT).join(known, "pg_id").repartition("tile", SALT)
     if not run and bounded_buckets:
         placed = placed.hint("shuffle_hash")
 

@@ -117,7 +117,8 @@ def store_coverage(
 
     A count per tile says how many buckets and salts there are. A cell lies in one tile, so
     its total coverage is summed inside the layout; only the cells of salted tiles, which
-    lie in several buckets, are summed ahead of it.
+    lie in several buckets, are summed ahead of it. ``raw`` is read several times for that, so
+    it should be a stored table.
     """
     kept = filter_masked(raw, threshold).select("pg_id", "cell", "coverage_fraction", "elevation", "mask")
     tiled = with_tile(kept, meta, tile)
