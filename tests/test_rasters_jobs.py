@@ -354,6 +354,40 @@ def test_the_tile_query_lays_out_stored_coverage(spark, sf, monkeypatch):
     assert len(seen) == 1 and seen[0] and not any(f"{sf}/" in name for name in seen[0])
 
 
+def test_a_run_in_many_batches_is_computed_once(spark, sf, domain_cfg, tmp_path, monkeypatch):
+    """Two runs in six files, a file per batch; one that lands later is news again."""
+    levels = v.nodes(spark, sf).select("node_id", "wse")
+    landing, out, computed = str(tmp_path / "in"), str(tmp_path / "out"), []
+
+    def watched(store, rows, *args):
+        computed.append(sorted(r["run_id"] for r in rows.select("run_id").distinct().collect()))
+        return runs_depth(store, rows, *args)
+
+    def drain():
+        computed.clear()
+        job = stream_runs(spark, landing, domain_cfg.store, out, str(tmp_path / "progress"), max_files=1)
+        job.awaitTermination()
+        assert job.exception() is None
+
+    def stored(run_id):
+        return {r["cell"]: r["depth"] for r in spark.read.parquet(out).where(F.col("run_id") == run_id).collect()}
+
+    monkeypatch.setattr("tidegrid.streaming.runs.runs_depth", watched)
+    for k in range(3):
+        for run in ("a", "b"):
+            if run == "a" or k < 2:
+                levels.where(F.col("node_id") % 3 == k).coalesce(1).write.mode("append").parquet(f"{landing}/run_id={run}")
+    drain()
+    assert sorted(computed) == [["a"], ["b"]]
+    part = stored("b")
+    levels.where("node_id % 3 = 2").coalesce(1).write.mode("append").parquet(f"{landing}/run_id=b")
+    drain()
+    assert computed == [["b"]]
+    whole = runs_depth(TableStore(spark, domain_cfg.store), levels.withColumn("run_id", F.lit("x")))
+    want = {r["cell"]: r["depth"] for r in whole.collect()}
+    assert len(want) > 300 and stored("a") == pytest.approx(want) and stored("b") == pytest.approx(want) != part
+
+
 def test_stored_coverage_gives_the_plain_depth(spark, sf, domain_cfg):
     store = TableStore(spark, domain_cfg.store)
     plain = zo.filter_masked(v.coverage(spark, sf))

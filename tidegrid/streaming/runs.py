@@ -3,7 +3,9 @@
 The landing folder holds one ``run_id=...`` partition per run. A micro-batch only says
 which runs have news; each of those runs is computed again from everything it has landed
 and replaces its own partition and arrays, so a repeated or split batch gives the same
-tables. A run without wet cells leaves no partition, and arrays without chunks.
+tables. Files that a run has been computed from already, ahead of their own batch, are no news
+when their batch comes: a run whose files fill many batches is computed once. A run without wet
+cells leaves no partition, and arrays without chunks.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.functions.scalars import nan_to_null
+from tidegrid.operators.positions import _plain
 from tidegrid.operators.zonal import depth_by_tile, triangle_wse_runs
 from tidegrid.session import colocated_joins
 from tidegrid.sinks.rasters import write_run_arrays
@@ -69,14 +72,21 @@ def stream_runs(
     """
     schema = SNAPSHOT_SCHEMA if snapshots else NODE_WSE_SCHEMA
     landed = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing_dir)
-    landed = landed.select("run_id", F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]+$", 1).alias("folder"))
+    landed = landed.select("run_id", F.col("_metadata.file_path").alias("file"))
+    # Files computed from whose batches are still to come.
+    ahead: set[str] = set()
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        # One row per run of the batch, so never more than files of a trigger.
-        touched = {r["run_id"]: r["folder"] for r in batch.distinct().collect()}
-        if not touched:
-            return
+        # One row per file of the batch, so never more than files of a trigger.
+        news = [(r["run_id"], r["file"]) for r in batch.distinct().collect()]
+        touched = {run: file.rsplit("/", 1)[0] for run, file in news if _plain(file) not in ahead}
+        if touched:
+            ahead.update(compute(session, touched))
+        ahead.difference_update(_plain(file) for _, file in news)
+
+    def compute(session: SparkSession, touched: dict[str, str]) -> set[str]:
+        """Replace what is stored of the runs, given with their folders; returns the files read."""
         store = TableStore(session, store_root)
         rows = session.read.schema(schema).option("basePath", landing_dir).parquet(*touched.values())
         levels = snapshot_levels(store, rows) if snapshots else rows
@@ -94,11 +104,13 @@ def stream_runs(
             if _files(session, partition(run)) <= before[run]:
                 fs, folder = _resolve(session, partition(run))
                 fs.delete(folder, True)
+        files = {_plain(file) for file in rows.inputFiles()}
         if chunk_store is None:
-            return
+            return files
         meta = load_dem_metadata(store.read("dem_metadata"))
         depth = session.read.schema(DEPTH_SCHEMA).parquet(output_dir).where(F.col("run_id").isin(list(touched)))
         write_run_arrays(depth, meta, list(variables), chunk_store, list(touched))
+        return files
 
     return (
         landed.writeStream.foreachBatch(process)
